@@ -109,7 +109,12 @@ def predictions(spark, sf_dir) -> DataFrame:
 
 def vehicles(spark, sf_dir) -> DataFrame:
     """Snapshots of 40 vehicles from `events`."""
-    return table(spark, sf_dir, "events").select(
+    return vehicles_of(table(spark, sf_dir, "events"))
+
+
+def vehicles_of(events: DataFrame) -> DataFrame:
+    """Vehicle snapshots from rows of `events`, in batch or as a stream."""
+    return events.select(
         F.format_string("V-%03d", F.col("user_id") % 40).alias("vehicle_id"),
         F.when(F.col("event_type").isin("view", "click"), "available").otherwise("occupied").alias("status"),
         (F.col("user_id") % 26).cast("string").alias("pickup_zone"),

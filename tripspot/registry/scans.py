@@ -166,11 +166,11 @@ def s17_profile(spark, d):
         select o_orderkey as i, timestamp '2024-10-01' + to_minutes(cast(o_orderkey * 5 as integer)) as t from orders),
     offsets as (
         select i, t, case when hour(t) in (7, 8, 9, 16, 17, 18, 19) then 11 else 0 end as o from timed),
-    places as (select i, t, (17 * i + o) % 71 as a, (31 * i + 7 + o) % 71 as b from offsets)
+    places as (select i, t, (17 * i + o) % {len(SAMPLE_ZONES)} as a, (31 * i + 7 + o) % {len(SAMPLE_ZONES)} as b from offsets)
     select printf('trip-%05d', i) as event_id, cast(1 + i % 2 as integer) as VendorID, t as tpep_pickup_datetime,
            t + to_minutes(cast(8 + i % 35 as integer)) as tpep_dropoff_datetime,
            cast(ids[a + 1] as integer) as PULocationID,
-           cast(ids[case when a = b then (a + 1) % 71 else b end + 1] as integer) as DOLocationID
+           cast(ids[case when a = b then (a + 1) % {len(SAMPLE_ZONES)} else b end + 1] as integer) as DOLocationID
     from places, zones
     """,
 )
