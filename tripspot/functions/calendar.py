@@ -12,6 +12,12 @@ def as_local_time(value) -> Column:
     return _col(value).try_cast("timestamp_ntz")
 
 
+def wall_clock(moment) -> Column:
+    """A Python datetime as a constant. It goes through text: a datetime literal would be shifted by the difference
+    between the machine's and the session's time zone."""
+    return F.lit(moment.replace(tzinfo=None).isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def pickup_hour(ts) -> Column:
     return F.hour(ts)
 

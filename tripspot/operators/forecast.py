@@ -6,7 +6,7 @@ from datetime import timedelta
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tripspot.functions.calendar import hour_key, pickup_dow, pickup_hour
+from tripspot.functions.calendar import hour_key, pickup_dow, pickup_hour, wall_clock
 from tripspot.functions.labels import weather_label
 from tripspot.functions.scoring import clamp_score, score_level
 from tripspot.operators.baseline import flag_anomaly
@@ -22,7 +22,7 @@ def next_hours(now, hours=3) -> list:
 def forecast_grid(hours, zones: DataFrame) -> DataFrame:
     """Every zone at every forecast hour. The hours (at most six) are a constant array that each zone row
     expands, so no join is needed."""
-    times = F.array(*[F.lit(h).cast("timestamp_ntz") for h in hours])
+    times = F.array(*[wall_clock(h) for h in hours])
     grid = zones.select("pickup_zone", F.explode(times).alias("forecast_time"))
     return grid.withColumns(
         {

@@ -8,7 +8,7 @@ from operator import or_
 
 from pyspark.sql import DataFrame, functions as F
 
-from tripspot.functions.calendar import hour_key
+from tripspot.functions.calendar import hour_key, wall_clock
 from tripspot.functions.fixed import (
     NUMERIC_WEATHER_FIELDS,
     WEATHER_FALLBACK_SOURCE,
@@ -126,7 +126,7 @@ def assert_coverage(scores: DataFrame, weather: DataFrame, minimum=0.95):
 
 def local_hours(spark, first, count: int) -> DataFrame:
     """`count` whole hours from the hour of `first` (a wall-clock datetime) on."""
-    start = F.lit(first.replace(minute=0, second=0, microsecond=0, tzinfo=None)).cast("timestamp_ntz")
+    start = wall_clock(first.replace(minute=0, second=0, microsecond=0))
     return spark.range(count).select(
         F.col("id").cast("int").alias("offset"),
         (start + F.make_dt_interval(hours=F.col("id").cast("int"))).alias("hour_start"),
