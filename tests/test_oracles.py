@@ -4,6 +4,7 @@ import pytest
 
 import __spark_entry__ as entry
 from oracle import compare, connect
+from tripspot.plans.reports import formatted_plan
 
 QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
 ROWS_ONLY = {
@@ -20,6 +21,8 @@ def con(sf):
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, sf, con, name):
     result = QUERIES[name](spark, sf)
+    plan = formatted_plan(result)
+    assert not [node for node in ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython") if node in plan]
     if name in ORACLES:
         assert compare(result, con, ORACLES[name]) == ""
     else:

@@ -6,7 +6,7 @@ import math
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tripspot.session import shared_dir
+from tripspot.session import scratch_path
 
 BROADCAST_ROWS = 500_000
 BROADCAST_BYTES = 64 * 1024 * 1024
@@ -32,10 +32,13 @@ def repeat_rows(df: DataFrame, times: str, ordinal: str, chunk=100_000) -> DataF
         ordinal, F.explode(F.sequence(F.lit(1).cast("long"), F.col(times)))
     )
     first = F.col("_chunk") * chunk + 1
+    # A given number of partitions is kept as it is; otherwise the few small rows would be merged into one task
+    # before they are expanded.
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     many = (
         df.filter(F.col(times) > chunk)
         .withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col(times) - 1) / chunk))))
-        .repartition(*[c for c in df.columns if c != times], "_chunk")
+        .repartition(tasks, *[c for c in df.columns if c != times], "_chunk")
         .withColumn(ordinal, F.explode(F.sequence(first, F.least(F.col(times), first + (chunk - 1)))))
         .drop("_chunk")
     )
@@ -45,12 +48,13 @@ def repeat_rows(df: DataFrame, times: str, ordinal: str, chunk=100_000) -> DataF
 def global_index(df: DataFrame, order, name: str) -> DataFrame:
     """Position 0, 1, 2, ... of each row in the given total order, without a single-task window.
 
-    One range-partitioned sort (equal leading keys are split by the later ones), written to the shared checkpoint
-    folder so that partition borders stay fixed; then the offset of each partition is added. Only the partition
-    sizes, one row per partition, are brought together.
+    One range-partitioned sort (equal leading keys are split by the later ones), written to the shared folder so
+    that partition borders stay fixed; then the offset of each partition is added. Only the partition sizes, one row
+    per partition, are brought together.
     """
-    shared_dir(df.sparkSession)
-    placed = df.orderBy(*order).withColumn("_at", F.monotonically_increasing_id()).checkpoint()
+    spark, path = df.sparkSession, scratch_path(df.sparkSession, "index")
+    df.orderBy(*order).withColumn("_at", F.monotonically_increasing_id()).write.parquet(path)
+    placed = spark.read.parquet(path)
     # monotonically_increasing_id keeps the partition number above bit 33 and the row number below it.
     part, row = F.shiftright("_at", 33), F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
     sizes = placed.groupBy(part.alias("_part")).agg(F.count("*").alias("_rows"))
