@@ -56,10 +56,11 @@ class Split(NamedTuple):
 def temporal_split(df: DataFrame, date_col="service_date", frac=0.8) -> Split:
     """The earliest share of the distinct dates trains, the latest dates test.
 
-    One aggregate brings the sorted distinct dates (365 a year) together; both sides are then plain date filters
-    with constants, which prune partitions and row groups.
+    The distinct dates (365 a year) are found in parallel and only they are brought together; both sides are then
+    plain date filters with constants, which prune partitions and row groups.
     """
-    dates = df.agg(F.sort_array(F.collect_set(date_col)).alias("dates")).first()["dates"]
+    distinct = df.select(date_col).dropna().distinct()
+    dates = distinct.agg(F.sort_array(F.collect_list(date_col)).alias("dates")).first()["dates"]
     if len(dates) < 2:
         raise ValueError(f"a temporal split needs at least two dates, found {len(dates)}")
     cut = min(max(1, int(len(dates) * frac)), len(dates) - 1)

@@ -7,7 +7,7 @@ from typing import NamedTuple
 
 from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, Row, functions as F
+from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 
 from tripspot.functions.fixed import WEATHER_FIELDS
 from tripspot.operators.baseline import historical_baseline
@@ -15,6 +15,7 @@ from tripspot.operators.evaluation import holdout_metrics, select_model
 from tripspot.operators.ml import build_pipeline, save_model
 from tripspot.operators.score import Split, daily_scores, temporal_split
 from tripspot.operators.weather import assert_coverage, fallback_values, join_weather
+from tripspot.session import shared_dir
 from tripspot.sources.sinks import write_report
 
 METRIC_COLUMNS = (
@@ -34,6 +35,11 @@ class Training(NamedTuple):
     report: DataFrame
     cached: tuple
 
+    def release(self) -> None:
+        """Free the cached rows; baseline and report can be computed without them."""
+        for df in self.cached:
+            df.unpersist()
+
 
 def metrics_report(split: Split, metrics: DataFrame, selection, covered, fallback) -> DataFrame:
     """M8: one row with the dates, row counts, rules, fallback values, the metrics of both candidates and those of
@@ -83,6 +89,7 @@ def fit_candidates(train_rows: DataFrame, **gbt) -> dict:
 def train(trips: DataFrame, weather: DataFrame, minimum_coverage=0.95, scores: DataFrame | None = None, **gbt) -> Training:
     """The training run on curated trips (or on ready scores). Only dates, six fallback values and one-row metrics
     reach the driver."""
+    shared_dir(trips.sparkSession)  # boosting checkpoints there, so its lineage stays short
     scores = (daily_scores(trips) if scores is None else scores).persist(StorageLevel.MEMORY_AND_DISK)
     covered = assert_coverage(scores, weather, minimum_coverage)
     enriched = join_weather(scores, weather).persist(StorageLevel.MEMORY_AND_DISK)
@@ -114,6 +121,11 @@ def training_job(trips: DataFrame, weather: DataFrame, out: str, **options) -> T
     save_model(result.model, f"{out}/model")
     write_report(result.baseline, f"{out}/baseline", fmt="parquet")
     write_report(result.report, f"{out}/metrics")
-    for df in result.cached:
-        df.unpersist()
+    result.release()
     return result
+
+
+def load_fallback(spark: SparkSession, out: str) -> dict:
+    """The fallback values a training job saved below `out`."""
+    row = spark.read.json(f"{out}/metrics").first().asDict()
+    return {name: float(row[f"fallback_{name}"]) for name in WEATHER_FIELDS if row.get(f"fallback_{name}") is not None}

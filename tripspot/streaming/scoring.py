@@ -29,3 +29,14 @@ def score_stream(events: DataFrame, predict, weather: DataFrame, fallback, basel
     flagged = flag_anomaly(levelled, baseline)
     # The stored event time is the text the message came with.
     return flagged.withColumn("event_time", F.col("pickup_datetime")).select(*PREDICTION_COLUMNS)
+
+
+def scoring_sink(store, predict, weather, fallback, baseline: DataFrame, lang="vi"):
+    """T2 as a foreachBatch function in front of a store such as `upsert_batch`. `weather` may be a function that
+    reads the forecast table again for each batch, so that a running query sees refreshed forecasts."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        table = weather() if callable(weather) else weather
+        store(score_stream(batch, predict, table, fallback, baseline, lang), batch_id)
+
+    return write

@@ -66,25 +66,36 @@ def _newest_snapshot(spark: SparkSession, path: str):
 def latest_view(spark: SparkSession, path: str, key="event_id", order=("batch_id", "event_time"), until=None) -> DataFrame:
     """The current record of each key: the one with the greatest order values.
 
-    Reads the newest snapshot and the batches after it.
+    The newest snapshot has one record per key already. Only its records whose key occurs again in later batches are
+    compared with those; the others are passed on as they are, without a shuffle while the later keys are few.
     """
     snapshot, upto = _newest_snapshot(spark, path)
-    batches = _read(spark, f"{path}/batches")
-    if batches is not None:
-        batches = batches.withColumn("batch_id", F.col("batch_id").cast("long")).filter(F.col("batch_id") > upto)
+    recent = _read(spark, f"{path}/batches")
+    if recent is not None:
+        recent = recent.withColumn("batch_id", F.col("batch_id").cast("long")).filter(F.col("batch_id") > upto)
         if until is not None:
-            batches = batches.filter(F.col("batch_id") <= until)
-    parts = [part for part in (snapshot, batches) if part is not None]
-    if not parts:
+            recent = recent.filter(F.col("batch_id") <= until)
+    if snapshot is None and recent is None:
         raise FileNotFoundError(f"nothing stored at {path}")
-    rows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-    return latest_state(rows, key, order)
+    if recent is None:
+        return snapshot
+    if snapshot is None:
+        return latest_state(recent, key, order)
+    again = recent.select(key).distinct()
+    contested = snapshot.join(again, key, "left_semi").unionByName(recent)
+    return snapshot.join(again, key, "left_anti").unionByName(latest_state(contested, key, order))
 
 
-def compact(spark: SparkSession, path: str, until: int, key="event_id", order=("batch_id", "event_time")) -> None:
+def compact(spark: SparkSession, path: str, until: int, key="event_id", order=("batch_id", "event_time"), cluster_by=()) -> None:
     """Write the view up to a batch as a snapshot, so that readers need not open one folder per batch for ever.
 
-    A snapshot becomes visible when its job commits; the folders it covers can then be removed by retention.
+    `cluster_by` orders the snapshot (by zone and time, say), so that filters on these columns skip row groups; a very
+    frequent zone is split by the later columns. A snapshot becomes visible when its job commits; the batch folders it
+    covers can then be removed by retention.
     """
     view = latest_view(spark, path, key, order, until)
-    view.hint("rebalance").write.mode("overwrite").parquet(f"{path}/snapshots/upto={until}")
+    if cluster_by:
+        rows = view.repartitionByRange(*cluster_by).sortWithinPartitions(*cluster_by)
+    else:
+        rows = view.hint("rebalance")
+    rows.write.mode("overwrite").parquet(f"{path}/snapshots/upto={until}")
