@@ -113,8 +113,10 @@ def with_hour_key(df: DataFrame, ts="event_time", name="weather_hour") -> DataFr
 
 def clean_trips(df: DataFrame, unique_ids=False) -> DataFrame:
     """P4-P8 in order. `unique_ids` skips the shuffle of P7 where the ids are known to be unique (P2 made them)."""
-    ready = require(with_event_time(trim_zones(df)), ["event_id", "event_time", "pickup_zone"])
-    if not unique_ids:
-        # The parsed time follows from the given one, so it is not shuffled but parsed again.
-        ready = with_event_time(dedup(ready.drop("event_time")))
-    return with_calendar(ready)
+    timed = with_event_time(trim_zones(df))
+    if unique_ids:
+        # A made id is never NULL; testing it would hash every row twice, as filters move below projections.
+        return with_calendar(require(timed, ["event_time", "pickup_zone"]))
+    ready = require(timed, ["event_id", "event_time", "pickup_zone"])
+    # The parsed time follows from the given one, so it is not shuffled but parsed again.
+    return with_calendar(with_event_time(dedup(ready.drop("event_time"))))

@@ -12,17 +12,22 @@ BROADCAST_ROWS = 500_000
 BROADCAST_BYTES = 64 * 1024 * 1024
 
 
-def checked_broadcast(df: DataFrame, max_rows=BROADCAST_ROWS, max_bytes=BROADCAST_BYTES) -> DataFrame:
-    """Hint a broadcast only after measuring the side; beyond the bound the join stays a shuffle join.
-
-    The measure is one distributed aggregate, so it is safe on a side that turns out to be large. Use it for stored
-    dimension tables. Sides computed by the same job are left to adaptive execution, which measures them for free.
-    """
+def is_small(df: DataFrame, max_rows=BROADCAST_ROWS, max_bytes=BROADCAST_BYTES) -> bool:
+    """Measure a table: one distributed aggregate, so it is safe on a table that turns out to be large."""
     size = df.agg(
         F.count("*").alias("rows"),
         F.coalesce(F.sum(F.octet_length(F.to_json(F.struct("*")))), F.lit(0)).alias("bytes"),
     ).first()
-    return F.broadcast(df) if size["rows"] <= max_rows and size["bytes"] <= max_bytes else df
+    return size["rows"] <= max_rows and size["bytes"] <= max_bytes
+
+
+def checked_broadcast(df: DataFrame, max_rows=BROADCAST_ROWS, max_bytes=BROADCAST_BYTES) -> DataFrame:
+    """Hint a broadcast only after measuring the side; beyond the bound the join stays a shuffle join.
+
+    Use it for stored dimension tables. Sides computed by the same job are left to adaptive execution, which measures
+    them for free.
+    """
+    return F.broadcast(df) if is_small(df, max_rows, max_bytes) else df
 
 
 def repeat_rows(df: DataFrame, times: str, ordinal: str, chunk=100_000) -> DataFrame:

@@ -41,9 +41,10 @@ def kv_lines(trips: DataFrame) -> DataFrame:
 
 def parse_kv_lines(lines: DataFrame) -> DataFrame:
     """Text rows to (zone, hour, n); rows without exactly three fields are dropped."""
-    fields = F.split("value", "\t", -1)
-    return lines.filter(F.size(fields) == 3).select(
-        *[fields[i].alias(name) for i, name in enumerate(("zone", "hour", "n"))]
+    # Expanding a one-element array keeps later filters above the split, which then happens once per line.
+    split = lines.select(F.explode(F.array(F.split("value", "\t", -1))).alias("fields"))
+    return split.filter(F.size("fields") == 3).select(
+        *[F.get("fields", F.lit(i)).alias(name) for i, name in enumerate(("zone", "hour", "n"))]
     )
 
 

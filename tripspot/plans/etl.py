@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from tripspot.operators.clean import RAW_TIME, clean_trips, normalize_trips
 from tripspot.operators.enrich import assert_same_count, assert_unique_key, enrich_zones, quality_measures
-from tripspot.sources.sinks import is_done, write_curated
+from tripspot.operators.rows import is_small
+from tripspot.sources.sinks import by_service_date, is_done, write_curated
 from tripspot.sources.trips import read_trips_any
 from tripspot.sources.zones import read_zone_lookup
 
@@ -20,16 +21,18 @@ def curate(raw: DataFrame, zones: DataFrame, measure=True) -> DataFrame:
 def run_etl(spark: SparkSession, raw: DataFrame, zones: DataFrame, path: str) -> dict:
     """Write the curated trips once and return the quality figures measured during that write.
 
-    Counters of a job may count a retried task twice, so a difference is confirmed by counting before it is
-    reported as an error.
+    With a zone table that can be broadcast the trips are arranged by date while they are still narrow. Counters of a
+    job may count a retried task twice, so a difference is confirmed by counting before it is reported as an error.
     """
     assert_unique_key(zones, "LocationID")
+    small = is_small(zones)
     made_ids = RAW_TIME in raw.columns and "event_id" not in raw.columns
     before, after = Observation("before"), Observation("after")
     cleaned = clean_trips(normalize_trips(raw), unique_ids=made_ids)
     counted = cleaned.observe(before, F.count("*").alias("before_enrichment"))
-    enriched = enrich_zones(counted, zones).observe(after, *quality_measures())
-    write_curated(enriched, path)
+    arranged = by_service_date(counted) if small else counted
+    enriched = enrich_zones(arranged, F.broadcast(zones) if small else zones, measure=False)
+    write_curated(enriched.observe(after, *quality_measures()), path, arranged=small)
     figures = {**before.get, **after.get}
     if figures["before_enrichment"] != figures["after_enrichment"]:
         assert_same_count(cleaned.count(), spark.read.parquet(path).count())

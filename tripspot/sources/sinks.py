@@ -17,21 +17,24 @@ def is_done(spark: SparkSession, path: str) -> bool:
         return False
 
 
-def write_curated(df: DataFrame, path: str, mode="overwrite", force=False, by_date=True) -> bool:
-    """Curated trips as Parquet, one folder per service date.
+def by_service_date(df: DataFrame) -> DataFrame:
+    """Rows of a date brought together for writing; a date far larger than the others is split at run time."""
+    dated = df if "service_date" in df.columns else df.withColumn("service_date", F.to_date("event_time"))
+    return dated.hint("rebalance", "service_date")
+
+
+def write_curated(df: DataFrame, path: str, mode="overwrite", force=False, arranged=False) -> bool:
+    """Curated trips as Parquet, one folder per service date with few large files.
 
-    mode="ignore" does nothing when a finished output exists, unless forced. Returns whether it wrote. The rebalance
-    gives each date few large files and splits a date that is far larger than the others.
+    mode="ignore" does nothing when a finished output exists, unless forced. `arranged` says that the rows went
+    through `by_service_date` before. Returns whether it wrote.
     """
     if mode == "ignore":
         if not force and is_done(df.sparkSession, path):
             return False
         mode = "overwrite"
-    if not by_date:
-        df.write.mode(mode).parquet(path)
-        return True
-    dated = df if "service_date" in df.columns else df.withColumn("service_date", F.to_date("event_time"))
-    dated.hint("rebalance", "service_date").write.mode(mode).partitionBy("service_date").parquet(path)
+    rows = df if arranged else by_service_date(df)
+    rows.write.mode(mode).partitionBy("service_date").parquet(path)
     return True
 
 

@@ -11,5 +11,6 @@ from tripspot.operators.clean import require, with_calendar, with_event_time
 def parse_events(messages: DataFrame, value="value") -> DataFrame:
     """JSON messages to events with time, hour and weekday. Messages that are malformed, or lack an id, a zone or
     a readable time, are dropped."""
-    events = messages.select(parse_event(value).alias("event")).select("event.*")
+    # Expanding a one-element array keeps the filters above the parser; they would each parse the text again below it.
+    events = messages.select(F.inline(F.array(parse_event(value))))
     return with_calendar(require(with_event_time(events), ["event_id", "event_time", "pickup_zone"]))
