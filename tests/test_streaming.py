@@ -25,7 +25,8 @@ def lines(folder, name, texts):
 
 
 def run(df, path, output_mode="append", counters=None):
-    query = start_query(df, upsert_batch(str(path), counters), str(path / "checkpoint"), available_now=True, output_mode=output_mode)
+    sink = upsert_batch(str(path), counters, stateful=output_mode == "update")
+    query = start_query(df, sink, str(path / "checkpoint"), available_now=True, output_mode=output_mode)
     query.awaitTermination()
     return query
 

@@ -82,7 +82,7 @@ def score_stream(spark, args):
 
 def track_fleet(spark, args):
     snapshots = messages(spark, args).select(F.inline(F.array(parse_event("value", VEHICLE_SCHEMA))))
-    run(latest_vehicle(snapshots), upsert_batch(args.out), args, "update")
+    run(latest_vehicle(snapshots), upsert_batch(args.out, stateful=True), args, "update")
 
 
 def run(df, sink, args, output_mode):

@@ -5,7 +5,7 @@ from __future__ import annotations
 from concurrent.futures import ThreadPoolExecutor
 from typing import NamedTuple
 
-from pyspark import StorageLevel, inheritable_thread_target
+from pyspark import inheritable_thread_target
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 
@@ -15,7 +15,7 @@ from tripspot.operators.evaluation import holdout_metrics, select_model
 from tripspot.operators.ml import build_pipeline, save_model
 from tripspot.operators.score import Split, daily_scores, temporal_split
 from tripspot.operators.weather import assert_coverage, fallback_values, join_weather
-from tripspot.session import shared_dir
+from tripspot.session import scratch_path
 from tripspot.sources.sinks import write_report
 
 METRIC_COLUMNS = (
@@ -33,12 +33,6 @@ class Training(NamedTuple):
     baseline: DataFrame
     fallback: dict
     report: DataFrame
-    cached: tuple
-
-    def release(self) -> None:
-        """Free the cached rows; baseline and report can be computed without them."""
-        for df in self.cached:
-            df.unpersist()
 
 
 def metrics_report(split: Split, metrics: DataFrame, selection, covered, fallback) -> DataFrame:
@@ -86,13 +80,20 @@ def fit_candidates(train_rows: DataFrame, **gbt) -> dict:
         return {name: fit.result() for name, fit in fits.items()}
 
 
+def _stored(df: DataFrame, name: str) -> DataFrame:
+    """The rows as a table in the shared folder. Training reads them many times: a table outlives lost executors, and
+    its partitions follow its size, while a cached plan would keep one per shuffle partition."""
+    path = scratch_path(df.sparkSession, name)
+    df.hint("rebalance").write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def train(trips: DataFrame, weather: DataFrame, minimum_coverage=0.95, scores: DataFrame | None = None, **gbt) -> Training:
     """The training run on curated trips (or on ready scores). Only dates, six fallback values and one-row metrics
     reach the driver."""
-    shared_dir(trips.sparkSession)  # boosting checkpoints there, so its lineage stays short
-    scores = (daily_scores(trips) if scores is None else scores).persist(StorageLevel.MEMORY_AND_DISK)
+    scores = _stored(daily_scores(trips) if scores is None else scores, "scores")
     covered = assert_coverage(scores, weather, minimum_coverage)
-    enriched = join_weather(scores, weather).persist(StorageLevel.MEMORY_AND_DISK)
+    enriched = _stored(join_weather(scores, weather), "training")
     split = temporal_split(enriched)
     models = fit_candidates(split.train, **gbt)
     tested = [
@@ -112,7 +113,7 @@ def train(trips: DataFrame, weather: DataFrame, minimum_coverage=0.95, scores: D
     baseline = historical_baseline(split.train)
     report = metrics_report(split, metrics, selection, covered, fallback)
     chosen = models[selection["selected"]]
-    return Training(chosen, models, metrics, selection, baseline, fallback, report, (scores, enriched))
+    return Training(chosen, models, metrics, selection, baseline, fallback, report)
 
 
 def training_job(trips: DataFrame, weather: DataFrame, out: str, **options) -> Training:
@@ -121,7 +122,6 @@ def training_job(trips: DataFrame, weather: DataFrame, out: str, **options) -> T
     save_model(result.model, f"{out}/model")
     write_report(result.baseline, f"{out}/baseline", fmt="parquet")
     write_report(result.report, f"{out}/metrics")
-    result.release()
     return result
 
 

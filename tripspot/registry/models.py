@@ -21,7 +21,6 @@ def trained(spark, d):
     key = (spark.sparkContext.applicationId, d)
     if key not in _TRAINED:
         _TRAINED[key] = train(fx.demand_trips(spark, d), fx.demand_weather(spark, d))
-        _TRAINED[key].release()
     return _TRAINED[key]
 
 

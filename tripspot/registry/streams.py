@@ -20,7 +20,8 @@ from tripspot.streaming.sink import batch_counters, latest_view, prediction_coun
 def run_all(spark, df, name, counters=None, output_mode="append"):
     """Run a stream over the data at hand; returns the folder of its store."""
     path = scratch_path(spark, name)
-    stream = start_query(df, upsert_batch(path, counters), f"{path}/checkpoint", available_now=True, output_mode=output_mode)
+    sink = upsert_batch(path, counters, stateful=output_mode == "update")
+    stream = start_query(df, sink, f"{path}/checkpoint", available_now=True, output_mode=output_mode)
     stream.awaitTermination()
     return path
 

@@ -28,28 +28,33 @@ def prediction_counters() -> list:
     ]
 
 
-def upsert_batch(path: str, counters=None):
+def upsert_batch(path: str, counters=None, stateful=False):
     """A foreachBatch function. A batch goes to its own folder and replaces what an earlier attempt of the same
     batch left there, so a repeated batch changes nothing. Empty batches write nothing.
 
-    `counters` are aggregates observed during that one write and kept per batch (A23).
+    `counters` are aggregates observed during that one write and kept per batch (A23). The rows of a `stateful` query
+    are not looked at before they are written, because that would run its state update twice.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
-        observation = Observation(f"batch-{batch_id}") if counters else None
-        rows = batch.observe(observation, *counters) if counters else batch
-        rows.write.mode("overwrite").parquet(f"{path}/batches/batch_id={batch_id}")
-        if counters:
-            figures = observation.get
-            schema = ", ".join(f"{name} long" for name in figures)
-            row = batch.sparkSession.createDataFrame([tuple(figures.values())], schema).coalesce(1)
-            row.write.mode("overwrite").parquet(f"{path}/counters/batch_id={batch_id}")
+        if stateful or not batch.isEmpty():
+            _store(batch, f"batch_id={batch_id}", path, counters)
 
     return write
 
 
+def _store(batch: DataFrame, folder: str, path: str, counters) -> None:
+    if not counters:
+        batch.write.mode("overwrite").parquet(f"{path}/batches/{folder}")
+        return
+    observation = Observation(folder)
+    batch.observe(observation, *counters).write.mode("overwrite").parquet(f"{path}/batches/{folder}")
+    figures = observation.get
+    schema = ", ".join(f"{name} long" for name in figures)
+    row = batch.sparkSession.createDataFrame([tuple(figures.values())], schema).coalesce(1)
+    row.write.mode("overwrite").parquet(f"{path}/counters/{folder}")
+
+
 def batch_counters(spark: SparkSession, path: str) -> DataFrame:
     """The counters of all batches."""
     return spark.read.parquet(f"{path}/counters").withColumn("batch_id", F.col("batch_id").cast("long"))
