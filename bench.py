@@ -12,9 +12,8 @@ from tripspot.operators import demand, enrich, score
 from tripspot.operators.baseline import flag_anomaly, historical_baseline
 from tripspot.operators.rows import sample_rows
 from tripspot.plans.partition_bench import bench_partitions
-from tripspot.session import build_session
+from tripspot.session import build_session, scratch_path
 from tripspot.sources.sinks import write_curated
-from tripspot.session import scratch_path
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")

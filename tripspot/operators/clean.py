@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from tripspot.functions.calendar import as_local_time, hour_key, pickup_dow, pickup_hour
-from tripspot.functions.records import surrogate_key
 from tripspot.operators.rows import repeat_rows
 
 # Column names of the public yellow-cab trip record layout.

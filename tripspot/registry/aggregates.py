@@ -6,8 +6,9 @@ from tripspot import fixtures as fx
 from tripspot.functions.geo import great_circle_m
 from tripspot.operators import demand, enrich, evaluation, fleet, score, serving, verify, weather
 from tripspot.operators.baseline import historical_baseline
-from tripspot.operators.clean import clean_trips, normalize_trips, valid_zone_hour
+from tripspot.operators.clean import clean_trips, normalize_trips, valid_zone_hour, with_hour_key
 from tripspot.operators.routes import route_progress
+from tripspot.operators.rows import global_index
 from tripspot.registry.base import level_sql, query, sql
 from tripspot.registry.joins import rounded, scores
 from tripspot.registry.scans import PROFILE, TOP, ZONE_HOURS
@@ -160,8 +161,6 @@ def a14(spark, d):
     ),
 )
 def a15(spark, d):
-    from tripspot.operators.clean import with_hour_key
-
     return weather.coverage(with_hour_key(trips(spark, d)), fx.weather(spark, d))
 
 
@@ -249,8 +248,6 @@ def a22(spark, d):
 
 @query("a24_distinct_hours", "select distinct strftime(ts, '%Y-%m-%dT%H') as weather_hour from events")
 def a24(spark, d):
-    from tripspot.operators.clean import with_hour_key
-
     return demand.distinct_values(with_hour_key(fx.table(spark, d, "events"), "ts"), "weather_hour")
 
 
@@ -361,8 +358,6 @@ def o6(spark, d):
        from (select distinct case when event_type = 'view' then event_type else cast(user_id as varchar) end as v from events)""",
 )
 def o9(spark, d):
-    from tripspot.operators.rows import global_index
-
     user = F.col("user_id").cast("string")
     mixed = F.when(F.col("event_type") == "view", F.col("event_type")).otherwise(user)
     values = fx.table(spark, d, "events").select(mixed.alias("value")).distinct()

@@ -18,7 +18,7 @@ from tripspot.operators.score import daily_scores, temporal_split
 from tripspot.operators.weather import (
     explode_hourly, fill_weather, join_weather, merge_latest, weather_outlook,
 )
-from tripspot.registry.base import label_sql, level_sql, query, sql
+from tripspot.registry.base import label_sql, query, sql
 from tripspot.session import scratch_path
 from tripspot.sources.sinks import write_report, write_zone_hour_tsv
 from tripspot.sources.trips import read_zone_hour_tsv
