@@ -49,3 +49,48 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder."""
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+class Scratch:
+    """Tables below the shared folder that one job owns: written, read back, and removed by their owner.
+
+    A table is written once and read many times, so a lost executor costs a read and not the work before it. `drop`
+    removes what later steps no longer read, `close` (or leaving the `with` block) everything.
+    """
+
+    def __init__(self, spark: SparkSession, name="job"):
+        self.spark, self.root, self.tables = spark, scratch_path(spark, name), {}
+
+    def path(self, name: str) -> str:
+        """A fresh folder of this job."""
+        return f"{self.root}/{name}-{uuid.uuid4().hex[:8]}"
+
+    def store(self, df, name: str):
+        """Write a table and read it back with the schema it was written with."""
+        path = self.path(name)
+        df.write.parquet(path)
+        stored = self.spark.read.schema(df.schema).parquet(path)
+        self.tables[id(stored)] = (path, stored)
+        return stored
+
+    def drop(self, *tables) -> None:
+        """Remove stored tables that nothing reads any more."""
+        for table in tables:
+            remove(self.spark, self.tables.pop(id(table))[0])
+
+    def close(self) -> None:
+        """Remove all that is left."""
+        self.tables.clear()
+        remove(self.spark, self.root)
+
+    def __enter__(self):
+        return self
+
+    def __exit__(self, *_):
+        self.close()
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder by the file system it belongs to."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
