@@ -78,6 +78,11 @@ class Scratch:
         for table in tables:
             remove(self.spark, self.tables.pop(id(table))[0])
 
+    def keep_only(self, *tables) -> None:
+        """Remove every stored table but those given, which a result still reads."""
+        kept = {id(table) for table in tables}
+        self.drop(*[table for key, (_, table) in list(self.tables.items()) if key not in kept])
+
     def close(self) -> None:
         """Remove all that is left."""
         self.tables.clear()
