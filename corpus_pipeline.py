@@ -1,30 +1,75 @@
-"""From raw documents to a training set: each stage works on what the one before it kept."""
+"""From raw documents to a training set: each stage works on what the one before it kept.
+
+`docs` has the columns of `documents`, and may have more, which are dropped. Rows that repeat an id are decided upon
+together by near_dedup and decontaminate, and each for itself by the other stages.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tripspot.llm import language
 from tripspot.llm.base import workspace
+from tripspot.llm.decontaminate import contaminated_pairs
+from tripspot.llm.mixing import mix_sources
 from tripspot.llm.near_dedup import near_duplicates
+from tripspot.llm.sharding import contiguous_shards
+from tripspot.operators.rows import checked_broadcast
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+SHARDS = 24
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without a letter, null ones among them, go: no language can be told. All others stay as they are."""
+    workspace(spark, "language-id")
+    model = language.learn(docs)
+    kept = language.predict(docs, model, carry=tuple(COLUMNS[2:]))
+    return kept.filter(F.col("lang_pred") != language.UNKNOWN).select(*COLUMNS)
+
+
+def without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
+    """Rows whose id is not in `dropped`; rows without an id stay."""
+    return docs.select(*COLUMNS).join(checked_broadcast(dropped.select("doc_id").distinct()), "doc_id", "left_anti").select(*COLUMNS)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates stays: the one with the smallest id."""
+    """Of each group of near duplicates (five words, 0.8) the document with the smallest id stays."""
     groups = near_duplicates(docs, workspace(spark, "near-dedup"))
-    dropped = groups.filter("not kept").select("doc_id").distinct()
-    return docs.join(dropped, "doc_id", "left_anti").select(*COLUMNS)
+    return without(docs, groups.filter("not kept"))
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold half of a benchmark item or more, in any order, go."""
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return without(docs, contaminated_pairs(docs, benchmark, workspace(spark, "decontaminate")))
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as many times as the target of its source asks for: not at all, once or twice."""
+    mixed = mix_sources(docs, workspace(spark, "mix"), carry=("text", "lang", "n_chars"))
+    return mixed.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.col("copies").cast("int")))).filter("_copy > 0").select(*COLUMNS)
+
+
+def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Where each row goes: shard and slot, by near-equal bytes."""
+    return contiguous_shards(docs, workspace(spark, "shard"), SHARDS)
 
 
-STAGES = [("near_dedup", near_dedup)]
-ORACLE_SQL = None
+STAGES = [
+    ("language_id", language_id),
+    ("near_dedup", near_dedup),
+    ("decontaminate", decontaminate),
+    ("mix", mix),
+    ("shard", shard),
+]
+ORACLE_SQL = None  # SQL expresses neither the classifier nor the tiling
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over `documents`, each written to the shared folder and read again."""
     scratch = workspace(spark, "pipeline")
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES:
+    for name, stage in STAGES[:-1]:
         docs = scratch.store(stage(spark, docs, sf_dir), name)
-    return docs
+    return STAGES[-1][1](spark, docs, sf_dir)

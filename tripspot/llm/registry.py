@@ -2,14 +2,92 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tripspot.llm import language, toxicity, warc
 from tripspot.llm.base import ORACLES, QUERIES, query, table, workspace
+from tripspot.llm.decontaminate import contaminated_pairs
+from tripspot.llm.edits import count_edited
+from tripspot.llm.mixing import mix_sources
 from tripspot.llm.near_dedup import near_duplicates
+from tripspot.llm.secrets import joined, scan_secrets
+from tripspot.llm.sharding import contiguous_shards
+from tripspot.llm.vectors import top_products
 
 __all__ = ["ORACLES", "QUERIES"]
 
 
+def remainder(divisor: int) -> F.Column:
+    """Of the checksum of the id as text; null for a null id."""
+    return F.crc32(F.col("doc_id").cast("string")) % divisor
+
+
 @query("op1_near_dedup")
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), workspace(spark, "op1"), width=4)
+
+
+@query("op2_secret_scan")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = scan_secrets(table(spark, sf_dir, "documents"), workspace(spark, "op2"))
+    return found.withColumn("base_sha256", F.sha2(joined("base_spans"), 256)).withColumn("spans", joined("spans")).drop("base_spans")
+
+
+@query("op3_toxicity")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    workspace(spark, "op3")
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = toxicity.learn(docs, labels.filter(remainder(3) != 1))
+    spans = F.transform("spans", lambda s: F.concat_ws(":", s["start"].cast("string"), s["end"].cast("string")))
+    return toxicity.tag(docs, model).select(
+        "doc_id",
+        F.coalesce(remainder(3) == 1, F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"),
+        F.array_join(spans, ",").alias("toxic_spans"),
+    )
+
+
+@query("op4_warc")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scratch = workspace(spark, "op4")
+    files = warc.write_archives(table(spark, sf_dir, "pages"), scratch, scratch.path("archives"))
+    records, _ = warc.read_archives(files, scratch)
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query("op5_decontaminate")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, benchmark = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return contaminated_pairs(docs, benchmark, workspace(spark, "op5"))
+
+
+@query("op6_language_id")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    workspace(spark, "op6")
+    docs = table(spark, sf_dir, "documents")
+    model = language.learn(docs.filter(remainder(4) != 2))
+    held_out = F.coalesce(remainder(4) == 2, F.lit(False)).alias("held_out")
+    return language.predict(docs, model).select("doc_id", held_out, "lang_pred", "score")
+
+
+@query("op7_exact_topk")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return top_products(vectors, vectors.filter("vec_id % 100 = 0"), workspace(spark, "op7"))
+
+
+@query("op8_sharding")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contiguous_shards(table(spark, sf_dir, "documents"), workspace(spark, "op8"))
+
+
+@query("op9_token_counts")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    workspace(spark, "op9")
+    return count_edited(table(spark, sf_dir, "documents"))
+
+
+@query("op10_mixing")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_sources(table(spark, sf_dir, "documents"), workspace(spark, "op10"))
