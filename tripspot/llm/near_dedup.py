@@ -105,6 +105,50 @@ def _linked(pairs, texts, width, percent):
     return sided.mapInArrow(functools.partial(_confirm, width=width, percent=percent), "center long, id long").distinct()
 
 
+def _edges(links):
+    return functools.reduce(DataFrame.unionByName, links).select(F.col("center").alias("u"), F.col("id").alias("v"))
+
+
+def _open(members, labels):
+    """Members of buckets that hold several components, with their component, the bucket's largest component, and the
+    number of members outside it."""
+    labelled = members.join(labels, "id", "left").withColumn("component", F.coalesce("component", "id")).drop("center")
+    split = (
+        labelled.groupBy("bucket", "component")
+        .agg(F.count("*").alias("k"))
+        .groupBy("bucket")
+        .agg(F.max_by("component", F.struct("k", "component")).alias("largest"), (F.sum("k") - F.max("k")).alias("others"))
+        .filter("others > 0")
+    )
+    return labelled.join(split, "bucket")
+
+
+def _short_hashes(batches, width):
+    for batch in batches:
+        for first, data, offsets in blocks(batch.column("text")):
+            row, value = distinct_sorted(*shingles(split_words(data, offsets), width, True))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("id").take(pa.array(row + first)), pa.array((value >> U64(32)).astype(np.uint32).view(np.int32))],
+                ["id", "shingle"],
+            )
+
+
+def _shared_parts(ids, texts, width):
+    """id, n (shingles), shared (those that another of these ids has too), any_text (the id has several texts).
+
+    Two sets share no more than the smaller of their shared parts, which bounds their similarity before any comparison.
+    Shingles are compared by 32 bits: a collision makes the bound weaker, never wrong.
+    """
+    own = texts.join(checked_broadcast(ids), "id", "left_semi")
+    hashed = own.mapInArrow(functools.partial(_short_hashes, width=width), "id long, shingle int")
+    alone = hashed.groupBy("shingle").agg(F.min("id").alias("id"), F.max("id").alias("last"), F.count("*").alias("times"))
+    alone = alone.filter("id = last").groupBy("id").agg(F.sum("times").alias("alone"))
+    size = hashed.groupBy("id").agg(F.count("*").alias("n"))
+    texts_of = own.groupBy("id").agg((F.count("*") > 1).alias("any_text"))
+    parts = size.join(texts_of, "id").join(alone, "id", "left")
+    return parts.select("id", "n", (F.col("n") - F.coalesce("alone", F.lit(0))).alias("shared"), "any_text")
+
+
 def near_duplicates(
     docs: DataFrame,
     scratch: Scratch,
@@ -124,10 +168,13 @@ def near_duplicates(
        node, so groups of copies, however large, cost one row per task.
     2. Each bucket links its members to its smallest id: a star, one candidate per member and never all pairs.
        Candidates are confirmed on the full sets, confirmed ones give components.
-    3. A member that its star's centre did not confirm may be like another member. Buckets that still hold several
-       components get more centres, twice as many each round, taken from the components other than the bucket's
-       largest and compared with the members of other components only, until every such member has been a centre.
-       So no candidate of any bucket is lost, and a bucket of one component costs nothing more.
+    3. A member that its star's centre did not confirm may be like another member. In buckets that still hold several
+       components, the shingles that a set shares with any other such set bound what it can be similar to: two sets
+       share no more than the smaller of these parts. Sets that cannot reach the threshold leave; of the others, those
+       outside their bucket's largest component become centres in turn, eight times as many each round, and are
+       compared with members of other components as far as the bound allows. So no link within a bucket is lost, a
+       bucket of one component costs nothing more, and a large group of texts that are almost similar enough is told
+       apart without comparing its texts.
 
     With 128 bins and 4 rows a band, a pair at similarity 0.8 shares no bucket with probability (1 - 0.8^4)^32, about
     5e-8. Ids are whole numbers. A null or blank text has no shingles: it is linked with nothing and kept. A null id
@@ -154,40 +201,38 @@ def near_duplicates(
     pairs = scratch.store(members.filter("id <> center").select("center", "id").distinct(), "pairs")
     compared = [pairs]
     links = [scratch.store(_linked(pairs, texts, width, percent), "links")]
-    centers, complete = 1, False
+    labels = scratch.store(components(_edges(links), scratch), "labels")
+    candidates = scratch.store(_open(members, labels), "open")
+    shared = scratch.store(_shared_parts(candidates.select("id").distinct(), texts, width), "parts")
+    able = shared.filter(F.col("any_text") | (100 * F.col("shared") >= percent * F.col("n")))
+    candidates = scratch.store(candidates.select("bucket", "id").join(able, "id"), "able")
+    centers = 4
     while True:
-        united = functools.reduce(DataFrame.unionByName, links).select(F.col("center").alias("u"), F.col("id").alias("v"))
-        labels = scratch.store(components(united, scratch), "labels")
-        labelled = members.join(labels, "id", "left").select("bucket", "id", F.coalesce("component", "id").alias("component"))
-        split = scratch.store(
-            labelled.groupBy("bucket", "component")
-            .agg(F.count("*").alias("n"))
-            .groupBy("bucket")
-            .agg(F.max_by("component", F.struct("n", "component")).alias("largest"), (F.sum("n") - F.max("n")).alias("others"))
-            .filter("others > 0"),
-            "split",
-        )
-        most = split.agg(F.max("others")).first()[0]
-        if most is None or complete:
+        open_members = scratch.store(_open(candidates, labels), "open")
+        most = open_members.agg(F.max("others")).first()[0]
+        if most is None:
             break
-        open_members = scratch.store(labelled.join(split, "bucket"), "open")
         share = (F.xxhash64("id", "bucket") % 1_000_000 + 1_000_000) / 2_000_000
         stars = open_members.filter((F.col("component") != F.col("largest")) & (share * F.col("others") <= centers))
+        both = F.least("shared", "shared_b")
+        may_link = F.col("any_text") | F.col("any_text_b") | (100 * both >= percent * (F.col("n") + F.col("n_b") - both))
         fresh = (
-            stars.select("bucket", F.col("id").alias("a"), F.col("component").alias("of"))
-            .join(open_members.select("bucket", F.col("id").alias("b"), "component"), "bucket")
-            .filter("of <> component")
-            .select(F.least("a", "b").alias("center"), F.greatest("a", "b").alias("id"))
+            stars.join(open_members.select("bucket", *[F.col(c).alias(f"{c}_b") for c in ("id", "component", "n", "shared", "any_text")]), "bucket")
+            .filter((F.col("component") != F.col("component_b")) & may_link)
+            .select(F.least("id", "id_b").alias("center"), F.greatest("id", "id_b").alias("id"))
             .distinct()
         )
         fresh = scratch.store(
             fresh.join(functools.reduce(DataFrame.unionByName, compared), ["center", "id"], "left_anti"), "fresh"
         )
-        compared.append(fresh)
         found = scratch.store(_linked(fresh, texts, width, percent), "links")
-        links.append(found)
-        complete = centers >= most
-        centers *= 2
+        if found.head(1):
+            compared.append(fresh)
+            links.append(found)
+            labels = scratch.store(components(_edges(links), scratch), "labels")
+        if centers >= most:
+            break
+        centers *= 8
 
     scratch.keep_only(sketches, sets, labels)
     by_set = sets.join(labels, "id", "left").select("set_a", "set_b", F.coalesce("component", "id").alias("component"))
