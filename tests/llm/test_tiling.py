@@ -45,7 +45,7 @@ def test_long_matches_restart_the_search():
 
 
 def passage(item, n=50):
-    return [f"q{item}w{i}" for i in range(n)]
+    return [f"q{item}é{i}" for i in range(n)]
 
 
 @pytest.fixture

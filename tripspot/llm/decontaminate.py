@@ -7,6 +7,7 @@ from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from tripspot.llm.words import U64, blocks, shingles, split_words
@@ -90,7 +91,7 @@ def _matches(text, pattern, free_text, free_pattern, size):
 def _seeds(batches, width):
     """Of each item its words' hashes, and its seeds: the hash of each run of `width` words."""
     for batch in batches:
-        for first, data, offsets in blocks(batch.column("text")):
+        for first, data, offsets in blocks(pc.utf8_lower(batch.column("text"))):
             words = split_words(data, offsets)
             n = len(offsets) - 1
             row, value = shingles(words, width, False)
@@ -108,7 +109,7 @@ def _hits(batches, width, packed):
     """Places in each text that may begin a seed of some item."""
     bits = np.unpackbits(np.frombuffer(packed, np.uint8)).view(bool)
     for batch in batches:
-        for first, data, offsets in blocks(batch.column("text")):
+        for first, data, offsets in blocks(pc.utf8_lower(batch.column("text"))):
             words = split_words(data, offsets)
             row, value = shingles(words, width, False)
             hit = np.flatnonzero(bits[(value >> U64(64 - FILTER_BITS)).astype(np.int64)])
@@ -170,7 +171,7 @@ def contaminated_pairs(
     """id, item_id, item_words, matched_words, tiles, longest, coverage for each document and benchmark item of which
     non-overlapping matches of `seed_words` words or more cover at least `coverage` of the item's words.
 
-    Words are lower-cased (A-Z) and compared by 64-bit hash. One pass over the texts keeps the places of runs of
+    Words are lower-cased and compared by 64-bit hash. One pass over the texts keeps the places of runs of
     `seed_words` words that a bit set of the items' runs may know; an exact join on the run's hash gives pairs of
     document and item. Pairs with fewer different item places than the needed tiles must have are left out before
     tiling, which loses nothing. A run that occurs in a third of the documents costs one row for each of them and

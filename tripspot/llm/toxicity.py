@@ -167,7 +167,7 @@ def token_labels(row: np.ndarray, features: np.ndarray, toxic: np.ndarray, noise
     return explains[features].any(axis=1) & toxic[row]
 
 
-def fit(texts: list[str], toxic: np.ndarray, epochs=40, rate=0.5, ridge=1e-4) -> Model:
+def fit(texts: list[str], toxic: np.ndarray, epochs=30, rate=0.5, ridge=1e-4) -> Model:
     """Maximum likelihood of the token labels by AdaGrad, then a logistic regression of the documents' labels."""
     parts = [t for _, t in tokens(pa.array(texts, pa.string()))]
     lengths = np.concatenate([t.lengths for t in parts]) if parts else np.zeros(0, int)
@@ -188,7 +188,7 @@ def fit(texts: list[str], toxic: np.ndarray, epochs=40, rate=0.5, ridge=1e-4) ->
     np.add.at(seen, (0, y[first]), 1)
     np.add.at(seen, (y[last], 0), 1)
     used = np.unique(features)
-    compact = np.searchsorted(used, features)
+    compact = np.searchsorted(used, features).astype(np.int32)
     weight, squares = np.zeros(len(used) + 1), np.full(len(used) + 1, 1e-6)  # the last is the bias
     weight[-1] = -3.0
     transition, t_squares = np.array([[0.0, -2.0], [0.0, 0.0]]), np.full((2, 2), 1e-6)
@@ -225,8 +225,9 @@ def fit(texts: list[str], toxic: np.ndarray, epochs=40, rate=0.5, ridge=1e-4) ->
     return Model(np.append(emission, weight[-1]), transition, beta)
 
 
-def learn(docs: DataFrame, labels: DataFrame, id_col="doc_id", text_col="text", toxic_col="toxic", per_class=600) -> Model:
-    """Fit on whole texts of labelled rows: of each class the `per_class` ids that come first in a hashed order.
+def learn(docs: DataFrame, labels: DataFrame, id_col="doc_id", text_col="text", toxic_col="toxic", toxic_rows=600, clean_rows=1200) -> Model:
+    """Fit on whole texts of labelled rows: `toxic_rows` ids of the toxic and `clean_rows` of the clean ones, those that
+    come first in a hashed order. The scores' prior is that of all labelled rows.
 
     That bounded sample is all that reaches the driver. Labels that are null are left out; an id labelled twice is
     toxic if one of its labels is.
@@ -234,11 +235,19 @@ def learn(docs: DataFrame, labels: DataFrame, id_col="doc_id", text_col="text",
     marked = labels.select(F.col(id_col).cast("long").alias("id"), F.col(toxic_col).cast("int").alias("toxic")).dropna()
     order = Window.partitionBy("toxic").orderBy(F.xxhash64("id"), "id")
     marked = marked.groupBy("id").agg(F.max("toxic").alias("toxic"))
-    chosen = marked.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= per_class).drop("place")
+    counts = {r["toxic"]: r["count"] for r in marked.groupBy("toxic").count().collect()}  # one row for each class
+    limit = F.when(F.col("toxic") == 1, F.lit(toxic_rows)).otherwise(F.lit(clean_rows))
+    chosen = marked.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= max(toxic_rows, clean_rows))
+    chosen = chosen.filter(F.col("place") <= limit).drop("place")
     own = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).filter("text is not null")
     rows = own.join(F.broadcast(chosen), "id").groupBy("id").agg(F.min("text").alias("text"), F.max("toxic").alias("toxic"))
     rows = sorted(rows.collect())
-    return fit([r["text"] for r in rows], np.array([r["toxic"] == 1 for r in rows], bool))
+    toxic = np.array([r["toxic"] == 1 for r in rows], bool)
+    model = fit([r["text"] for r in rows], toxic)
+    bad, good = counts.get(1, 0), sum(n for k, n in counts.items() if k != 1)
+    if toxic.any() and not toxic.all():
+        model.document[0] += np.log(bad / good) - np.log(toxic.sum() / (~toxic).sum())
+    return model
 
 
 def _tag(batches, model: Model):
