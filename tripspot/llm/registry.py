@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tripspot.llm import language, toxicity, warc
+from tripspot.llm import language, oracles, toxicity, warc
 from tripspot.llm.base import ORACLES, QUERIES, query, table, workspace
 from tripspot.llm.decontaminate import contaminated_pairs
 from tripspot.llm.edits import count_edited
@@ -22,7 +22,7 @@ def remainder(divisor: int) -> F.Column:
     return F.crc32(F.col("doc_id").cast("string")) % divisor
 
 
-@query("op1_near_dedup")
+@query("op1_near_dedup", oracles.NEAR_DEDUP)
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), workspace(spark, "op1"), width=4)
 
@@ -48,7 +48,7 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("op4_warc")
+@query("op4_warc", oracles.WARC)
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     scratch = workspace(spark, "op4")
     files = warc.write_archives(table(spark, sf_dir, "pages"), scratch, scratch.path("archives"))
@@ -71,13 +71,13 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predict(docs, model).select("doc_id", held_out, "lang_pred", "score")
 
 
-@query("op7_exact_topk")
+@query("op7_exact_topk", oracles.TOP_K)
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
     return top_products(vectors, vectors.filter("vec_id % 100 = 0"), workspace(spark, "op7"))
 
 
-@query("op8_sharding")
+@query("op8_sharding", oracles.SHARDING)
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contiguous_shards(table(spark, sf_dir, "documents"), workspace(spark, "op8"))
 
@@ -88,6 +88,6 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_edited(table(spark, sf_dir, "documents"))
 
 
-@query("op10_mixing")
+@query("op10_mixing", oracles.MIXING)
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(table(spark, sf_dir, "documents"), workspace(spark, "op10"))
