@@ -8,7 +8,9 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
+
+from tripspot.llm.sample import first_by_hash
 
 SLOTS = 1 << 15
 GRAMS = (2, 3, 4)
@@ -80,10 +82,7 @@ def learn(docs: DataFrame, id_col="doc_id", text_col="text", lang_col="lang", pe
     known = docs.select(
         F.col(id_col).cast("long").alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text")
     ).filter("id is not null and lang is not null and text is not null")
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
-    chosen = (
-        known.select("id", "lang").distinct().withColumn("place", F.row_number().over(order)).filter(F.col("place") <= per_language)
-    )
+    chosen, _ = first_by_hash(known, "lang", F.lit(per_language), per_language)
     sample = known.join(F.broadcast(chosen), ["id", "lang"])  # at most per_language rows for each language
     sample = sample.groupBy("lang", "place").agg(F.min("text").alias("text"))
     rows = sample.mapInArrow(_gram_bits, "lang string, place int, bits binary").orderBy("lang", "place").collect()

@@ -8,8 +8,9 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
+from tripspot.llm.sample import first_by_hash
 from tripspot.llm.words import U64, blocks, hash_spans, mix, runs
 
 TOKEN = np.zeros(256, bool)
@@ -34,8 +35,8 @@ class Tokens(NamedTuple):
 
 
 class Model(NamedTuple):
-    """Emission weight of each feature for the toxic state, log-potentials of the four transitions, and the logistic
-    weights of a document's summary."""
+    """Emission weight of each feature for the toxic state and, last, its bias; log-potentials of the four transitions;
+    the logistic weights of a document's summary."""
 
     emission: np.ndarray
     transition: np.ndarray
@@ -172,7 +173,7 @@ def fit(texts: list[str], toxic: np.ndarray, epochs=30, rate=0.5, ridge=1e-4) ->
     parts = [t for _, t in tokens(pa.array(texts, pa.string()))]
     lengths = np.concatenate([t.lengths for t in parts]) if parts else np.zeros(0, int)
     if not lengths.sum() or not toxic.any():
-        return Model(np.zeros(NONE), np.array([[0.0, -20.0], [0.0, 0.0]]), np.array([-9.0, 0.0, 0.0]))
+        return Model(np.append(np.zeros(NONE), -9.0), np.array([[0.0, -9.0], [0.0, 0.0]]), np.array([-9.0, 0.0, 0.0]))
     features = np.concatenate([t.features for t in parts])
     row = np.repeat(np.arange(len(lengths)), lengths)
     label = token_labels(row, features, toxic)
@@ -233,14 +234,12 @@ def learn(docs: DataFrame, labels: DataFrame, id_col="doc_id", text_col="text",
     toxic if one of its labels is.
     """
     marked = labels.select(F.col(id_col).cast("long").alias("id"), F.col(toxic_col).cast("int").alias("toxic")).dropna()
-    order = Window.partitionBy("toxic").orderBy(F.xxhash64("id"), "id")
     marked = marked.groupBy("id").agg(F.max("toxic").alias("toxic"))
-    counts = {r["toxic"]: r["count"] for r in marked.groupBy("toxic").count().collect()}  # one row for each class
     limit = F.when(F.col("toxic") == 1, F.lit(toxic_rows)).otherwise(F.lit(clean_rows))
-    chosen = marked.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= max(toxic_rows, clean_rows))
-    chosen = chosen.filter(F.col("place") <= limit).drop("place")
+    chosen, counts = first_by_hash(marked, "toxic", limit, max(toxic_rows, clean_rows))
+    counts = {r["toxic"]: r["size"] for r in counts.collect()}  # one row for each class
     own = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).filter("text is not null")
-    rows = own.join(F.broadcast(chosen), "id").groupBy("id").agg(F.min("text").alias("text"), F.max("toxic").alias("toxic"))
+    rows = own.join(F.broadcast(chosen.drop("place")), "id").groupBy("id").agg(F.min("text").alias("text"), F.max("toxic").alias("toxic"))
     rows = sorted(rows.collect())
     toxic = np.array([r["toxic"] == 1 for r in rows], bool)
     model = fit([r["text"] for r in rows], toxic)

@@ -176,7 +176,7 @@ def top_products(
 
     Vectors that are null or empty, or hold a null or non-finite component, and rows with a null id take no part, as
     row or query. A query is compared with rows of its dimension only, and never with rows of its own id, so repeated
-    rows of one id do not find each other; equal queries count once. Too few rows give fewer ranks, none no rows.
+    rows of one id do not find each other, while others find each of them; equal queries count once. Too few rows give fewer ranks, none no rows.
     Scores must fit 64 bits.
     """
     own = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("vector"))
@@ -197,5 +197,5 @@ def top_products(
         found.append(scratch.store(own.mapInArrow(scan, FOUND), f"block-{number}"))
     every = functools.reduce(DataFrame.unionByName, found)
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    best = every.distinct().withColumn("rank", rank).filter(F.col("rank") <= k)
+    best = every.withColumn("rank", rank).filter(F.col("rank") <= k)
     return best.select("query_id", "rank", "vec_id", "score")
