@@ -29,7 +29,7 @@ def components(links: DataFrame, scratch: Scratch) -> DataFrame:
     while before[0]:
         both = _both(edges)
         least = both.groupBy("u").agg(F.least("u", F.min("v")).alias("m"))
-        large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         middle = scratch.store(large, "large-star")
         # Every pair has u > v: the neighbours of u that are not larger.
         least = middle.groupBy("u").agg(F.min("v").alias("m"))

@@ -15,6 +15,8 @@ from tripspot.session import Scratch
 
 BINS = 128
 ROWS_PER_BAND = 4
+BITMAP = 4096
+CENTERS = 64
 SKETCH = "id long, n_shingles long, set_a long, set_b long, bands array<long>"
 
 
@@ -123,6 +125,35 @@ def _open(members, labels):
     return labelled.join(split, "bucket")
 
 
+def _bitmaps(batches, width):
+    for batch in batches:
+        for first, data, offsets in blocks(batch.column("text")):
+            n = len(offsets) - 1
+            row, value = distinct_sorted(*shingles(split_words(data, offsets), width, True))
+            bits = np.zeros((n, BITMAP), np.uint8)
+            bits[row, (value % U64(BITMAP)).astype(np.int64)] = 1
+            longs = np.packbits(bits, axis=1).view(np.int64)
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * longs.shape[1]), pa.array(longs.ravel()))
+            ones = bits.sum(axis=1, dtype=np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("id").slice(first, n), pa.array(np.bincount(row, minlength=n)), pa.array(ones), lists],
+                ["id", "n", "ones", "bits"],
+            )
+
+
+def _may_link(percent):
+    """Whether two sets could reach the threshold, by bounds on what they share that are never too low: the smaller of
+    their shared parts; and the bits that are set in both bitmaps, with the shingles that share a bit inside a set."""
+
+    def reaches(most):
+        return 100 * most >= percent * (F.col("n") + F.col("n_b") - most)
+
+    parts = F.least("shared", "shared_b")
+    both = F.aggregate(F.zip_with("bits", "bits_b", lambda x, y: F.bit_count(x.bitwiseAND(y)).cast("long")), F.lit(0).cast("long"), lambda s, x: s + x)
+    bits = both + F.least(F.col("n") - F.col("ones"), F.col("n_b") - F.col("ones_b"))
+    return F.col("any_text") | F.col("any_text_b") | (reaches(parts) & reaches(F.least(parts, bits)))
+
+
 def _short_hashes(batches, width):
     for batch in batches:
         for first, data, offsets in blocks(batch.column("text")):
@@ -134,7 +165,8 @@ def _short_hashes(batches, width):
 
 
 def _shared_parts(ids, texts, width):
-    """id, n (shingles), shared (those that another of these ids has too), any_text (the id has several texts).
+    """id, n (shingles), shared (those that another of these ids has too), any_text (the id has several texts), and a
+    bitmap of the shingles with its number of ones.
 
     Two sets share no more than the smaller of their shared parts, which bounds their similarity before any comparison.
     Shingles are compared by 32 bits: a collision makes the bound weaker, never wrong.
@@ -143,10 +175,12 @@ def _shared_parts(ids, texts, width):
     hashed = own.mapInArrow(functools.partial(_short_hashes, width=width), "id long, shingle int")
     alone = hashed.groupBy("shingle").agg(F.min("id").alias("id"), F.max("id").alias("last"), F.count("*").alias("times"))
     alone = alone.filter("id = last").groupBy("id").agg(F.sum("times").alias("alone"))
-    size = hashed.groupBy("id").agg(F.count("*").alias("n"))
-    texts_of = own.groupBy("id").agg((F.count("*") > 1).alias("any_text"))
-    parts = size.join(texts_of, "id").join(alone, "id", "left")
-    return parts.select("id", "n", (F.col("n") - F.coalesce("alone", F.lit(0))).alias("shared"), "any_text")
+    drawn = own.mapInArrow(functools.partial(_bitmaps, width=width), "id long, n long, ones long, bits array<long>")
+    texts_of = drawn.groupBy("id").agg(
+        (F.count("*") > 1).alias("any_text"), F.max("n").alias("n"), F.max("ones").alias("ones"), F.first("bits").alias("bits")
+    )
+    shared = (F.col("n") - F.coalesce("alone", F.lit(0))).alias("shared")
+    return texts_of.join(alone, "id", "left").select("id", "n", shared, "any_text", "ones", "bits")
 
 
 def near_duplicates(
@@ -169,9 +203,10 @@ def near_duplicates(
     2. Each bucket links its members to its smallest id: a star, one candidate per member and never all pairs.
        Candidates are confirmed on the full sets, confirmed ones give components.
     3. A member that its star's centre did not confirm may be like another member. In buckets that still hold several
-       components, the shingles that a set shares with any other such set bound what it can be similar to: two sets
-       share no more than the smaller of these parts. Sets that cannot reach the threshold leave; of the others, those
-       outside their bucket's largest component become centres in turn, eight times as many each round, and are
+       components, bounds tell what may still be similar: two sets share no more than the smaller of the parts of
+       them that any other such set has, and little more than the bits that their bitmaps share. Sets that cannot
+       reach the threshold leave; of the others, those
+       outside their bucket's largest component become centres in turn, 64 times as many each round, and are
        compared with members of other components as far as the bound allows. So no link within a bucket is lost, a
        bucket of one component costs nothing more, and a large group of texts that are almost similar enough is told
        apart without comparing its texts.
@@ -206,19 +241,19 @@ def near_duplicates(
     shared = scratch.store(_shared_parts(candidates.select("id").distinct(), texts, width), "parts")
     able = shared.filter(F.col("any_text") | (100 * F.col("shared") >= percent * F.col("n")))
     candidates = scratch.store(candidates.select("bucket", "id").join(able, "id"), "able")
-    centers = 4
+    centers, open_members = CENTERS, None
     while True:
-        open_members = scratch.store(_open(candidates, labels), "open")
+        if open_members is None:
+            open_members = scratch.store(_open(candidates, labels), "open")
         most = open_members.agg(F.max("others")).first()[0]
         if most is None:
             break
         share = (F.xxhash64("id", "bucket") % 1_000_000 + 1_000_000) / 2_000_000
         stars = open_members.filter((F.col("component") != F.col("largest")) & (share * F.col("others") <= centers))
-        both = F.least("shared", "shared_b")
-        may_link = F.col("any_text") | F.col("any_text_b") | (100 * both >= percent * (F.col("n") + F.col("n_b") - both))
+        other = ["id", "component", "n", "shared", "any_text", "ones", "bits"]
         fresh = (
-            stars.join(open_members.select("bucket", *[F.col(c).alias(f"{c}_b") for c in ("id", "component", "n", "shared", "any_text")]), "bucket")
-            .filter((F.col("component") != F.col("component_b")) & may_link)
+            stars.join(open_members.select("bucket", *[F.col(c).alias(f"{c}_b") for c in other]), "bucket")
+            .filter((F.col("component") != F.col("component_b")) & _may_link(percent))
             .select(F.least("id", "id_b").alias("center"), F.greatest("id", "id_b").alias("id"))
             .distinct()
         )
@@ -229,10 +264,10 @@ def near_duplicates(
         if found.head(1):
             compared.append(fresh)
             links.append(found)
-            labels = scratch.store(components(_edges(links), scratch), "labels")
+            labels, open_members = scratch.store(components(_edges(links), scratch), "labels"), None
         if centers >= most:
             break
-        centers *= 8
+        centers *= CENTERS
 
     scratch.keep_only(sketches, sets, labels)
     by_set = sets.join(labels, "id", "left").select("set_a", "set_b", F.coalesce("component", "id").alias("component"))
