@@ -2,12 +2,14 @@
 
 import json
 from datetime import datetime, timedelta
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from tripspot.functions.fixed import WEATHER_FIELDS
 from tripspot.jobs import main
+from tripspot.session import shared_dir
 from tripspot.streaming.sink import batch_counters, latest_view
 
 
@@ -69,13 +71,31 @@ def test_jobs(spark, lake):
     (yard / "a.txt").write_text("\n".join(map(json.dumps, cars)))
     main(["track-fleet", "--folder", str(yard), "--out", str(lake / "fleet"), *common, str(lake / "c2")], spark)
 
-    main(["forecast", "--curated", curated, "--artifacts", artifacts, "--weather", weather, "--now", "2024-03-10T22:30:00", "--hours", "2", "--out", str(lake / "forecast")], spark)
+    main(["forecast", "--artifacts", artifacts, "--weather", weather, "--now", "2024-03-10T22:30:00", "--hours", "2", "--out", str(lake / "forecast")], spark)
     forecasts = read(spark, lake / "forecast")
     assert len(forecasts) == 10 and {r.weather_hour for r in forecasts} == {"2024-03-10T23", "2024-03-11T00"}
     assert {r.pickup_zone for r in forecasts if r["rank"] == 1} == {"1"}
 
+    # Unmapped zones come from the baseline; with a map every zone of it is there.
+    features = [{"properties": {"LocationID": str(i)}} for i in (1, 2, 99)]
+    (lake / "map.json").write_text(json.dumps({"features": features}))
+    main(["forecast", "--artifacts", artifacts, "--weather", weather, "--now", "2024-03-10T22:30:00", "--hours", "1", "--geojson", str(lake / "map.json"), "--out", str(lake / "mapped"), "--outlook", str(lake / "outlook")], spark)
+    assert {r.pickup_zone for r in read(spark, lake / "mapped")} == {"1", "2", "99"}
+    assert len(read(spark, lake / "outlook")) == 4
+
+    # A second batch, then compaction: the view stays.
+    (inbox / "b.txt").write_text(json.dumps(events[0] | {"event_id": "late"}))
+    main(["score-stream", "--folder", str(inbox), "--artifacts", artifacts, "--weather", weather, "--out", str(lake / "preds"), *common, str(lake / "c1")], spark)
+    (inbox / "b.txt").unlink()
+    before = sorted(r.event_id for r in latest_view(spark, str(lake / "preds")).collect())
+    for _ in range(2):
+        main(["compact", "--out", str(lake / "preds"), "--keep", "1"], spark)
+    assert sorted(r.event_id for r in latest_view(spark, str(lake / "preds")).collect()) == before and len(before) == 41
+
+    scratch = Path(shared_dir(spark))
+    assert not [p for p in scratch.iterdir() if p.name.startswith(("score-stream", "dashboard"))]
     main(["dashboard", "--predictions", str(lake / "preds"), "--vehicles", str(lake / "fleet"), "--out", str(lake / "board")], spark)
-    assert read(spark, lake / "board/summary")[0]["count"] == 40
+    assert read(spark, lake / "board/summary")[0]["count"] == 41
     assert len(read(spark, lake / "board/predictions")) == 30
     pairs = read(spark, lake / "board/dispatch")
     assert {p.vehicle_id for p in pairs} == {"V-1", "V-3", "V-5"} and len({p.target_zone for p in pairs}) == 3

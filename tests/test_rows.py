@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tripspot.operators.clean import dedup, with_event_id
 from tripspot.operators.demand import zone_hour_counts
 from tripspot.operators.fleet import latest_state
+from tripspot.plans.reports import formatted_plan
 from tripspot.operators.rows import checked_broadcast, global_index, repeat_rows, sample_rows, top_rows
 
 
@@ -71,7 +72,17 @@ def test_top_rows(spark, n):
     rows = spark.range(4000, numPartitions=9).select((F.col("id") * 7919 % 4001).alias("v"))
     order = [F.desc("v")]
     expected = sorted((r.v for r in rows.collect()), reverse=True)[:n]
-    assert [r.v for r in top_rows(rows, order, n, direct=10, groups=4).collect()] == expected
+    assert [r.v for r in top_rows(rows, order, n).collect()] == expected
+
+
+def test_top_rows_has_no_window_over_the_table(spark):
+    """Only the counts of partitions, one row each, meet in a window; the border is cut by place."""
+    rows = spark.range(40_000, numPartitions=9).select((F.col("id") % 977).alias("v"), "id")
+    out = top_rows(rows, [F.asc("v"), F.desc("id")], 5000)
+    assert out.count() == 5000
+    plan = formatted_plan(out)
+    assert plan.count("Window") <= 2 and "TakeOrdered" not in plan and "Limit" not in plan
+    assert [r.v for r in out.orderBy("v").limit(1).collect()] == [0]
 
 
 def test_sample_rows_is_exact(spark):

@@ -1,6 +1,7 @@
 """Readers, writers and the ETL job."""
 
 import json
+import re
 
 import pytest
 from pyspark.errors import AnalysisException
@@ -11,9 +12,10 @@ from tripspot.operators.clean import clean_trips, normalize_trips
 from tripspot.operators.verify import crosscheck_zone_hour, same_rows
 from tripspot.plans.etl import etl_job, run_etl
 from tripspot.plans.reports import formatted_plan, register_views, run_sql, save_reports
+from tripspot.operators.demand import raw_zone_hours
+from tripspot.operators.demand import zone_hour_counts
 from tripspot.sources.kafka import kafka_options, to_kafka_value
 from tripspot.sources.sinks import is_done, write_curated, write_zone_hour_csv, write_zone_hour_tsv
-from tripspot.sources.synthetic import synthetic_trips
 from tripspot.sources.trips import bounded_source, read_trips, read_trips_any, read_trips_csv, read_zone_hour_tsv
 from tripspot.sources.weather import read_weather_json
 from tripspot.sources.zones import read_zone_lookup, zones_from_geojson
@@ -129,6 +131,29 @@ def test_weather_documents_later_wins(spark, tmp_path):
     assert all(r.snowfall is None and r.weather_code == 3.0 for r in rows)
 
 
+def test_lookup_columns_go_by_their_header(spark, tmp_path):
+    (tmp_path / "zones.csv").write_text("Zone,LocationID,service_zone,Borough\nAirport,1,EWR,Queens\n")
+    assert read_zone_lookup(spark, str(tmp_path / "zones.csv")).first().asDict() == {
+        "LocationID": 1, "Borough": "Queens", "Zone": "Airport", "service_zone": "EWR"
+    }
+
+
+def test_files_with_different_headers_are_refused(spark, tmp_path):
+    (tmp_path / "trips").mkdir()
+    (tmp_path / "trips/a.csv").write_text("tpep_pickup_datetime,PULocationID,DOLocationID\n2024-01-01 00:00:00,1,2\n")
+    (tmp_path / "trips/b.csv").write_text("tpep_pickup_datetime,DOLocationID,PULocationID\n2024-01-01 00:00:00,2,1\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        read_trips_csv(spark, str(tmp_path / "trips")).collect()
+
+
+def test_raw_zone_hours_count_repeated_rows(spark):
+    rows = [("e", "2024-01-01 07:00:00", 1), ("e", "2024-01-01 07:00:00", 1), ("f", None, 1), ("g", "2024-01-01 08:00:00", None)]
+    raw = spark.createDataFrame(rows, "event_id string, tpep_pickup_datetime string, PULocationID int")
+    counted = zone_hour_counts(raw_zone_hours(raw))
+    assert [tuple(r) for r in counted.collect()] == [("1", 7, 2)]
+    assert len(re.findall(r"^\(\d+\) Exchange", formatted_plan(zone_hour_counts(raw_zone_hours(raw))), re.M)) <= 1
+
+
 def test_geojson_zones(spark, tmp_path):
     features = [{"type": "Feature", "properties": {"LocationID": i}} for i in (10, 9, 10, 100)]
     (tmp_path / "z.geojson").write_text(json.dumps({"type": "FeatureCollection", "features": features}, indent=2))
@@ -139,13 +164,6 @@ def test_geojson_zones(spark, tmp_path):
         zones_from_geojson(spark, str(tmp_path / "none"))
 
 
-def test_sample_trips_never_stay_in_a_zone(spark):
-    trips = synthetic_trips(spark.range(2000).withColumnRenamed("id", "index"), zones=(3, 1, 2, 2))
-    assert trips.filter("PULocationID = DOLocationID").count() == 0
-    assert {r[0] for r in trips.select("PULocationID").distinct().collect()} == {1, 2, 3}
-    assert trips.filter("tpep_dropoff_datetime <= tpep_pickup_datetime").count() == 0
-
-
 def test_kafka_records(spark):
     rows = spark.createDataFrame([("a", None, 1.5)], "k string, z string, v double")
     out = to_kafka_value(rows, key="k").first()

@@ -1,6 +1,7 @@
 """Streaming jobs on files: bad messages, replays, restarts, late and repeated records, batch twins."""
 
 import json
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -12,7 +13,9 @@ from tripspot.streaming.fleet import VEHICLE_SCHEMA, latest_vehicle
 from tripspot.streaming.ingest import parse_events
 from tripspot.streaming.run import start_query
 from tripspot.streaming.scoring import score_stream
-from tripspot.streaming.sink import batch_counters, compact, latest_view, prediction_counters, upsert_batch
+from tripspot.plans.reports import formatted_plan
+from tripspot.streaming.scoring import refreshed
+from tripspot.streaming.sink import batch_counters, compact, latest_view, prediction_counters, retain, upsert_batch
 
 
 def event(i, time="2024-05-01T08:00:00", zone="4", **more):
@@ -25,7 +28,7 @@ def lines(folder, name, texts):
 
 
 def run(df, path, output_mode="append", counters=None):
-    sink = upsert_batch(str(path), counters, stateful=output_mode == "update")
+    sink = upsert_batch(str(path), counters)
     query = start_query(df, sink, str(path / "checkpoint"), available_now=True, output_mode=output_mode)
     query.awaitTermination()
     return query
@@ -94,6 +97,52 @@ def test_compaction_keeps_the_view(spark, tmp_path):
     }
 
 
+def test_view_as_of_a_batch(spark, tmp_path):
+    write, path = upsert_batch(str(tmp_path)), str(tmp_path)
+    for i in range(4):
+        write(spark.createDataFrame([("a", "t", float(i)), (f"k{i}", "t", 0.0)], "event_id string, event_time string, s double"), i)
+    compact(spark, path, until=2)
+    assert {r.event_id: r.s for r in latest_view(spark, path, until=1).collect()} == {"a": 1.0, "k0": 0.0, "k1": 0.0}
+    assert compact(spark, path, until=0) == 0
+    assert {r.event_id: r.s for r in latest_view(spark, path, until=0).collect()} == {"a": 0.0, "k0": 0.0}
+    assert compact(spark, path) == 2  # written already: nothing is overwritten
+    view = latest_view(spark, path)
+    before = sorted(map(tuple, view.collect()))
+    retain(spark, path, 1)
+    assert sorted(p.name for p in (tmp_path / "batches").iterdir() if p.is_dir()) == ["batch_id=3"]
+    assert sorted(p.name for p in (tmp_path / "snapshots").iterdir() if p.is_dir()) == ["upto=2"]
+    after = latest_view(spark, path)
+    assert sorted(map(tuple, after.collect())) == before
+    assert len(re.findall(r"^\(\d+\) Exchange", formatted_plan(latest_view(spark, path)), re.M)) <= 1
+
+
+def test_an_unfinished_snapshot_is_not_read(spark, tmp_path):
+    write, path = upsert_batch(str(tmp_path)), str(tmp_path)
+    for i in range(3):
+        write(spark.createDataFrame([("a", "t", float(i))], "event_id string, event_time string, s double"), i)
+    compact(spark, path, until=1)
+    (tmp_path / "snapshots/upto=1/_SUCCESS").unlink()
+    assert [r.s for r in latest_view(spark, path).collect()] == [2.0]
+    compact(spark, path, until=1)
+    assert [r.s for r in latest_view(spark, path, until=1).collect()] == [1.0]
+
+
+def test_an_empty_batch_leaves_nothing(spark, tmp_path):
+    rows = spark.createDataFrame([], "event_id string, event_time string, alert_flag string, weather_missing double")
+    upsert_batch(str(tmp_path), prediction_counters())(rows, 0)
+    assert not list(tmp_path.glob("*/batch_id=*"))
+
+
+def test_forecasts_are_read_again_after_their_time():
+    now, loads = [0.0], []
+    current = refreshed(lambda: loads.append(1) or len(loads), 30, lambda: now[0])
+    assert [current(), current()] == [1, 1]
+    now[0] = 29.0
+    assert current() == 1
+    now[0] = 30.0
+    assert [current(), current()] == [2, 2]
+
+
 def scored(spark, sf, events):
     weather = fx.weather(spark, sf)
     baseline = spark.createDataFrame([("4", 8, 3, 20.0, 5.0, 9)], "pickup_zone string, pickup_hour int, pickup_dow int, mean double, stddev double, count long")

@@ -12,6 +12,7 @@ WEATHER_FIELDS = (
 NUMERIC_WEATHER_FIELDS = tuple(name for name in WEATHER_FIELDS if name != "weather_code")
 WEATHER_LIVE_SOURCE = "Open-Meteo forecast"
 WEATHER_FALLBACK_SOURCE = "historical_fallback"
+WEATHER_ARCHIVE_SOURCE = "Open-Meteo Historical Forecast API"
 
 # Score thresholds: lower bound (inclusive) of each level, hottest first.
 LEVEL_BOUNDS = (("very_hot", 75.0), ("hot", 50.0), ("medium", 25.0), ("low", None))
@@ -91,13 +92,4 @@ WEATHER_CODE_LABELS = {
 WEATHER_OTHER = {"vi": "Điều kiện thời tiết khác", "en": "other conditions"}
 WEATHER_NO_DATA = {"vi": "Không có dữ liệu", "en": "no data"}
 
-# Zones of the generated sample trips, used where no zone lookup is given.
-SAMPLE_ZONES = (
-    4, 7, 10, 12, 13, 14, 21, 24, 41, 42, 43, 48, 50, 61, 68, 74,
-    75, 79, 87, 88, 90, 100, 107, 113, 114, 116, 120, 125, 127, 128,
-    137, 138, 141, 142, 143, 144, 148, 151, 152, 153, 158, 161, 162,
-    163, 164, 166, 170, 186, 194, 202, 209, 211, 224, 229, 230, 231,
-    232, 233, 234, 236, 237, 238, 239, 243, 244, 246, 249, 261, 262, 263,
-)
-
 EARTH_RADIUS_M = 6_371_000.0

@@ -8,39 +8,44 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tripspot.functions.records import parse_event
-from tripspot.operators.clean import clean_trips, normalize_trips
-from tripspot.operators.demand import rows_per_year, zone_hour_counts
+from tripspot.operators.demand import raw_zone_hours, rows_per_year, zone_hour_counts
 from tripspot.operators.forecast import forecast
 from tripspot.operators.ml import load_model
-from tripspot.operators.serving import dispatch, hotspot_summary, overview
+from tripspot.operators.rows import checked_broadcast
+from tripspot.operators.serving import dispatch, fleet_order, hotspot_summary, latest_predictions, overview, zone_list
 from tripspot.operators.verify import crosscheck_zone_hour, profile
 from tripspot.plans.etl import etl_job
 from tripspot.plans.reports import save_reports
 from tripspot.plans.training import load_fallback, training_job
-from tripspot.session import build_session
+from tripspot.operators.weather import hourly_side, weather_outlook
+from tripspot.session import Scratch, build_session
 from tripspot.sources.kafka import kafka_events
 from tripspot.sources.sinks import is_done, write_report, write_zone_hour_csv, write_zone_hour_tsv
 from tripspot.sources.trips import read_trips_any, read_zone_hour_tsv
 from tripspot.sources.weather import read_weather_json
+from tripspot.sources.zones import zones_from_geojson
 from tripspot.streaming.fleet import VEHICLE_SCHEMA, latest_vehicle
 from tripspot.streaming.ingest import parse_events
 from tripspot.streaming.run import start_query
-from tripspot.streaming.scoring import scoring_sink
-from tripspot.streaming.sink import latest_view, prediction_counters, upsert_batch
+from tripspot.streaming.scoring import refreshed, scoring_sink
+from tripspot.streaming.sink import compact, latest_view, prediction_counters, retain, upsert_batch
 
 
 def messages(spark: SparkSession, args) -> DataFrame:
     """The message stream: a topic, or a folder of text files with one message per line."""
     if args.servers:
-        return kafka_events(spark, args.servers, args.topic, args.starting)
-    return spark.readStream.text(args.folder)
+        return kafka_events(spark, args.servers, args.topic, args.starting, args.max_messages)
+    reader = spark.readStream
+    if args.max_files:
+        reader = reader.option("maxFilesPerTrigger", args.max_files)
+    return reader.text(args.folder)
 
 
 def zone_hours(spark, args):
     """Count trips per zone and hour twice, by rows and by key/value records, and stop if the counts differ."""
     if not args.force and is_done(spark, f"{args.out}/counts"):
         return
-    trips = clean_trips(normalize_trips(read_trips_any(spark, args.parquet, args.csv)))
+    trips = raw_zone_hours(read_trips_any(spark, args.parquet, args.csv))
     write_zone_hour_tsv(trips, f"{args.out}/records")
     write_zone_hour_csv(zone_hour_counts(trips), f"{args.out}/counts")
     if not crosscheck_zone_hour(trips, read_zone_hour_tsv(spark, f"{args.out}/records")).isEmpty():
@@ -70,19 +75,20 @@ def train(spark, args):
 
 
 def score_stream(spark, args):
-    sink = scoring_sink(
-        upsert_batch(args.out, prediction_counters()),
-        load_model(f"{args.artifacts}/model").transform,
-        lambda: read_weather_json(spark, *args.weather),
-        load_fallback(spark, args.artifacts),
-        spark.read.parquet(f"{args.artifacts}/baseline"),
-    )
-    run(parse_events(messages(spark, args)), sink, args, "append")
+    with Scratch(spark, "score-stream") as scratch:
+        sink = scoring_sink(
+            upsert_batch(args.out, prediction_counters()),
+            load_model(f"{args.artifacts}/model").transform,
+            refreshed(lambda: hourly_side(scratch.store(read_weather_json(spark, *args.weather), "weather")), args.weather_ttl),
+            load_fallback(spark, args.artifacts),
+            checked_broadcast(spark.read.parquet(f"{args.artifacts}/baseline")),
+        )
+        run(parse_events(messages(spark, args)), sink, args, "append")
 
 
 def track_fleet(spark, args):
     snapshots = messages(spark, args).select(F.inline(F.array(parse_event("value", VEHICLE_SCHEMA))))
-    run(latest_vehicle(snapshots), upsert_batch(args.out, stateful=True), args, "update")
+    run(latest_vehicle(snapshots), upsert_batch(args.out), args, "update")
 
 
 def run(df, sink, args, output_mode):
@@ -90,24 +96,43 @@ def run(df, sink, args, output_mode):
     query.awaitTermination()
 
 
+def compact_job(spark, args):
+    """Write the current records of a store as a snapshot and remove what older snapshots and batches repeat."""
+    key, order = STORES[args.store]
+    compact(spark, args.out, args.until, key, order)
+    retain(spark, args.out, args.keep)
+
+
 def forecast_job(spark, args):
-    zones = spark.read.parquet(args.curated).select("pickup_zone").distinct()
+    """Scores of the next hours for the zones of the map; without a map, for the zones that the baseline has seen."""
+    seen = spark.read.parquet(f"{args.artifacts}/baseline").select("pickup_zone").distinct()
+    zones = zones_from_geojson(spark, args.geojson, seen) if args.geojson else seen
     model, baseline = load_model(f"{args.artifacts}/model"), spark.read.parquet(f"{args.artifacts}/baseline")
     weather, fallback = read_weather_json(spark, *args.weather), load_fallback(spark, args.artifacts)
     now = datetime.fromisoformat(args.now)
     write_report(forecast(model, now, zones, weather, fallback, baseline, args.hours), args.out)
+    if args.outlook:
+        write_report(weather_outlook(now, weather, fallback), args.outlook)
 
 
 def dashboard(spark, args):
-    predictions = latest_view(spark, args.predictions).cache()
-    vehicles = latest_view(spark, args.vehicles, "vehicle_id", ("updated_at", "simulation_cycle"))
-    results = overview(predictions, args.zone)
-    results |= {"hotspots": hotspot_summary(predictions), "dispatch": dispatch(predictions, vehicles)}
-    for name, result in results.items():
-        write_report(result, f"{args.out}/{name}")
-    predictions.unpersist()
-
-
+    with Scratch(spark, "dashboard") as scratch:
+        predictions = scratch.store(latest_view(spark, args.predictions), "predictions")
+        vehicles = scratch.store(latest_view(spark, args.vehicles, *STORES["vehicles"]), "vehicles")
+        results = overview(predictions, args.zone)
+        results |= {
+            "hotspots": hotspot_summary(predictions),
+            "dispatch": dispatch(predictions, vehicles),
+            "zones": zone_list(predictions),
+            "fleet": fleet_order(vehicles),
+            "latest": latest_predictions(predictions, args.limit),
+        }
+        for name, result in results.items():
+            write_report(result, f"{args.out}/{name}")
+
+
+# Key of each kind of store, and what makes one of its records newer than another.
+STORES = {"predictions": ("event_id", ("batch_id", "event_time")), "vehicles": ("vehicle_id", ("updated_at", "simulation_cycle"))}
 GBT_OPTIONS = {"maxIter": int, "maxDepth": int, "stepSize": float, "maxBins": int}
 JOBS = {
     "zone-hours": (zone_hours, ["parquet", "csv", "out"]),
@@ -117,7 +142,8 @@ JOBS = {
     "train": (train, ["curated", "out"]),
     "score-stream": (score_stream, ["artifacts", "checkpoint", "out"]),
     "track-fleet": (track_fleet, ["checkpoint", "out"]),
-    "forecast": (forecast_job, ["curated", "artifacts", "now", "out"]),
+    "compact": (compact_job, ["out"]),
+    "forecast": (forecast_job, ["artifacts", "now", "out"]),
     "dashboard": (dashboard, ["predictions", "vehicles", "out"]),
 }
 
@@ -139,14 +165,25 @@ def parser() -> argparse.ArgumentParser:
             job.add_argument("--starting", default="latest" if name == "score-stream" else "earliest")
             job.add_argument("--trigger", default="2 seconds")
             job.add_argument("--once", action="store_true", help="stop after the data at hand")
+            job.add_argument("--max-messages", type=int, help="messages of the topic in a batch at most")
+            job.add_argument("--max-files", type=int, help="files of the folder in a batch at most")
+        if name == "score-stream":
+            job.add_argument("--weather-ttl", type=float, default=1800.0, help="seconds after which forecasts are read again")
+        if name == "compact":
+            job.add_argument("--store", choices=list(STORES), default="predictions")
+            job.add_argument("--until", type=int, help="last batch of the snapshot; the last but one by default")
+            job.add_argument("--keep", type=int, default=2, help="snapshots to keep")
         if name == "train":
             job.add_argument("--coverage", type=float, default=0.95)
             for option, kind in GBT_OPTIONS.items():
                 job.add_argument(f"--{option}", type=kind)
         if name == "forecast":
             job.add_argument("--hours", type=int, default=3)
+            job.add_argument("--geojson", help="zones of the map")
+            job.add_argument("--outlook", help="folder for the weather of the next hours")
         if name == "dashboard":
             job.add_argument("--zone")
+            job.add_argument("--limit", type=int, default=20, help="latest predictions, 100 at most")
     return top
 
 

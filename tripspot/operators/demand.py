@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from tripspot.functions.calendar import pickup_hour, pickup_dow
+from tripspot.operators.clean import RAW_PICKUP, RAW_TIME, non_empty, with_event_time
 
 
 def _hour(df: DataFrame):
@@ -23,6 +24,14 @@ def zone_hour_counts(df: DataFrame) -> DataFrame:
     return df.groupBy("pickup_zone", _hour(df).alias("pickup_hour")).agg(F.count("*").alias("trip_count"))
 
 
+def raw_zone_hours(raw: DataFrame) -> DataFrame:
+    """V1: zone and hour of every raw row that has a zone and a time; rows are neither given ids nor de-duplicated."""
+    time, zone = (RAW_TIME, RAW_PICKUP) if RAW_TIME in raw.columns else ("pickup_datetime", "pickup_zone")
+    rows = raw.select(F.col(time).alias("pickup_datetime"), F.col(zone).cast("string").alias("pickup_zone"))
+    timed = with_event_time(non_empty(rows, ["pickup_datetime", "pickup_zone"])).filter("event_time is not null")
+    return timed.select("pickup_zone", pickup_hour("event_time").alias("pickup_hour"))
+
+
 def zone_hour_dow_counts(df: DataFrame) -> DataFrame:
     """A2: trips per zone, hour and weekday, as double."""
     keys = ("pickup_zone", _hour(df).alias("pickup_hour"), _dow(df).alias("pickup_dow"))

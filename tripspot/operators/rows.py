@@ -31,23 +31,19 @@ def checked_broadcast(df: DataFrame, max_rows=BROADCAST_ROWS, max_bytes=BROADCAS
 
 
 def repeat_rows(df: DataFrame, times: str, ordinal: str, chunk=100_000) -> DataFrame:
-    """Each row `times` times, numbered 1..times. Rows repeated very often are cut into chunks that are spread
-    over the cluster, so one hot row does not become one long task."""
-    few = df.filter(F.col(times) <= chunk).withColumn(
-        ordinal, F.explode(F.sequence(F.lit(1).cast("long"), F.col(times)))
-    )
+    """Each row `times` times, numbered 1..times. A row is first cut into chunks of its repetitions, which are spread
+    over the cluster, so one row that is repeated very often does not become one long task."""
     first = F.col("_chunk") * chunk + 1
     # A given number of partitions is kept as it is; otherwise the few small rows would be merged into one task
     # before they are expanded.
     tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    many = (
-        df.filter(F.col(times) > chunk)
+    return (
+        df.filter(F.col(times) > 0)
         .withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col(times) - 1) / chunk))))
         .repartition(tasks, *[c for c in df.columns if c != times], "_chunk")
         .withColumn(ordinal, F.explode(F.sequence(first, F.least(F.col(times), first + (chunk - 1)))))
         .drop("_chunk")
     )
-    return few.unionByName(many)
 
 
 def global_index(df: DataFrame, order, name: str) -> DataFrame:
@@ -74,22 +70,13 @@ def global_index(df: DataFrame, order, name: str) -> DataFrame:
     )
 
 
-def top_rows(df: DataFrame, order, n: int, direct=1_000, groups=256) -> DataFrame:
+def top_rows(df: DataFrame, order, n: int) -> DataFrame:
     """The first n rows in the given order.
 
-    Small n uses Spark's own top-k. For large n every input partition would send n rows to one task, so groups of
-    partitions are cut to n rows first and only groups * n rows reach the last step.
+    The rows are range-sorted once; partitions below the border are kept whole, the border partition is cut and the
+    others are left out, all by the counts of rows before each partition. No task sees more than its own partition.
     """
-    if n <= direct:
-        return df.orderBy(*order).limit(n)
-    per_group = Window.partitionBy("_group").orderBy(*order)
-    cut = (
-        df.withColumn("_group", F.spark_partition_id() % groups)
-        .withColumn("_rank", F.row_number().over(per_group))
-        .filter(F.col("_rank") <= n)
-        .select(*df.columns)
-    )
-    return cut.orderBy(*order).limit(n)
+    return global_index(df, order, "_place").filter(F.col("_place") < n).select(*df.columns)
 
 
 def sample_rows(df: DataFrame, n=100_000, seed=42) -> DataFrame:

@@ -16,10 +16,15 @@ from tripspot.functions.fixed import (
     WEATHER_LIVE_SOURCE,
 )
 from tripspot.functions.labels import weather_label
+from tripspot.operators.rows import checked_broadcast
 
 
-def explode_hourly(df: DataFrame, hourly="hourly", keep=()) -> DataFrame:
-    """a struct of parallel arrays to one row per hour. Fields that are absent, NULL or short give NULL."""
+def explode_hourly(df: DataFrame, hourly="hourly", keep=(), position=None) -> DataFrame:
+    """a struct of parallel arrays to one row per element. Fields that are absent, NULL or short give NULL.
+
+    `position` names a column for the place in the arrays: an hour may occur twice (the clock goes back in autumn), and
+    then `merge_latest` takes the later element.
+    """
     present = set(df.schema[hourly].dataType.fieldNames())
     empty = F.array().cast("array<double>")
     arrays = df.select(
@@ -32,20 +37,30 @@ def explode_hourly(df: DataFrame, hourly="hourly", keep=()) -> DataFrame:
             for name in WEATHER_FIELDS
         ],
     )
-    rows = arrays.select(*keep, F.explode(F.arrays_zip("time", *WEATHER_FIELDS)).alias("at"))
+    rows = arrays.select(*keep, F.posexplode(F.arrays_zip("time", *WEATHER_FIELDS)).alias("_position", "at"))
     return rows.filter(F.col("at.time").isNotNull()).select(
-        *keep, F.substring("at.time", 1, 13).alias("weather_hour"), *[F.col(f"at.{name}") for name in WEATHER_FIELDS]
+        *keep,
+        F.substring("at.time", 1, 13).alias("weather_hour"),
+        *[F.col(f"at.{name}") for name in WEATHER_FIELDS],
+        *([F.col("_position").alias(position)] if position else []),
     )
 
 
-def merge_latest(dfs, key="weather_hour") -> DataFrame:
-    """Union of sources with the same columns; for a key in several sources the last source wins."""
+def merge_latest(dfs, key="weather_hour", position=None) -> DataFrame:
+    """Union of sources with the same columns; for a key in several sources the last source wins, within a source
+    the greatest `position`, a column that the result no longer has."""
     ranked = [df.withColumn("_rank", F.lit(rank)) for rank, df in enumerate(dfs)]
-    columns = [c for c in dfs[0].columns if c != key]
-    latest = reduce(DataFrame.unionByName, ranked).groupBy(key).agg(
-        F.max_by(F.struct(*columns), F.col("_rank")).alias("_row")
-    )
-    return latest.select(key, "_row.*").select(*dfs[0].columns).orderBy(key)
+    columns = [c for c in dfs[0].columns if c not in (key, position)]
+    order = F.struct("_rank", *([position] if position else []))
+    latest = reduce(DataFrame.unionByName, ranked).groupBy(key).agg(F.max_by(F.struct(*columns), order).alias("_row"))
+    return latest.select(key, "_row.*").select(*[c for c in dfs[0].columns if c != position]).orderBy(key)
+
+
+def hourly_side(weather: DataFrame) -> DataFrame:
+    """A stored weather table as the small side of a join: one row per hour, so that no row is joined twice, and
+    broadcast if its measured size allows, so that the other side is not shuffled."""
+    rows, hours = weather.agg(F.count("*"), F.count_distinct("weather_hour")).first()
+    return checked_broadcast(weather if rows == hours else merge_latest([weather]))
 
 
 def code_text(col="weather_code"):
@@ -66,7 +81,8 @@ def join_weather(scores: DataFrame, weather: DataFrame) -> DataFrame:
 def fill_weather(df: DataFrame, weather: DataFrame, fallback=None, live_source=WEATHER_LIVE_SOURCE) -> DataFrame:
     """Weather of the hour, gaps filled from the training values; rows with any gap are marked.
 
-    Works on batches and, with a static weather table, on streams.
+    Works on batches and, with a static weather table, on streams. `weather` has one row per hour; `hourly_side` makes
+    a stored table such a side, and one that leaves the rows of `df` where they are.
     """
     fallback = fallback or {}
     joined = df.join(weather.select("weather_hour", *WEATHER_FIELDS), "weather_hour", "left")

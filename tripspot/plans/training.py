@@ -9,13 +9,13 @@ from pyspark import inheritable_thread_target
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 
-from tripspot.functions.fixed import WEATHER_FIELDS
-from tripspot.operators.baseline import historical_baseline
+from tripspot.functions.fixed import WEATHER_ARCHIVE_SOURCE, WEATHER_FIELDS
+from tripspot.operators.baseline import BASELINE_KEYS, historical_baseline
 from tripspot.operators.evaluation import holdout_metrics, select_model
 from tripspot.operators.ml import build_pipeline, save_model
 from tripspot.operators.score import Split, daily_scores, temporal_split
 from tripspot.operators.weather import assert_coverage, fallback_values, join_weather
-from tripspot.session import scratch_path
+from tripspot.session import LOCAL_ZONE, scratch_path
 from tripspot.sources.sinks import write_report
 
 METRIC_COLUMNS = (
@@ -35,13 +35,26 @@ class Training(NamedTuple):
     report: DataFrame
 
 
-def metrics_report(split: Split, metrics: DataFrame, selection, covered, fallback) -> DataFrame:
+class Rules(NamedTuple):
+    """What a training run was asked to do; its report is worded from these values."""
+
+    train_share: float = 0.8
+    hot_score: float = 50.0
+    mae_tolerance: float = 1.02
+    sigma: float = 3.0
+    min_support: int = 5
+    weather_place: str = ""
+
+
+def metrics_report(split: Split, metrics: DataFrame, selection, covered, fallback, rules=Rules(), rows=None) -> DataFrame:
     """M8: one row with the dates, row counts, rules, fallback values, the metrics of both candidates and those of
-    the selected one. `selection` is the row M7 gives, `covered` the row A15 gives."""
+    the selected one. `selection` is the row M7 gives, `covered` the row A15 gives, `rows` the numbers of training and
+    test rows."""
+    share, slack = round(100 * rules.train_share), round(100 * (rules.mae_tolerance - 1))
     constants = {
         "model_family": "GBTRegressor",
         "weather_features": ",".join(WEATHER_FIELDS),
-        "evaluation_method": "temporal holdout (earliest 80% of weather-covered dates train; latest 20% test)",
+        "evaluation_method": f"split by date: first {share}% of the days with weather for training, last {100 - share}% for the test",
         "train_start_date": str(split.train_start),
         "train_end_date": str(split.train_end),
         "test_start_date": str(split.test_start),
@@ -51,11 +64,21 @@ def metrics_report(split: Split, metrics: DataFrame, selection, covered, fallbac
         "eligible_rows": covered["eligible_rows"],
         "weather_coverage_rows": covered["covered_rows"],
         "weather_coverage": covered["coverage"],
-        "hotspot_classification_threshold": 50.0,
-        "selection_rule": "use weather candidate only if RMSE improves and MAE is no more than 2% worse",
+        "training_rows": (rows or {}).get("train"),
+        "evaluation_rows": (rows or {}).get("test"),
+        "hotspot_classification_threshold": rules.hot_score,
+        "weather_source": WEATHER_ARCHIVE_SOURCE,
+        "weather_timezone": LOCAL_ZONE,
+        "weather_location": rules.weather_place or None,
+        "label_definition": "hotspot_score of a zone and hour of a date",
+        "score_formula": "100 * trips / trips of the busiest zone of the same date, hour and weekday",
+        "baseline_keys": ",".join(BASELINE_KEYS),
+        "baseline_min_support": rules.min_support,
+        "baseline_sigma": rules.sigma,
+        "selection_rule": f"weather candidate if its RMSE is lower and its MAE at most {slack}% higher than the calendar one's",
         "weather_selected": selection["weather_selected"],
         "selected": selection["selected"],
-        "anomaly_rule": "score > mean + 3 * population stddev; minimum 5 training samples; cap 100",
+        "anomaly_rule": f"above mean plus {rules.sigma:g} population deviations, 100 at most, from {rules.min_support} training scores on",
         **{f"fallback_{name}": value for name, value in fallback.items()},
     }
 
@@ -66,7 +89,11 @@ def metrics_report(split: Split, metrics: DataFrame, selection, covered, fallbac
         figures("calendar").alias("calendar_metrics"),
         figures("weather").alias("weather_metrics"),
         figures(selection["selected"]).alias("deployed_metrics"),
-    ).select(*[F.lit(value).alias(name) for name, value in constants.items()], "*")
+    ).select(*[F.lit(value).cast("string" if value is None else _kind(value)).alias(name) for name, value in constants.items()], "*")
+
+
+def _kind(value) -> str:
+    return {bool: "boolean", int: "long", float: "double"}.get(type(value), "string")
 
 
 def fit_candidates(train_rows: DataFrame, **gbt) -> dict:
@@ -111,7 +138,8 @@ def train(trips: DataFrame, weather: DataFrame, minimum_coverage=0.95, scores: D
     selection = select_model(metrics).first()
     fallback = fallback_values(split.train)
     baseline = historical_baseline(split.train)
-    report = metrics_report(split, metrics, selection, covered, fallback)
+    counted = {name: part.count() for name, part in (("train", split.train), ("test", split.test))}
+    report = metrics_report(split, metrics, selection, covered, fallback, rows=counted)
     chosen = models[selection["selected"]]
     return Training(chosen, models, metrics, selection, baseline, fallback, report)
 

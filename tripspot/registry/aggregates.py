@@ -1,6 +1,6 @@
 """Counts, windows, orders and serving queries."""
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from tripspot import fixtures as fx
 from tripspot.functions.geo import great_circle_m
@@ -103,6 +103,23 @@ def a10(spark, d):
     return weather.weather_medians(weather.join_weather(split.train, fx.demand_weather(spark, d)), exact=True)
 
 
+MEDIAN_FIELDS = ("temperature_2m", "precipitation", "snowfall", "wind_speed_10m", "relative_humidity_2m")
+
+
+@query(
+    "a10_production_medians",
+    "select " + ", ".join(f"true as {name}" for name in MEDIAN_FIELDS),
+)
+def a10_production(spark, d):
+    """The form that training uses: each value's rank is within a hundredth of the middle."""
+    rows = weather.join_weather(score.temporal_split(scores(spark, d)).train, fx.demand_weather(spark, d))
+    found = weather.weather_medians(rows).first()
+    below = [F.avg((F.col(n) < found[n]).cast("double")).alias(f"{n}_low") for n in MEDIAN_FIELDS]
+    upto = [F.avg((F.col(n) <= found[n]).cast("double")).alias(f"{n}_high") for n in MEDIAN_FIELDS]
+    ranks = rows.agg(*below, *upto)
+    return ranks.select(*[((F.col(f"{n}_low") <= 0.51) & (F.col(f"{n}_high") >= 0.49)).alias(n) for n in MEDIAN_FIELDS])
+
+
 @query(
     "a11_mode_of_weather_code",
     sql(
@@ -116,11 +133,16 @@ def a11(spark, d):
     return weather.mode_of(weather.join_weather(split.train, fx.demand_weather(spark, d)), "weather_code")
 
 
-EVAL = "(select hotspot_score as y, 0.8 * hotspot_score + 5 as p from scores)"
+# Predictions that err to both sides, so that each kind of error occurs.
+EVAL = "(select hotspot_score as y, 0.8 * hotspot_score + case when pickup_hour % 2 = 0 then 25 else -15 end as p from scores)"
+
+
+def guess(a, even, odd):
+    return F.col("hotspot_score") * a + F.when(F.col("pickup_hour") % 2 == 0, even).otherwise(odd)
 
 
 def evaluated(spark, d):
-    return scores(spark, d).withColumn("predicted_hotspot_score", F.col("hotspot_score") * 0.8 + 5)
+    return scores(spark, d).withColumn("predicted_hotspot_score", guess(0.8, 25, -15))
 
 
 CONFUSION = """count(*) filter (where y >= 50 and p >= 50) as true_positive,
@@ -320,9 +342,18 @@ def o2(spark, d):
     return demand.top_n(lines, [F.desc("lines"), F.asc("l_orderkey")], 20)
 
 
-@query("o3_sorted_profile", sql(PROFILE, "curated"))
+def in_place(df):
+    """The rows with their position in the order that the operator gives them; a few result rows only."""
+    placed = df.withColumn("_at", F.monotonically_increasing_id())
+    return placed.withColumn("position", F.row_number().over(Window.orderBy("_at")).cast("long")).drop("_at")
+
+
+PLACED = "select *, row_number() over (order by {}) as position from ({})"
+
+
+@query("o3_sorted_profile", sql(PLACED.format("pickup_borough, pickup_hour", PROFILE), "curated"))
 def o3(spark, d):
-    return demand.sorted_profile(fx.curated_trips(spark, d))
+    return in_place(demand.sorted_profile(fx.curated_trips(spark, d)))
 
 
 @query("o4_top_zones", sql("select pickup_zone, hotspot_score from (" + RANKING.format("") + ")", "zone_means"))
@@ -335,21 +366,21 @@ LATEST = "select * from predictions order by event_time desc, event_id limit {}"
 
 @query("o5_latest_predictions", sql(LATEST.format(20), "predictions"))
 def o5(spark, d):
-    return serving.latest_predictions(fx.predictions(spark, d)).drop("hotspot_level")
+    return serving.latest_predictions(fx.predictions(spark, d))
 
 
 @query("o5_latest_predictions_clamped", sql(LATEST.format(100), "predictions"))
 def o5_clamped(spark, d):
-    return serving.latest_predictions(fx.predictions(spark, d), 5000).drop("hotspot_level")
+    return serving.latest_predictions(fx.predictions(spark, d), 5000)
 
 
 @query(
     "o6_last_then_ascending",
-    sql("select distinct event_time[1:13] as bucket from predictions order by bucket desc limit 24", "predictions"),
+    sql(PLACED.format("bucket", "select distinct event_time[1:13] as bucket from predictions order by bucket desc limit 24"), "predictions"),
 )
 def o6(spark, d):
     buckets = fx.predictions(spark, d).select(F.substring("event_time", 1, 13).alias("bucket")).distinct()
-    return serving.last_then_asc(buckets, "bucket", 24)
+    return in_place(serving.last_then_asc(buckets, "bucket", 24))
 
 
 @query(
@@ -366,17 +397,17 @@ def o9(spark, d):
     return placed.withColumn("position", F.col("position") + 1)
 
 
-@query("o10_vehicles_by_id", sql("select vehicle_id, status, updated_at from fleet", "fleet"))
+@query("o10_vehicles_by_id", sql(PLACED.format("vehicle_id", "select vehicle_id, status, updated_at from fleet"), "fleet"))
 def o10(spark, d):
-    return serving.fleet_order(fleet.latest_state(fx.vehicles(spark, d))).select("vehicle_id", "status", "updated_at")
+    return in_place(serving.fleet_order(fleet.latest_state(fx.vehicles(spark, d))).select("vehicle_id", "status", "updated_at"))
 
 
 @query(
     "o10_available_newest_first",
-    sql("select vehicle_id, pickup_zone, updated_at from fleet where status = 'available'", "fleet"),
+    sql(PLACED.format("updated_at desc, vehicle_id", "select vehicle_id, pickup_zone, updated_at from fleet where status = 'available'"), "fleet"),
 )
 def o10_newest(spark, d):
-    return serving.fleet_order(serving.available_vehicles(fleet.latest_state(fx.vehicles(spark, d))), "updated_at")
+    return in_place(serving.fleet_order(serving.available_vehicles(fleet.latest_state(fx.vehicles(spark, d))), "updated_at"))
 
 
 @query("o11_latest_event_time", sql("select max(event_time) as latest from predictions", "predictions"))
@@ -384,9 +415,15 @@ def o11(spark, d):
     return serving.latest_event_time(fx.predictions(spark, d))
 
 
-@query("o12_numeric_order", ZONE_HOURS)
+@query(
+    "o12_numeric_order",
+    sql(
+        PLACED.format("cast(pickup_zone as integer), pickup_hour", "select pickup_zone, pickup_hour, count(*) as trip_count from trips group by all"),
+        "trips",
+    ),
+)
 def o12(spark, d):
-    return demand.numeric_order(demand.zone_hour_counts(trips(spark, d)), ["pickup_zone", "pickup_hour"])
+    return in_place(demand.numeric_order(demand.zone_hour_counts(trips(spark, d)), ["pickup_zone", "pickup_hour"]))
 
 
 @query(
@@ -436,34 +473,34 @@ def d2_series(spark, d):
 
 @query("d2_overview_predictions", sql(LATEST.format(30), "predictions"))
 def d2_predictions(spark, d):
-    return serving.overview(fx.predictions(spark, d))["predictions"].drop("hotspot_level")
+    return serving.overview(fx.predictions(spark, d))["predictions"]
 
 
-CANDIDATES = """select 'calendar' as candidate, hotspot_score as y, 0.8 * hotspot_score + 5 as p from scores
-                union all select 'weather', hotspot_score, 0.82 * hotspot_score + 4 from scores"""
+CANDIDATES = """select '{}' as candidate, hotspot_score as y, 0.8 * hotspot_score + case when pickup_hour % 2 = 0 then 25 else -15 end as p
+                from scores
+                union all
+                select '{}', hotspot_score, 0.82 * hotspot_score + case when pickup_hour % 2 = 0 then 23 else -14 end from scores"""
+WEATHER_BETTER, WEATHER_WORSE = CANDIDATES.format("calendar", "weather"), CANDIDATES.format("weather", "calendar")
 
 
-def candidate_metrics(spark, d):
+def candidate_metrics(spark, d, worse="calendar", better="weather"):
     rows = scores(spark, d)
     tested = [
-        rows.select(F.lit(name).alias("candidate"), "hotspot_score", (F.col("hotspot_score") * a + b).alias("predicted_hotspot_score"))
-        for name, a, b in (("calendar", 0.8, 5), ("weather", 0.82, 4))
+        rows.select(F.lit(name).alias("candidate"), "hotspot_score", guess(*figures).alias("predicted_hotspot_score"))
+        for name, figures in ((worse, (0.8, 25, -15)), (better, (0.82, 23, -14)))
     ]
     return evaluation.holdout_metrics(tested[0].unionByName(tested[1]), by=["candidate"])
 
 
 @query(
     "m6_holdout_metrics",
-    sql(f"select *, {RATES} from (select candidate, {ERRORS}, {CONFUSION}, count(*) as rows from ({CANDIDATES}) group by all)", "scores"),
+    sql(f"select *, {RATES} from (select candidate, {ERRORS}, {CONFUSION}, count(*) as rows from ({WEATHER_BETTER}) group by all)", "scores"),
 )
 def m6(spark, d):
     return rounded(candidate_metrics(spark, d), ["mae", "rmse", "r2"])
 
 
-@query(
-    "m7_select_model",
-    sql(
-        f"""select *, weather_rmse < calendar_rmse and weather_mae <= calendar_mae * 1.02 as weather_selected,
+SELECTION = """select *, weather_rmse < calendar_rmse and weather_mae <= calendar_mae * 1.02 as weather_selected,
                    case when weather_rmse < calendar_rmse and weather_mae <= calendar_mae * 1.02 then 'weather' else 'calendar' end
                    as selected
             from (select round(max(rmse) filter (where candidate = 'calendar'), 6) as calendar_rmse,
@@ -471,13 +508,21 @@ def m6(spark, d):
                          round(max(rmse) filter (where candidate = 'weather'), 6) as weather_rmse,
                          round(max(mae) filter (where candidate = 'weather'), 6) as weather_mae
                   from (select candidate, avg(abs(y - p)) as mae, sqrt(avg((y - p) * (y - p))) as rmse
-                        from ({CANDIDATES}) group by candidate))""",
-        "scores",
-    ),
-)
+                        from ({}) group by candidate))"""
+
+
+def selected(metrics):
+    return rounded(evaluation.select_model(metrics), ["calendar_rmse", "calendar_mae", "weather_rmse", "weather_mae"])
+
+
+@query("m7_select_model", sql(SELECTION.format(WEATHER_BETTER), "scores"))
 def m7(spark, d):
-    selection = evaluation.select_model(candidate_metrics(spark, d))
-    return rounded(selection, ["calendar_rmse", "calendar_mae", "weather_rmse", "weather_mae"])
+    return selected(candidate_metrics(spark, d))
+
+
+@query("m7_reject_model", sql(SELECTION.format(WEATHER_WORSE), "scores"))
+def m7_reject(spark, d):
+    return selected(candidate_metrics(spark, d, "weather", "calendar"))
 
 
 HAVERSINE = """2 * 6371000.0 * atan2(

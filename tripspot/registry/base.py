@@ -52,8 +52,8 @@ CTES = {
     "train": "select s.* from scores s join split using (service_date) where side = 'train'",
     "test": "select s.* from scores s join split using (service_date) where side = 'test'",
     "baseline": """
-        select pickup_zone, pickup_hour, pickup_dow, avg(hotspot_score) as mean,
-               stddev_pop(hotspot_score) as stddev, count(*) as n
+        select pickup_zone, pickup_hour, pickup_dow, round(avg(hotspot_score), 9) as mean,
+               round(stddev_pop(hotspot_score), 9) as stddev, count(*) as n
         from train group by all""",
     "weather_base": """
         select strftime(ts, '%Y-%m-%dT%H') as weather_hour, dayofyear(ts) as day, count(*) as n
@@ -83,7 +83,9 @@ CTES |= {
                cast(user_id % 26 as varchar) as pickup_zone,
                cast(cast(regexp_extract(props, '([0-9]+)', 1) as integer) % 26 as varchar) as dropoff_zone,
                cast(hour(ts) as integer) as pickup_hour, cast(dayofweek(ts) as integer) as pickup_dow,
-               (event_id * 37 % 1000) / 10.0 as hotspot_score
+               (event_id * 37 % 1000) / 10.0 as hotspot_score,
+               case when event_id * 37 % 1000 >= 750 then 'very hot' when event_id * 37 % 1000 >= 500 then 'hot'
+                    when event_id * 37 % 1000 >= 250 then 'medium' else 'low' end as hotspot_level
         from events""",
     "vehicles": """
         select printf('V-%03d', user_id % 40) as vehicle_id,

@@ -131,12 +131,12 @@ def p14(spark, d):
 
 @query("p15_zone_filter", sql("select * from predictions where pickup_zone = '7'", "predictions"))
 def p15(spark, d):
-    return for_zone(fx.predictions(spark, d), " 7 ").drop("hotspot_level")
+    return for_zone(fx.predictions(spark, d), " 7 ")
 
 
 @query("p15_all_zones", sql("select * from predictions", "predictions"))
 def p15_all(spark, d):
-    return for_zone(fx.predictions(spark, d), "").drop("hotspot_level")
+    return for_zone(fx.predictions(spark, d), "")
 
 
 @query(

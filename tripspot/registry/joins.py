@@ -14,22 +14,29 @@ from tripspot.operators.demand import zone_hour_counts
 from tripspot.operators.enrich import enrich_zones
 from tripspot.operators.fleet import changed_between, latest_state
 from tripspot.operators.forecast import forecast_grid, next_hours, top_zones_per_hour, zone_map
+from tripspot.operators.rows import checked_broadcast
 from tripspot.operators.score import daily_scores, temporal_split
 from tripspot.operators.weather import (
-    explode_hourly, fill_weather, join_weather, merge_latest, weather_outlook,
+    explode_hourly, fill_weather, hourly_side, join_weather, merge_latest, weather_outlook,
 )
 from tripspot.registry.base import label_sql, query, sql
 from tripspot.session import scratch_path
 from tripspot.sources.sinks import write_report, write_zone_hour_tsv
 from tripspot.sources.trips import read_zone_hour_tsv
+from tripspot.sources.weather import read_weather_json
 from tripspot.sources.zones import zones_from_geojson
 
 NOW = datetime(2024, 1, 15, 9, 40)
 FALLBACK = {"temperature_2m": 4.5, "precipitation": 0.25, "snowfall": 1.0, "weather_code": 3.0}
 ROUNDED_LIMITS = """round(case when n >= 5 then mean else {sparse} end, 6) as historical_mean_score,
                     round(case when n >= 5 then stddev else 0.0 end, 6) as historical_stddev_score,
-                    round(case when n >= 5 then least(100.0, mean + 3 * stddev) else 100.0 end, 6) as anomaly_threshold,
+                    round(case when n >= 5 then least(100.0, round(mean + 3 * stddev, 9)) else 100.0 end, 6) as anomaly_threshold,
                     cast(coalesce(n, 0) as integer) as historical_baseline_samples"""
+# As published: two places, half away from zero, on the decimal value.
+LIMITS = """round(cast(case when n >= 5 then mean else {sparse} end as decimal(18, 9)), 2)::double as historical_mean_score,
+            round(cast(case when n >= 5 then stddev else 0.0 end as decimal(18, 9)), 2)::double as historical_stddev_score,
+            round(cast(case when n >= 5 then least(100.0, round(mean + 3 * stddev, 9)) else 100.0 end as decimal(18, 9)), 2)::double
+            as anomaly_threshold"""
 LIMIT_COLUMNS = ("historical_mean_score", "historical_stddev_score", "anomaly_threshold")
 
 
@@ -37,6 +44,19 @@ def scores(spark, d):
     return daily_scores(fx.demand_trips(spark, d))
 
 
+def stored_baseline(spark, d):
+    """The baseline as a job finds it: a small Parquet table."""
+    path = scratch_path(spark, "baseline")
+    write_report(historical_baseline(temporal_split(scores(spark, d)).train), path, fmt="parquet")
+    return checked_broadcast(spark.read.parquet(path))
+
+
+def stored_weather(spark, d):
+    path = scratch_path(spark, "hours")
+    write_report(fx.weather(spark, d), path, fmt="parquet")
+    return hourly_side(spark.read.parquet(path))
+
+
 def rounded(df, cols, places=6):
     return df.withColumns({c: F.round(c, places) for c in cols})
 
@@ -79,7 +99,7 @@ GAP = "(temperature_2m is null or precipitation is null or weather_code is null)
 )
 def j3(spark, d):
     trips = with_hour_key(clean_trips(normalize_trips(fx.raw_trips(spark, d)))).select("event_id", "weather_hour")
-    return fill_weather(trips, fx.weather(spark, d), FALLBACK)
+    return fill_weather(trips, stored_weather(spark, d), FALLBACK)
 
 
 @query(
@@ -91,8 +111,7 @@ def j3(spark, d):
     ),
 )
 def j4(spark, d):
-    split = temporal_split(scores(spark, d))
-    limits = with_threshold(split.test, historical_baseline(split.train))
+    limits = with_threshold(temporal_split(scores(spark, d)).test, stored_baseline(spark, d))
     return rounded(limits, LIMIT_COLUMNS).select(
         "service_date", "pickup_zone", "pickup_hour", *LIMIT_COLUMNS, "historical_baseline_samples"
     )
@@ -108,8 +127,7 @@ def j4(spark, d):
 )
 def j4_sparse(spark, d):
     # Most hours of the predictions have no baseline at all.
-    baseline = historical_baseline(temporal_split(scores(spark, d)).train)
-    limits = with_threshold(fx.predictions(spark, d), baseline, sparse_mean=0.0)
+    limits = with_threshold(fx.predictions(spark, d), stored_baseline(spark, d), sparse_mean=0.0)
     return rounded(limits, LIMIT_COLUMNS).select("event_id", *LIMIT_COLUMNS, "historical_baseline_samples")
 
 
@@ -239,18 +257,17 @@ def o7(spark, d):
 @query(
     "t3_anomaly_flags",
     sql(
-        f"""select service_date, pickup_zone, pickup_hour, historical_baseline_samples,
+        f"""select service_date, pickup_zone, pickup_hour, historical_baseline_samples, {LIMITS.format(sparse="100.0")},
                    case when hotspot_score > t then 'CRITICAL_ANOMALY' else 'NORMAL' end as alert_flag
-            from (select s.*, cast(coalesce(n, 0) as integer) as historical_baseline_samples,
+            from (select s.*, n, mean, stddev, cast(coalesce(n, 0) as integer) as historical_baseline_samples,
                          case when n >= 5 then least(100.0, round(mean + 3 * stddev, 9)) else 100.0 end as t
                   from test s left join baseline using (pickup_zone, pickup_hour, pickup_dow))""",
         "test", "baseline",
     ),
 )
 def t3(spark, d):
-    split = temporal_split(scores(spark, d))
-    flagged = flag_anomaly(split.test, historical_baseline(split.train))
-    return flagged.select("service_date", "pickup_zone", "pickup_hour", "historical_baseline_samples", "alert_flag")
+    flagged = flag_anomaly(temporal_split(scores(spark, d)).test, stored_baseline(spark, d))
+    return flagged.select("service_date", "pickup_zone", "pickup_hour", "historical_baseline_samples", *LIMIT_COLUMNS, "alert_flag")
 
 
 WEATHER_ROWS = sql("select * from weather", "weather")
@@ -281,30 +298,42 @@ def s18(spark, d):
     # Two sets of documents; the second repeats the later days with other values and wins.
     weather = fx.weather(spark, d)
     later = weather.filter(F.col("weather_hour") >= "2024-01-16").withColumn("temperature_2m", F.col("temperature_2m") + 1)
+    # One document to a file.
     path, day = scratch_path(spark, "weather"), F.substring("weather_hour", 1, 10)
     for name, part in (("first", weather), ("second", later)):
-        write_report(payload(part, day), f"{path}/{name}")
-    # JSON lines: one document per line.
-    schema = payload(weather, day).schema
-    return merge_latest([explode_hourly(spark.read.schema(schema).json(f"{path}/{name}")) for name in ("first", "second")])
+        payload(part, day).write.option("maxRecordsPerFile", 1).json(f"{path}/{name}")
+    return read_weather_json(spark, f"{path}/first", f"{path}/second")
 
 
 @query(
     "u1_merge_latest",
     sql(
         """select weather_hour, case when weather_hour >= '2024-01-10' then -1.0 else temperature_2m end as temperature_2m
-           from weather where weather_hour < '2024-01-10' or weather_code is not null""",
+           from weather""",
         "weather",
     ),
 )
 def u1(spark, d):
-    weather = fx.weather(spark, d)
-    old = weather.filter((F.col("weather_hour") < "2024-01-10") | F.col("weather_code").isNotNull())
+    old = fx.weather(spark, d)
     new = old.filter(F.col("weather_hour") >= "2024-01-10").withColumn("temperature_2m", F.lit(-1.0))
     columns = ["weather_hour", "temperature_2m"]
     return merge_latest([old.select(*columns), new.select(*columns)])
 
 
+@query(
+    "u1_repeated_hours",
+    sql("select weather_hour, temperature_2m + 3 as temperature_2m from weather", "weather"),
+)
+def u1_repeated(spark, d):
+    # A document that has each hour three times with other values: the last of them counts.
+    rows = fx.weather(spark, d).withColumn("i", F.explode(F.array(*[F.lit(i) for i in (1, 2, 3)])))
+    ordered = F.sort_array(F.collect_list(F.struct("i", "weather_hour", (F.col("temperature_2m") + F.col("i")).alias("t"))))
+    documents = rows.groupBy(F.substring("weather_hour", 1, 10).alias("day")).agg(ordered.alias("rows"))
+    hourly = F.struct(F.col("rows.weather_hour").alias("time"), F.col("rows.t").alias("temperature_2m"))
+    exploded = explode_hourly(documents.select(hourly.alias("hourly")), position="place")
+    return merge_latest([exploded], position="place").select("weather_hour", "temperature_2m")
+
+
 @query(
     "u2_row_differences",
     sql(

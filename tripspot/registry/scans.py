@@ -1,9 +1,8 @@
-"""Sources and sinks on the given tables."""
+"""Sources and sinks on the given tables."""
 
 from pyspark.sql import functions as F
 
 from tripspot import fixtures as fx
-from tripspot.functions.fixed import SAMPLE_ZONES
 from tripspot.operators.clean import normalize_trips, valid_zone_hour
 from tripspot.operators.demand import zone_hour_counts
 from tripspot.operators.rows import sample_rows
@@ -13,13 +12,13 @@ from tripspot.registry.base import query, sql
 from tripspot.session import scratch_path
 from tripspot.sources.kafka import to_kafka_value
 from tripspot.sources.sinks import is_done, write_curated, write_report, write_zone_hour_csv, write_zone_hour_tsv
-from tripspot.sources.synthetic import synthetic_trips
 from tripspot.sources.trips import bounded_source, read_trips, read_trips_any, read_trips_csv, read_zone_hour_tsv
+from tripspot.sources.zones import read_zone_lookup
 
 
-@query("s1_parquet_scan", "select event_id, ts, user_id, event_type, value from events")
+@query("s1_parquet_scan", "select * from events")
 def s1(spark, d):
-    return read_trips(spark, f"{d}/events.parquet", columns=["event_id", "ts", "user_id", "event_type", "value"])
+    return read_trips(spark, f"{d}/events.parquet")
 
 
 @query(
@@ -36,14 +35,23 @@ def s2(spark, d):
     return read_trips_csv(spark, path)
 
 
+@query("s2_zone_lookup", sql("select * from zones", "zones"))
+def s2_lookup(spark, d):
+    # The columns of the file stand in another order.
+    path = scratch_path(spark, "lookup")
+    fx.zones(spark, d).select("Zone", "LocationID", "service_zone", "Borough").write.option("header", True).csv(path)
+    return read_zone_lookup(spark, path)
+
+
 @query(
     "s3_source_fallback",
-    sql("select cast(event_id as varchar) as event_id, PULocationID, DOLocationID from raw", "raw"),
+    sql("select cast(event_id as varchar) as event_id, tpep_pickup_datetime, PULocationID, DOLocationID from raw", "raw"),
 )
 def s3(spark, d):
     path = scratch_path(spark, "fallback")
-    fx.raw_trips(spark, d).write.option("header", True).csv(path)
-    return read_trips_any(spark, f"{path}-absent", path).select("event_id", "PULocationID", "DOLocationID")
+    raw = fx.raw_trips(spark, d)
+    raw.withColumn("tpep_pickup_datetime", F.col("tpep_pickup_datetime").cast("string")).write.option("header", True).csv(path)
+    return read_trips_any(spark, f"{path}-absent", path)
 
 
 @query("s4_pruned_scan", "select event_id, ts from events")
@@ -51,18 +59,24 @@ def s4(spark, d):
     return read_trips(spark, f"{d}/events.parquet", columns=["event_id", "ts"])
 
 
-BOUNDED = "select event_id, PULocationID, DOLocationID from raw where PULocationID is not null and DOLocationID is not null"
+# Every seventh pickup zone is NULL, so that the rule has rows to drop.
+HOLES = "(select event_id, case when event_id % 7 <> 0 then PULocationID end as PULocationID, DOLocationID from raw)"
+BOUNDED = f"select * from {HOLES} where PULocationID is not null and DOLocationID is not null"
+
+
+def with_holes(spark, d):
+    rows = fx.raw_trips(spark, d).select("event_id", "PULocationID", "DOLocationID")
+    return rows.withColumn("PULocationID", F.when(F.col("event_id") % 7 != 0, F.col("PULocationID")))
 
 
 @query("s5_bounded_source", sql(f"{BOUNDED} order by event_id limit 5000", "raw"))
 def s5(spark, d):
-    rows = bounded_source(fx.raw_trips(spark, d), 5000, order=[F.asc("event_id")])
-    return rows.select("event_id", "PULocationID", "DOLocationID")
+    return bounded_source(with_holes(spark, d), 5000, order=[F.asc("event_id")])
 
 
 @query("s5_unlimited_source", sql(BOUNDED, "raw"))
 def s5_unlimited(spark, d):
-    return bounded_source(fx.raw_trips(spark, d), 0).select("event_id", "PULocationID", "DOLocationID")
+    return bounded_source(with_holes(spark, d), 0)
 
 
 @query(
@@ -94,21 +108,17 @@ def s9(spark, d):
     return kv_lines(fx.curated_trips(spark, d))
 
 
-CURATED_COLUMNS = ["event_id", "event_time", "pickup_zone", "dropoff_zone", "pickup_borough", "service_date"]
-
-
 @query(
     "s10_curated_sink",
     sql(
-        """select event_id, event_time, pickup_zone, dropoff_zone, pickup_borough,
-                  cast(event_time as date) as service_date from curated""",
+        "select *, cast(event_time as date) as service_date from curated",
         "curated",
     ),
 )
 def s10(spark, d):
     path = scratch_path(spark, "curated")
     write_curated(fx.curated_trips(spark, d), path)
-    return read_trips(spark, path, columns=CURATED_COLUMNS)
+    return read_trips(spark, path)
 
 
 @query("s11_skip_if_done", sql("select count(*) as row_count, true as was_done, false as wrote_again from trips", "trips"))
@@ -158,29 +168,13 @@ def s17_profile(spark, d):
     return run_sql(spark, "borough_hour_profile")
 
 
-@query(
-    "s20_sample_trips",
-    f"""
-    with zones as (select {list(SAMPLE_ZONES)} as ids),
-    timed as (
-        select o_orderkey as i, timestamp '2024-10-01' + to_minutes(cast(o_orderkey * 5 as integer)) as t from orders),
-    offsets as (
-        select i, t, case when hour(t) in (7, 8, 9, 16, 17, 18, 19) then 11 else 0 end as o from timed),
-    places as (select i, t, (17 * i + o) % {len(SAMPLE_ZONES)} as a, (31 * i + 7 + o) % {len(SAMPLE_ZONES)} as b from offsets)
-    select printf('trip-%05d', i) as event_id, cast(1 + i % 2 as integer) as VendorID, t as tpep_pickup_datetime,
-           t + to_minutes(cast(8 + i % 35 as integer)) as tpep_dropoff_datetime,
-           cast(ids[a + 1] as integer) as PULocationID,
-           cast(ids[case when a = b then (a + 1) % {len(SAMPLE_ZONES)} else b end + 1] as integer) as DOLocationID
-    from places, zones
-    """,
-)
-def s20(spark, d):
-    return synthetic_trips(fx.table(spark, d, "orders").select(F.col("o_orderkey").alias("index")))
-
-
-@query("o8_sample_rows")
+@query("o8_sample_rows", "select least(1000, count(*)) as rows, least(1000, count(*)) as ids, 0::bigint as strange from events")
 def o8(spark, d):
-    return sample_rows(fx.demand_trips(spark, d).select("pickup_zone", "pickup_hour", "pickup_dow"))
+    events = fx.table(spark, d, "events").select("event_id")
+    known = events.withColumn("known", F.lit(1))
+    return sample_rows(events, 1000).join(known, "event_id", "left").agg(
+        F.count("*").alias("rows"), F.count_distinct("event_id").alias("ids"), F.count_if(F.col("known").isNull()).alias("strange")
+    )
 
 
 @query(

@@ -3,24 +3,21 @@
 from pyspark.sql import functions as F
 
 from tripspot import fixtures as fx
-from tripspot.operators.baseline import historical_baseline
-from tripspot.operators.score import temporal_split
 from tripspot.registry.base import level_sql, query, sql
-from tripspot.registry.joins import FALLBACK, FILLED, GAP, scores
+from tripspot.registry.joins import FALLBACK, FILLED, GAP, LIMITS, scores, stored_baseline, stored_weather
 from tripspot.registry.models import trained
 from tripspot.session import scratch_path
-from tripspot.sources.sinks import write_report
 from tripspot.streaming.fleet import latest_vehicle
 from tripspot.streaming.ingest import parse_events
 from tripspot.streaming.run import start_query
 from tripspot.streaming.scoring import score_stream
-from tripspot.streaming.sink import batch_counters, latest_view, prediction_counters, upsert_batch
+from tripspot.streaming.sink import batch_counters, compact, latest_view, prediction_counters, retain, upsert_batch
 
 
 def run_all(spark, df, name, counters=None, output_mode="append"):
     """Run a stream over the data at hand; returns the folder of its store."""
     path = scratch_path(spark, name)
-    sink = upsert_batch(path, counters, stateful=output_mode == "update")
+    sink = upsert_batch(path, counters)
     stream = start_query(df, sink, f"{path}/checkpoint", available_now=True, output_mode=output_mode)
     stream.awaitTermination()
     return path
@@ -48,26 +45,14 @@ def by_formula(df):
     return df.withColumn("predicted_hotspot_score", F.col("event_id").cast("long") * 37 % 1000 / 10.0 * 1.2 - 10)
 
 
-def stored_baseline(spark, d):
-    """The baseline as a job would find it: a small Parquet table."""
-    path = scratch_path(spark, "baseline")
-    write_report(historical_baseline(temporal_split(scores(spark, d)).train), path, fmt="parquet")
-    return spark.read.parquet(path)
-
-
-def stored_weather(spark, d):
-    path = scratch_path(spark, "hours")
-    write_report(fx.weather(spark, d), path, fmt="parquet")
-    return spark.read.parquet(path)
-
-
 SCORED = f"""
     select *, case when hotspot_score > t then 'CRITICAL_ANOMALY' else 'NORMAL' end as alert_flag
     from (select i.event_id, event_time, i.pickup_zone, dropoff_zone, i.pickup_hour, i.pickup_dow, {FILLED},
                  case when {GAP} then 1.0 else 0.0 end::double as weather_missing,
                  least(greatest(hotspot_score * 1.2 - 10, 0.0), 100.0) as hotspot_score,
+                 case when {GAP} then 'historical_fallback' else 'Open-Meteo forecast' end as weather_source,
                  cast(coalesce(n, 0) as integer) as historical_baseline_samples,
-                 case when n >= 5 then least(100.0, mean + 3 * stddev) else 100.0 end as t
+                 case when n >= 5 then least(100.0, round(mean + 3 * stddev, 9)) else 100.0 end as t, n, mean, stddev
           from (select *, strftime(at_time, '%Y-%m-%dT%H') as weather_hour from ({INGESTED})) i
           left join weather using (weather_hour) left join baseline b using (pickup_zone, pickup_hour, pickup_dow))"""
 
@@ -75,7 +60,8 @@ SCORED = f"""
 @query(
     "t2_stream_scoring",
     sql(
-        f"""select * exclude (t) replace (round(hotspot_score, 6) as hotspot_score), {level_sql("hotspot_score", "vi")} as hotspot_level
+        f"""select * exclude (t, n, mean, stddev) replace (round(hotspot_score, 6) as hotspot_score),
+                   {level_sql("hotspot_score", "vi")} as hotspot_level, {LIMITS.format(sparse="100.0")}
             from ({SCORED})""",
         "predictions", "weather", "baseline",
     ),
@@ -84,17 +70,26 @@ def t2(spark, d):
     events = parse_events(fx.messages(spark, d, streaming=True))
     scored = score_stream(events, by_formula, stored_weather(spark, d), FALLBACK, stored_baseline(spark, d))
     path = run_all(spark, scored, "scores")
-    limits = ("anomaly_threshold", "historical_mean_score", "historical_stddev_score", "weather_source", "batch_id")
-    return latest_view(spark, path).drop(*limits).withColumn("hotspot_score", F.round("hotspot_score", 6))
+    return latest_view(spark, path).drop("batch_id").withColumn("hotspot_score", F.round("hotspot_score", 6))
 
 
-@query("t2_stream_scoring_with_model")
+@query(
+    "t2_stream_scoring_with_model",
+    sql(f"select count(*) as rows, count(distinct event_id) as ids, 0::bigint as outside, 0::bigint as wrong_flags from ({INGESTED})", "predictions"),
+)
 def t2_model(spark, d):
     run = trained(spark, d)
     events = parse_events(fx.messages(spark, d, streaming=True))
     predict = run.model.transform
     scored = score_stream(events, predict, stored_weather(spark, d), run.fallback, stored_baseline(spark, d))
-    return latest_view(spark, run_all(spark, scored, "model-scores"))
+    view = latest_view(spark, run_all(spark, scored, "model-scores"))
+    flagged = F.col("alert_flag") == "CRITICAL_ANOMALY"
+    return view.agg(
+        F.count("*").alias("rows"),
+        F.count_distinct("event_id").alias("ids"),
+        F.count_if(~F.col("hotspot_score").between(0, 100)).alias("outside"),
+        F.count_if(flagged & (F.col("hotspot_score") <= F.col("anomaly_threshold") - 0.01)).alias("wrong_flags"),
+    )
 
 
 @query(
@@ -128,12 +123,57 @@ def t6(spark, d):
     return latest_view(spark, path)
 
 
+ROUNDS = 3
+
+
+def stored_rounds(spark, d):
+    """A store of three batches; each record is in batches 0 .. i, the last of which raises its score by i."""
+    path = scratch_path(spark, "rounds")
+    write, rows = upsert_batch(path), fx.predictions(spark, d).select("event_id", "event_time", "hotspot_score")
+    for i in range(ROUNDS):
+        part = rows.filter(F.col("event_id").cast("long") % ROUNDS >= i)
+        write(part.withColumn("hotspot_score", F.col("hotspot_score") + i), i)
+        if i:
+            compact(spark, path, i - 1)
+    return path
+
+
+ROUND = "cast(event_id as bigint) % 3"
+
+
+@query(
+    "t6_view_until",
+    sql(
+        f"""select event_id, event_time, hotspot_score + least({ROUND}, 1) as hotspot_score, least({ROUND}, 1) as batch_id
+            from predictions""",
+        "predictions",
+    ),
+)
+def t6_until(spark, d):
+    path = stored_rounds(spark, d)
+    compact(spark, path, ROUNDS - 1)
+    return latest_view(spark, path, until=1)
+
+
+@query(
+    "t6_compacted_view",
+    sql(f"select event_id, event_time, hotspot_score + {ROUND} as hotspot_score, {ROUND} as batch_id from predictions", "predictions"),
+)
+def t6_compacted(spark, d):
+    path = stored_rounds(spark, d)
+    compact(spark, path)
+    retain(spark, path, 1)
+    return latest_view(spark, path)
+
+
 @query(
     "t8_stream_latest_vehicle",
-    sql("select vehicle_id, status, speed_kmh, updated_at, simulation_cycle from fleet", "fleet"),
+    sql("select * from fleet", "fleet"),
 )
 def t8(spark, d):
-    snapshots = spark.readStream.schema(fx.EVENTS_SCHEMA).option("pathGlobFilter", "events.parquet").parquet(d)
+    # Several files, one to a batch.
+    folder = scratch_path(spark, "snapshots")
+    fx.table(spark, d, "events").repartition(3, "event_id").write.parquet(folder)
+    snapshots = spark.readStream.schema(fx.EVENTS_SCHEMA).option("maxFilesPerTrigger", 1).parquet(folder)
     path = run_all(spark, latest_vehicle(fx.vehicles_of(snapshots)), "fleet", output_mode="update")
-    view = latest_view(spark, path, "vehicle_id", ("updated_at", "simulation_cycle"))
-    return view.select("vehicle_id", "status", "speed_kmh", "updated_at", "simulation_cycle")
+    return latest_view(spark, path, "vehicle_id", ("updated_at", "simulation_cycle")).drop("batch_id")

@@ -28,9 +28,15 @@ def read_trips(spark: SparkSession, *paths, columns=None) -> DataFrame:
 
 def read_trips_csv(spark: SparkSession, path: str) -> DataFrame:
     """CSV trips with a header. Types are declared by column name, so the data is not read twice to guess them."""
+    return read_csv_by_header(spark, path, CSV_TYPES)
+
+
+def read_csv_by_header(spark: SparkSession, path: str, types: dict) -> DataFrame:
+    """CSV files with the columns that their header names, typed by name. All files must have the same header: one that
+    differs stops the job when it is read, instead of giving values of another column."""
     names = spark.read.option("header", True).csv(path).columns
-    schema = ", ".join(f"`{name}` {CSV_TYPES.get(name, 'string')}" for name in names)
-    return spark.read.option("header", True).schema(schema).csv(path)
+    schema = ", ".join(f"`{name}` {types.get(name, 'string')}" for name in names)
+    return spark.read.option("header", True).option("enforceSchema", False).schema(schema).csv(path)
 
 
 def read_trips_any(spark: SparkSession, parquet: str, csv: str) -> DataFrame:

@@ -13,6 +13,7 @@ PAYLOAD_SCHEMA = "hourly struct<time: array<string>, {}>".format(
 
 
 def read_weather_json(spark: SparkSession, *paths) -> DataFrame:
-    """Weather rows of one document per path; where hours overlap the later path wins."""
+    """Weather rows of one document per path, or of many in a folder of files; where hours overlap the
+    later path wins, within a document the later element."""
     reader = spark.read.schema(PAYLOAD_SCHEMA).option("multiLine", True)
-    return merge_latest([explode_hourly(reader.json(path)) for path in paths])
+    return merge_latest([explode_hourly(reader.json(path), position="_place") for path in paths], position="_place")

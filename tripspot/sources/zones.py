@@ -6,14 +6,15 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tripspot.operators.serving import natural_order
+from tripspot.sources.trips import read_csv_by_header
 
-LOOKUP_SCHEMA = "LocationID int, Borough string, Zone string, service_zone string"
+LOOKUP_COLUMNS = ("LocationID", "Borough", "Zone", "service_zone")
 GEOJSON_SCHEMA = "features array<struct<properties: struct<LocationID: string>>>"
 
 
 def read_zone_lookup(spark: SparkSession, path: str) -> DataFrame:
-    """Zone lookup CSV."""
-    return spark.read.option("header", True).schema(LOOKUP_SCHEMA).csv(path)
+    """Zone lookup CSV; its columns may stand in any order."""
+    return read_csv_by_header(spark, path, {"LocationID": "int"}).select(*LOOKUP_COLUMNS)
 
 
 def zones_from_geojson(spark: SparkSession, path: str, seen: DataFrame | None = None) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, functions as F
 
 from tripspot.functions.fixed import NUMERIC_WEATHER_FIELDS
@@ -31,9 +33,21 @@ def score_stream(events: DataFrame, predict, weather: DataFrame, fallback, basel
     return flagged.withColumn("event_time", F.col("pickup_datetime")).select(*PREDICTION_COLUMNS)
 
 
+def refreshed(load, seconds=1800.0, clock=time.monotonic):
+    """A function that gives what `load` gave, loading again when that is older than `seconds`."""
+    state = {}
+
+    def current():
+        if "at" not in state or clock() - state["at"] >= seconds:
+            state.update(value=load(), at=clock())
+        return state["value"]
+
+    return current
+
+
 def scoring_sink(store, predict, weather, fallback, baseline: DataFrame, lang="vi"):
     """T2 as a foreachBatch function in front of a store such as `upsert_batch`. `weather` may be a function that
-    reads the forecast table again for each batch, so that a running query sees refreshed forecasts."""
+    gives the forecast table for each batch, such as `refreshed`, so that a running query sees new forecasts."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
         table = weather() if callable(weather) else weather

@@ -6,6 +6,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from tripspot.operators.fleet import latest_state
+from tripspot.session import remove
 
 MISSING = {"PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"}
 
@@ -28,53 +29,61 @@ def prediction_counters() -> list:
     ]
 
 
-def upsert_batch(path: str, counters=None, stateful=False):
+def upsert_batch(path: str, counters=None):
     """A foreachBatch function. A batch goes to its own folder and replaces what an earlier attempt of the same
-    batch left there, so a repeated batch changes nothing. Empty batches write nothing.
+    batch left there, so a repeated batch changes nothing. Empty batches leave nothing.
 
-    `counters` are aggregates observed during that one write and kept per batch (A23). The rows of a `stateful` query
-    are not looked at before they are written, because that would run its state update twice.
+    `counters` are aggregates observed during that one write and kept per batch (A23). The rows are never looked at
+    before they are written: that would run the source, the joins and any state update twice.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        if stateful or not batch.isEmpty():
-            _store(batch, f"batch_id={batch_id}", path, counters)
+        spark, folder = batch.sparkSession, f"batch_id={batch_id}"
+        observation = Observation(folder)
+        rows = batch.observe(observation, F.count("*").alias("_rows"), *(counters or []))
+        rows.write.mode("overwrite").parquet(f"{path}/batches/{folder}")
+        figures = observation.get
+        if not figures.pop("_rows"):
+            remove(spark, f"{path}/batches/{folder}")
+        elif figures:
+            schema = ", ".join(f"{name} long" for name in figures)
+            row = spark.createDataFrame([tuple(figures.values())], schema).coalesce(1)
+            row.write.mode("overwrite").parquet(f"{path}/counters/{folder}")
 
     return write
 
 
-def _store(batch: DataFrame, folder: str, path: str, counters) -> None:
-    if not counters:
-        batch.write.mode("overwrite").parquet(f"{path}/batches/{folder}")
-        return
-    observation = Observation(folder)
-    batch.observe(observation, *counters).write.mode("overwrite").parquet(f"{path}/batches/{folder}")
-    figures = observation.get
-    schema = ", ".join(f"{name} long" for name in figures)
-    row = batch.sparkSession.createDataFrame([tuple(figures.values())], schema).coalesce(1)
-    row.write.mode("overwrite").parquet(f"{path}/counters/{folder}")
-
-
 def batch_counters(spark: SparkSession, path: str) -> DataFrame:
     """The counters of all batches."""
     return spark.read.parquet(f"{path}/counters").withColumn("batch_id", F.col("batch_id").cast("long"))
 
 
-def _newest_snapshot(spark: SparkSession, path: str):
-    snapshots = _read(spark, f"{path}/snapshots")
-    if snapshots is None:
-        return None, -1
-    upto = snapshots.agg(F.max("upto")).first()[0]
-    return snapshots.filter(F.col("upto") == upto).drop("upto"), upto
+def _numbered(spark: SparkSession, root: str, name: str) -> list[int]:
+    """The numbers of the finished folders `name=<number>` below a root, in order."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+    system = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not system.exists(target):
+        return []
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    names = [status.getPath().getName() for status in system.listStatus(target) if status.isDirectory()]
+    return sorted(
+        int(n.partition("=")[2]) for n in names if n.startswith(f"{name}=") and system.exists(path(f"{root}/{n}/_SUCCESS"))
+    )
+
+
+def _snapshot(spark: SparkSession, path: str, until=None):
+    """The newest finished snapshot that holds no batch after `until`, and its last batch."""
+    fitting = [n for n in _numbered(spark, f"{path}/snapshots", "upto") if until is None or n <= until]
+    return (spark.read.parquet(f"{path}/snapshots/upto={fitting[-1]}"), fitting[-1]) if fitting else (None, -1)
 
 
 def latest_view(spark: SparkSession, path: str, key="event_id", order=("batch_id", "event_time"), until=None) -> DataFrame:
-    """The current record of each key: the one with the greatest order values.
+    """The current record of each key, or that after batch `until`: the one with the greatest order values.
 
-    The newest snapshot has one record per key already. Only its records whose key occurs again in later batches are
-    compared with those; the others are passed on as they are, without a shuffle while the later keys are few.
+    The newest fitting snapshot holds one record per key already; with the batches after it, it is reduced by one
+    aggregate that combines before its only shuffle. Without later batches it is passed on as it is.
     """
-    snapshot, upto = _newest_snapshot(spark, path)
+    snapshot, upto = _snapshot(spark, path, until)
     recent = _read(spark, f"{path}/batches")
     if recent is not None:
         recent = recent.withColumn("batch_id", F.col("batch_id").cast("long")).filter(F.col("batch_id") > upto)
@@ -82,25 +91,42 @@ def latest_view(spark: SparkSession, path: str, key="event_id", order=("batch_id
             recent = recent.filter(F.col("batch_id") <= until)
     if snapshot is None and recent is None:
         raise FileNotFoundError(f"nothing stored at {path}")
-    if recent is None:
-        return snapshot
-    if snapshot is None:
-        return latest_state(recent, key, order)
-    again = recent.select(key).distinct()
-    contested = snapshot.join(again, key, "left_semi").unionByName(recent)
-    return snapshot.join(again, key, "left_anti").unionByName(latest_state(contested, key, order))
+    if recent is None or (snapshot is not None and not [n for n in _numbered(spark, f"{path}/batches", "batch_id") if n > upto]):
+        return snapshot if snapshot is not None else latest_state(recent, key, order)
+    return latest_state(recent if snapshot is None else snapshot.unionByName(recent), key, order)
 
 
-def compact(spark: SparkSession, path: str, until: int, key="event_id", order=("batch_id", "event_time"), cluster_by=()) -> None:
-    """Write the view up to a batch as a snapshot, so that readers need not open one folder per batch for ever.
+def compact(spark: SparkSession, path: str, until=None, key="event_id", order=("batch_id", "event_time"), cluster_by=()):
+    """Write the view up to a batch as a snapshot, so that readers need not open one folder per batch for ever; returns
+    the last batch that a snapshot covers.
 
-    `cluster_by` orders the snapshot (by zone and time, say), so that filters on these columns skip row groups; a very
-    frequent zone is split by the later columns. A snapshot becomes visible when its job commits; the batch folders it
-    covers can then be removed by retention.
+    `until` defaults to the last batch but one: the last may still be repeated. A finished snapshot is never written
+    again, an unfinished one is not read, so the call can be repeated at any time. `cluster_by` orders the snapshot (by
+    zone and time, say), so that filters on these columns skip row groups; a frequent zone is split by the later columns.
     """
+    if until is None:
+        until = max([-1, *_numbered(spark, f"{path}/batches", "batch_id")[:-1]])
+    done = _numbered(spark, f"{path}/snapshots", "upto")
+    if until < 0 or until in done:
+        return max(done, default=None)
     view = latest_view(spark, path, key, order, until)
     if cluster_by:
         rows = view.repartitionByRange(*cluster_by).sortWithinPartitions(*cluster_by)
     else:
         rows = view.hint("rebalance")
     rows.write.mode("overwrite").parquet(f"{path}/snapshots/upto={until}")
+    return until
+
+
+def retain(spark: SparkSession, path: str, snapshots=2) -> None:
+    """Keep the newest `snapshots` snapshots and the batches after the oldest of them; remove what they replace. Views
+    as of an earlier batch are gone after that. Counters of batches are small and stay."""
+    done = _numbered(spark, f"{path}/snapshots", "upto")
+    if len(done) < snapshots:
+        return
+    oldest = done[-snapshots]
+    for number in done[:-snapshots]:
+        remove(spark, f"{path}/snapshots/upto={number}")
+    for number in _numbered(spark, f"{path}/batches", "batch_id"):
+        if number <= oldest:
+            remove(spark, f"{path}/batches/batch_id={number}")
