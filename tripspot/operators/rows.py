@@ -6,7 +6,7 @@ import math
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tripspot.session import scratch_path
+from tripspot.session import Scratch, scratch_path
 
 BROADCAST_ROWS = 500_000
 BROADCAST_BYTES = 64 * 1024 * 1024
@@ -46,14 +46,15 @@ def repeat_rows(df: DataFrame, times: str, ordinal: str, chunk=100_000) -> DataF
     )
 
 
-def global_index(df: DataFrame, order, name: str) -> DataFrame:
+def global_index(df: DataFrame, order, name: str, scratch: Scratch | None = None) -> DataFrame:
     """Position 0, 1, 2, ... of each row in the given total order, without a single-task window.
 
     One range-partitioned sort (equal leading keys are split by the later ones), written to the shared folder so
     that partition borders stay fixed; then the offset of each partition is added. Only the partition sizes, one row
-    per partition, are brought together.
+    per partition, are brought together. The written rows are removed with `scratch`, if the caller has one.
     """
-    spark, path = df.sparkSession, scratch_path(df.sparkSession, "index")
+    spark = df.sparkSession
+    path = scratch.path("index") if scratch else scratch_path(spark, "index")
     df.orderBy(*order).withColumn("_at", F.monotonically_increasing_id()).write.parquet(path)
     placed = spark.read.parquet(path)
     # monotonically_increasing_id keeps the partition number above bit 33 and the row number below it.
@@ -70,13 +71,13 @@ def global_index(df: DataFrame, order, name: str) -> DataFrame:
     )
 
 
-def top_rows(df: DataFrame, order, n: int) -> DataFrame:
+def top_rows(df: DataFrame, order, n: int, scratch: Scratch | None = None) -> DataFrame:
     """The first n rows in the given order.
 
     The rows are range-sorted once; partitions below the border are kept whole, the border partition is cut and the
     others are left out, all by the counts of rows before each partition. No task sees more than its own partition.
     """
-    return global_index(df, order, "_place").filter(F.col("_place") < n).select(*df.columns)
+    return global_index(df, order, "_place", scratch).filter(F.col("_place") < n).select(*df.columns)
 
 
 def sample_rows(df: DataFrame, n=100_000, seed=42) -> DataFrame:

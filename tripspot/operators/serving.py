@@ -93,7 +93,7 @@ def fleet_order(vehicles: DataFrame, by="vehicle_id") -> DataFrame:
     return vehicles.orderBy("vehicle_id")
 
 
-def rank_zip(left: DataFrame, left_order, right: DataFrame, right_order, n=None, name="position") -> DataFrame:
+def rank_zip(left: DataFrame, left_order, right: DataFrame, right_order, n=None, name="position", scratch=None) -> DataFrame:
     """First left row with first right row, second with second, as far as the shorter side goes.
 
     With n both sides are cut to their first n rows by top-k before they are numbered. Without n the rows are
@@ -102,7 +102,7 @@ def rank_zip(left: DataFrame, left_order, right: DataFrame, right_order, n=None,
 
     def numbered(df, order):
         if n is None:
-            return global_index(df, order, name)
+            return global_index(df, order, name, scratch)
         return df.orderBy(*order).limit(n).withColumn(name, F.row_number().over(Window.orderBy(*order)) - 1)
 
     return numbered(left, left_order).join(numbered(right, right_order), name)

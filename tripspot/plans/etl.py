@@ -27,13 +27,15 @@ def run_etl(spark: SparkSession, raw: DataFrame, zones: DataFrame, path: str) ->
     assert_unique_key(zones, "LocationID")
     small = is_small(zones)
     made_ids = RAW_TIME in raw.columns and "event_id" not in raw.columns
-    before, after = Observation("before"), Observation("after")
-    cleaned = clean_trips(normalize_trips(raw), unique_ids=made_ids)
+    given, before, after = Observation("given"), Observation("before"), Observation("after")
+    cleaned = clean_trips(normalize_trips(raw.observe(given, F.count("*").alias("raw_rows"))), unique_ids=made_ids)
     counted = cleaned.observe(before, F.count("*").alias("before_enrichment"))
     arranged = by_service_date(counted) if small else counted
     enriched = enrich_zones(arranged, F.broadcast(zones) if small else zones, measure=False)
     write_curated(enriched.observe(after, *quality_measures()), path, arranged=small)
-    figures = {**before.get, **after.get}
+    figures = {**given.get, **before.get, **after.get}
+    # Rows without a zone or a readable time, and all but one of the rows with one id.
+    figures["dropped_rows"] = figures["raw_rows"] - figures["before_enrichment"]
     if figures["before_enrichment"] != figures["after_enrichment"]:
         assert_same_count(cleaned.count(), spark.read.parquet(path).count())
     return figures

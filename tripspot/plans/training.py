@@ -14,8 +14,8 @@ from tripspot.operators.baseline import BASELINE_KEYS, historical_baseline
 from tripspot.operators.evaluation import holdout_metrics, select_model
 from tripspot.operators.ml import build_pipeline, save_model
 from tripspot.operators.score import Split, daily_scores, temporal_split
-from tripspot.operators.weather import assert_coverage, fallback_values, join_weather
-from tripspot.session import LOCAL_ZONE, scratch_path
+from tripspot.operators.weather import assert_coverage, fallback_values, hourly_side, join_weather
+from tripspot.session import LOCAL_ZONE, Scratch
 from tripspot.sources.sinks import write_report
 
 METRIC_COLUMNS = (
@@ -107,20 +107,20 @@ def fit_candidates(train_rows: DataFrame, **gbt) -> dict:
         return {name: fit.result() for name, fit in fits.items()}
 
 
-def _stored(df: DataFrame, name: str) -> DataFrame:
-    """The rows as a table in the shared folder. Training reads them many times: a table outlives lost executors, and
-    its partitions follow its size, while a cached plan would keep one per shuffle partition."""
-    path = scratch_path(df.sparkSession, name)
-    df.hint("rebalance").write.parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
-def train(trips: DataFrame, weather: DataFrame, minimum_coverage=0.95, scores: DataFrame | None = None, **gbt) -> Training:
+def train(
+    trips: DataFrame, weather: DataFrame, minimum_coverage=0.95, scores: DataFrame | None = None, scratch: Scratch | None = None, **gbt
+) -> Training:
     """The training run on curated trips (or on ready scores). Only dates, six fallback values and one-row metrics
-    reach the driver."""
-    scores = _stored(daily_scores(trips) if scores is None else scores, "scores")
+    reach the driver.
+
+    Training reads its rows many times, from tables in `scratch`: they outlive lost executors, and their partitions
+    follow their size, while a cached plan would keep one per shuffle partition. The results read them, too.
+    """
+    scratch = scratch or Scratch(trips.sparkSession, "train")
+    scores = scratch.store((daily_scores(trips) if scores is None else scores).hint("rebalance"), "scores")
+    weather = hourly_side(scratch.store(weather, "weather"))
     covered = assert_coverage(scores, weather, minimum_coverage)
-    enriched = _stored(join_weather(scores, weather), "training")
+    enriched = scratch.store(join_weather(scores, weather).hint("rebalance"), "training")
     split = temporal_split(enriched)
     models = fit_candidates(split.train, **gbt)
     tested = [
@@ -145,12 +145,14 @@ def train(trips: DataFrame, weather: DataFrame, minimum_coverage=0.95, scores: D
 
 
 def training_job(trips: DataFrame, weather: DataFrame, out: str, **options) -> Training:
-    """Train and save everything below `out`."""
-    result = train(trips, weather, **options)
-    save_model(result.model, f"{out}/model")
-    write_report(result.baseline, f"{out}/baseline", fmt="parquet")
-    write_report(result.report, f"{out}/metrics")
-    return result
+    """Train and save everything below `out`; the tables in between are removed."""
+    spark = trips.sparkSession
+    with Scratch(spark, "train") as scratch:
+        result = train(trips, weather, scratch=scratch, **options)
+        save_model(result.model, f"{out}/model")
+        write_report(result.baseline, f"{out}/baseline", fmt="parquet")
+        write_report(result.report, f"{out}/metrics")
+    return result._replace(baseline=spark.read.parquet(f"{out}/baseline"), report=spark.read.json(f"{out}/metrics"))
 
 
 def load_fallback(spark: SparkSession, out: str) -> dict:

@@ -9,10 +9,10 @@ from tripspot.functions.records import replay_id
 from tripspot.operators.rows import global_index
 
 
-def stamp_replay(df: DataFrame, order, start: str, step_s=30) -> DataFrame:
+def stamp_replay(df: DataFrame, order, start: str, step_s=30, scratch=None) -> DataFrame:
     """Row i of the given order gets start + i * step_s seconds. Zones are kept; a missing id is the SHA-1 of
     time, zones and row number."""
-    placed = global_index(df, order, "_i")
+    placed = global_index(df, order, "_i", scratch)
     offset = F.make_dt_interval(secs=F.col("_i") * F.lit(step_s))
     stamped = placed.withColumn("pickup_datetime", iso_seconds(F.lit(start).cast("timestamp_ntz") + offset))
     made = replay_id("pickup_datetime", "pickup_zone", "dropoff_zone", "_i")
