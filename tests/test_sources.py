@@ -9,11 +9,10 @@ from pyspark.sql import functions as F
 
 from tripspot import fixtures as fx
 from tripspot.operators.clean import clean_trips, normalize_trips
+from tripspot.operators.demand import raw_zone_hours, zone_hour_counts
 from tripspot.operators.verify import crosscheck_zone_hour, same_rows
 from tripspot.plans.etl import etl_job, run_etl
 from tripspot.plans.reports import formatted_plan, register_views, run_sql, save_reports
-from tripspot.operators.demand import raw_zone_hours
-from tripspot.operators.demand import zone_hour_counts
 from tripspot.sources.kafka import kafka_options, to_kafka_value
 from tripspot.sources.sinks import is_done, write_curated, write_zone_hour_csv, write_zone_hour_tsv
 from tripspot.sources.trips import bounded_source, read_trips, read_trips_any, read_trips_csv, read_zone_hour_tsv

@@ -9,12 +9,11 @@ from pyspark.sql import functions as F
 from tripspot import fixtures as fx
 from tripspot.operators.fleet import latest_state
 from tripspot.operators.verify import same_rows
-from tripspot.streaming.fleet import VEHICLE_SCHEMA, latest_vehicle
+from tripspot.plans.reports import formatted_plan
+from tripspot.streaming.fleet import latest_vehicle, VEHICLE_SCHEMA
 from tripspot.streaming.ingest import parse_events
 from tripspot.streaming.run import start_query
-from tripspot.streaming.scoring import score_stream
-from tripspot.plans.reports import formatted_plan
-from tripspot.streaming.scoring import refreshed
+from tripspot.streaming.scoring import refreshed, score_stream
 from tripspot.streaming.sink import batch_counters, compact, latest_view, prediction_counters, retain, upsert_batch
 
 

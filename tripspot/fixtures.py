@@ -42,7 +42,8 @@ def zones(spark, sf_dir) -> DataFrame:
 
 def curated_trips(spark, sf_dir) -> DataFrame:
     """Cleaned and enriched trips."""
-    return curate(raw_trips(spark, sf_dir), zones(spark, sf_dir))
+    # The zone table is computed here, so measuring it would run its join once more; Spark knows the sizes of its files.
+    return curate(raw_trips(spark, sf_dir), zones(spark, sf_dir), measure=False)
 
 
 def demand_trips(spark, sf_dir) -> DataFrame:
