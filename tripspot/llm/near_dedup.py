@@ -17,6 +17,7 @@ BINS = 128
 ROWS_PER_BAND = 4
 BITMAP = 4096
 CENTERS = 64
+PAIRS = 512
 SKETCH = "id long, n_shingles long, set_a long, set_b long, bands array<long>"
 
 
@@ -84,7 +85,8 @@ def _sketch(batches, width, bins, rows_per_band):
 
 
 def _confirm(batches, width, percent):
-    for batch in batches:
+    # Few pairs at a time: the sets of both texts are held at once.
+    for batch in (b.slice(i, PAIRS) for b in batches for i in range(0, b.num_rows, PAIRS)):
         sides = []
         for name in ("center_text", "text"):
             sets = []
