@@ -63,6 +63,23 @@ def test_records_after_damage_are_recovered(packed, damage):
     assert ends[0][0] == 0 and ends[-1][1] == len(data) and all(a[1] == b[0] for a, b in zip(ends, ends[1:]))
 
 
+@pytest.mark.parametrize("packed", [True, False])
+@pytest.mark.parametrize("url", ["data:," + "é" * 100_000, "http://x/WARC/1.1", "http://x/WARC/1.0", "data:," + "y" * 300_000 + "WARC/1.1"])
+def test_long_and_version_like_urls(packed, url):
+    parts = [record(i, u, b"page", sha(b"page"), None, DATE) for i, u in enumerate(["http://x", url, "http://x"])]
+    whole = [member(p) if packed else p for p in parts]
+    found = list(salvage(io.BytesIO(b"".join(whole))))
+    assert [f.headers["warc-target-uri"] for f in found] == ["http://x", url, "http://x"]
+    if not packed:  # cut after its url: the next record must not be taken for the rest of it
+        data = parts[1][: parts[1].index(url.encode()) + len(url.encode())] + parts[2]
+        assert [type(f) for f in salvage(io.BytesIO(data))] == [Gap, Record]
+
+
+def test_version_like_url_needs_a_digest():
+    data = b"WARC/1.1\r\nWARC-Target-URI: http://xWARC/1.1\r\nWARC-Type: metadata\r\nContent-Length: 0\r\n\r\n\r\n\r\n"
+    assert [type(f) for f in salvage(io.BytesIO(data))] == [Gap, Record]
+
+
 def test_empty_and_hopeless_files():
     assert list(salvage(io.BytesIO(b""))) == []
     assert list(salvage(io.BytesIO(b"x" * 3_000_000))) == [Gap(0, 3_000_000, "no record begins here")]
@@ -91,6 +108,15 @@ def test_round_trip(spark, scratch):
     assert gaps.count() == 0
 
 
+def test_long_urls_round_trip(spark, scratch):
+    html = "page " * 50
+    urls = ["data:," + "x" * 200_000, "http://x/WARC/1.1", "http://x"]
+    pages = spark.createDataFrame([(i, u, html, "", "", "") for i, u in enumerate(urls)], PAGES).coalesce(1)
+    records, gaps = read_archives(write_archives(pages, scratch, scratch.path("archives")), scratch)
+    got = sorted(tuple(r) for r in records.select("page_id", "payload_bytes", "record_type").collect())
+    assert got == [(0, 250, "response"), (1, 250, "revisit"), (2, 250, "revisit")] and gaps.count() == 0
+
+
 def test_damaged_files_are_logged(spark, scratch):
     pages = spark.createDataFrame([(i, "u", f"page {i} " * 50, "", "", "") for i in range(20)], PAGES).coalesce(1)
     files = write_archives(pages, scratch, scratch.path("archives"))

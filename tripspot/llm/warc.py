@@ -21,7 +21,8 @@ MEMBER = b"\x1f\x8b\x08"
 SEARCH = re.compile(rb"\x1f\x8b\x08|WARC/1\.[01]\r\n")
 CACHE = 1 << 20
 ONCE = {"warc-type", "warc-record-id", "warc-date", "content-length"}
-HEADER = 1 << 16  # bytes a header may have
+URI = "warc-target-uri"
+HEADER = 1 << 16  # bytes first read of a plain record; a header may be longer
 READ = (
     "file string, start long, stop long, problem string, page_id long, record_type string, payload_bytes long,"
     " payload_digest string, refers_to long"
@@ -91,20 +92,31 @@ class _Bytes:
         return self.data[start - self.base : start - self.base + size]
 
 
-def _parse(raw: bytes, start: int, stop: int, offset=0) -> tuple[Record, int]:
-    """The record at `offset` of some bytes and where it ends; Damaged if any check fails."""
-    end = raw.find(b"\r\n\r\n", offset, offset + HEADER)
-    if not raw.startswith(b"WARC/1.", offset) or end < 0:
-        raise Damaged("no version line" if end >= 0 else "header without an end")
-    headers = {}
-    for line in raw[offset:end].split(b"\r\n")[1:]:
+def _fields(head: bytes) -> tuple[dict, bool]:
+    """The fields of whole header lines, and whether a Target-URI ends like a version line; Damaged if a line is none
+    of a header."""
+    headers, doubtful = {}, False
+    for line in head.split(b"\r\n")[1:]:
         name, colon, value = line.partition(b":")
         name = name.decode("latin-1").lower()
-        if not colon or line.endswith((b"WARC/1.0", b"WARC/1.1")):
+        if not colon:
             raise Damaged("header line without a colon")
-        if name in ONCE and name in headers:
+        if line.endswith((b"WARC/1.0", b"WARC/1.1")):
+            if name != URI:
+                raise Damaged("version line inside a header")
+            doubtful = True
+        if name in headers and (name in ONCE or doubtful and name == URI):
             raise Damaged("header field twice")  # the rest of a header that was cut off
         headers[name] = value.strip().decode("utf-8", "replace")
+    return headers, doubtful
+
+
+def _parse(raw: bytes, start: int, stop: int, offset=0) -> tuple[Record, int]:
+    """The record at `offset` of some bytes and where it ends; Damaged if any check fails."""
+    end = raw.find(b"\r\n\r\n", offset)
+    if not raw.startswith(b"WARC/1.", offset) or end < 0:
+        raise Damaged("no version line" if end >= 0 else "header without an end")
+    headers, doubtful = _fields(raw[offset:end])
     if not headers.get("content-length", "").isdecimal():
         raise Damaged("no content length")
     begin = end + 4
@@ -115,6 +127,8 @@ def _parse(raw: bytes, start: int, stop: int, offset=0) -> tuple[Record, int]:
     method, _, digest = headers.get("warc-block-digest", "").partition(":")
     if method == "sha256" and hashlib.sha256(block).hexdigest() != digest:
         raise Damaged("block digest differs")
+    if doubtful and method != "sha256":
+        raise Damaged("version line inside a header")
     if headers.get("content-type", "").startswith("application/http"):
         block = block.partition(b"\r\n\r\n")[2]
     return Record(start, stop, headers, block), close + 4
@@ -142,11 +156,18 @@ def _member(data: _Bytes, start: int) -> tuple[list[Record], int]:
 
 def _plain(data: _Bytes, start: int) -> tuple[list[Record], int]:
     """The uncompressed record at `start` and where it ends."""
-    head = data.at(start, HEADER)
-    length = re.search(rb"\r\n[Cc]ontent-[Ll]ength:\s*(\d{1,15})\r\n", head)
-    end = head.find(b"\r\n\r\n")
-    if end < 0 or not length or length.start() > end:
-        raise Damaged("header without an end or a length")
+    size, end = HEADER, -1
+    while end < 0:
+        head = data.at(start, size)
+        end = head.find(b"\r\n\r\n")
+        if end < 0:
+            _fields(head[: max(0, head.rfind(b"\r\n"))])  # no reading on after a line that no header has
+            if len(head) < size:
+                raise Damaged("header without an end")
+            size *= 4
+    length = re.search(rb"\r\n[Cc]ontent-[Ll]ength:\s*(\d{1,15})\r\n", head[: end + 2])
+    if not length:
+        raise Damaged("header without a length")
     size = end + 4 + int(length[1]) + 4
     raw = data.at(start, size)
     if len(raw) < size:
