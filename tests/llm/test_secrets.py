@@ -44,6 +44,14 @@ def test_verdicts(spark, scratch, documents):
     assert got[100].text == "hex:4:36,live:4:36" and got[101].n_live == 2 and got[102].text == f"access:5:{5 + len(KEY)},live:5:{5 + len(KEY)}"
 
 
+def test_value_copied_through_one_source(spark, scratch, documents):
+    copied = [(i, f"document {i} has {LIVE}", None, "hot") for i in range(1000)]
+    two = [(i, f"document {i} has {KEY}", None, f"owner{i % 2}") for i in range(1000, 1010)]
+    few = [(i, f"document {i} has {LIVE[::-1]}", None, "hot") for i in range(2000, 2009)]
+    got = scan_secrets(documents(copied + two + few), scratch).collect()
+    assert {(r.doc_id // 1000, r.n_example, r.n_live) for r in got} == {(0, 1, 0), (1, 1, 0), (2, 0, 1)}
+
+
 def test_ownership_counts(spark, scratch, documents):
     docs = documents(rows() + rows(), clash=False)
     scan_secrets(docs, scratch)

@@ -89,10 +89,12 @@ def ownership(scanned: DataFrame) -> DataFrame:
     return by_owner.groupBy("hash", "strong").agg(F.sum("repos").alias("repos"), F.count("*").alias("owners"))
 
 
-def verdicts(owned: DataFrame, copied_owners=3) -> DataFrame:
-    """hash and the rank of its verdict: a value that `copied_owners` or more owners share is an example that people
-    copy; one of a single owner that looks generated is live. Others get none."""
-    rank = F.when(F.col("owners") >= copied_owners, F.lit(KINDS.index("example"))).when(
+def verdicts(owned: DataFrame, copied_owners=3, copied_repos=10) -> DataFrame:
+    """hash and the rank of its verdict: a value that `copied_owners` or more owners, or `copied_repos` or more
+    repositories, share is an example that people copy; one of a single owner and of fewer repositories that looks
+    generated is live. Others get none."""
+    copied = (F.col("owners") >= copied_owners) | (F.col("repos") >= copied_repos)
+    rank = F.when(copied, F.lit(KINDS.index("example"))).when(
         (F.col("owners") == 1) & F.col("strong"), F.lit(KINDS.index("live"))
     )
     return owned.select("hash", rank.cast("int").alias("verdict")).filter("verdict is not null")
@@ -108,14 +110,15 @@ def joined(spans, between=",") -> F.Column:
 
 
 def scan_secrets(
-    docs: DataFrame, scratch: Scratch, id_col="doc_id", text_col="text", repo_col="doc_id", owner_col="source", copied_owners=3
-) -> DataFrame:
+    docs: DataFrame, scratch: Scratch, id_col="doc_id", text_col="text", repo_col="doc_id", owner_col="source", copied_owners=3,
+    copied_repos=10,
+) -> DataFrame:
     """One row per row of `docs`: id, n_assign, n_access, n_hex, base_spans, spans, n_example, n_live.
 
     Base spans are found by pattern; the value in each is hashed, and hashes are counted over repositories and owners
-    of the whole corpus. To the base spans the method adds, over the value, `example` for values that many owners
-    copied and `live` for generated-looking values of one owner only. Spans are (start, rank of kind, end) in code
-    points, in order.
+    of the whole corpus. To the base spans the method adds, over the value, `example` for values that many owners or
+    many repositories have and `live` for generated-looking values of one owner and few repositories. Exact copies of
+    a text in several repositories count once for each. Spans are (start, rank of kind, end) in code points, in order.
 
     Texts are read once and stay where they are: only hashes, and rows that hold a candidate, are shuffled, and a
     value in a third of all rows is split. A null or empty text has no spans. Repeated rows are rows of their own (of
@@ -131,7 +134,7 @@ def scan_secrets(
     scanned = scratch.store(rows.mapInArrow(_scan, SCANNED), "scanned")
     counts = ["at", "id", "n_assign", "n_access", "n_hex", "base"]
     found = scanned.filter(F.size("candidates") > 0).select(*counts, F.explode("candidates").alias("c"))
-    judged = found.join(verdicts(ownership(scanned), copied_owners).withColumnRenamed("hash", "_hash"), F.col("c.hash") == F.col("_hash"), "left")
+    judged = found.join(verdicts(ownership(scanned), copied_owners, copied_repos).withColumnRenamed("hash", "_hash"), F.col("c.hash") == F.col("_hash"), "left")
     added = F.when(
         F.col("verdict").isNotNull(),
         F.struct(F.col("c.start").alias("start"), F.col("verdict").alias("rank"), F.col("c.end").alias("end")),
