@@ -21,10 +21,11 @@ SHARDS = 24
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without a letter, null ones among them, go: no language can be told. All others stay as they are."""
+    """Texts without a letter, null ones among them, go: no language can be told. All others stay as they are, also
+    if no row has a language to learn from."""
     workspace(spark, "language-id")
     model = language.learn(docs)
-    kept = language.predict(docs, model, carry=tuple(COLUMNS[2:]))
+    kept = language.predict(docs, model, carry=tuple(COLUMNS[2:]), unlearned="unlearned")
     return kept.filter(F.col("lang_pred") != language.UNKNOWN).select(*COLUMNS)
 
 

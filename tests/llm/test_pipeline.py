@@ -66,3 +66,10 @@ def test_stages_bear_odd_rows(spark, folder, documents):
         assert stage(spark, documents([]), folder[0]).collect() == []
     none = documents([(None, "same words in here", None, None, None)] * 3)
     assert pipeline.near_dedup(spark, none, folder[0]).count() == 3
+
+
+def test_lettered_texts_stay_when_no_language_is_known(spark, folder, documents):
+    docs = documents([(*r[:2], None, *r[3:]) for r in odd_rows()] + [(20, "4711 ##"), (21, "éa")])
+    kept = pipeline.language_id(spark, docs, folder[0]).collect()
+    lettered = [str(i) for i, t, *_ in odd_rows() if t and any(c.isalpha() for c in t)] + ["21"]
+    assert sorted(str(r.doc_id) for r in kept) == sorted(lettered)

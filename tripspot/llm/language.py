@@ -120,7 +120,7 @@ def _kernel(present: np.ndarray, model: Model) -> np.ndarray:
     return shared / np.sqrt(np.maximum(1, size)[:, None] * np.maximum(1, model.sizes)[None, :])
 
 
-def _predict(batches, model: Model, carried: bool):
+def _predict(batches, model: Model, carried: bool, unlearned: str):
     for batch in batches:
         text = batch.column("text")
         lettered = pc.fill_null(pc.match_substring_regex(text, r"\pL"), False).to_numpy(zero_copy_only=False)
@@ -130,8 +130,8 @@ def _predict(batches, model: Model, carried: bool):
                 values = _kernel(presence(part), model) @ model.weights
                 best, score = values.argmax(axis=1), np.clip(values.max(axis=1), 0, 1)
             else:
-                best, score, has = np.zeros(len(part), int), np.zeros(len(part)), np.zeros(len(part), bool)
-            names = [model.languages[b] if h else UNKNOWN for b, h in zip(best, has)]
+                best, score = np.zeros(len(part), int), np.zeros(len(part))
+            names = [(model.languages[b] if model.languages else unlearned) if h else UNKNOWN for b, h in zip(best, has)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(names, pa.string()), pa.array(np.where(has, score, 0.0)),
                  *(c.slice(i, TEXTS) for c, name in zip(batch.columns, batch.schema.names) if carried or name != "text")],
@@ -139,18 +139,21 @@ def _predict(batches, model: Model, carried: bool):
             )
 
 
-def predict(docs: DataFrame, model: Model, id_col="doc_id", text_col="text", carry: tuple[str, ...] | None = None) -> DataFrame:
+def predict(
+    docs: DataFrame, model: Model, id_col="doc_id", text_col="text", carry: tuple[str, ...] | None = None, unlearned=UNKNOWN
+) -> DataFrame:
     """id, lang_pred and score (0 to 1) of every whole text, in one pass without a shuffle.
 
-    A null text or one without a letter is `und` with score 0, and so is every text if no language was learned. Of
-    equal scores the language that sorts first wins. Repeated rows and null ids are rows like others. Extra columns
+    A null text or one without a letter is `und` with score 0. If no language was learned, every other text is
+    `unlearned` with score 0, which is `und` as well unless the caller must tell the two apart. Of equal scores the language that sorts first wins. Repeated rows and null ids are rows like others. Extra columns
     are ignored; with `carry` (names, possibly none) the text and those columns come back too, for use as a filter.
     """
     extra = [F.col(c).alias(f"_carry_{i}") for i, c in enumerate(carry or ())]
     own = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), *extra)
     fields = [f"`{name}` {kind}" for name, kind in own.dtypes if carry is not None or name != "text"]
     out = own.mapInArrow(
-        functools.partial(_predict, model=model, carried=carry is not None), ", ".join(["lang_pred string, score double", *fields])
+        functools.partial(_predict, model=model, carried=carry is not None, unlearned=unlearned),
+        ", ".join(["lang_pred string, score double", *fields])
     )
     names = [F.col("id").alias(id_col), "lang_pred", "score"]
     names += [F.col("text").alias(text_col)] if carry is not None else []
