@@ -1,7 +1,7 @@
 """From raw documents to a training set: each stage works on what the one before it kept.
 
 `docs` has the columns of `documents`, and may have more, which are dropped. Rows that repeat an id are decided upon
-together by near_dedup and decontaminate, and each for itself by the other stages.
+each for itself. A row without an id can go in every stage but near_dedup.
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ from tripspot.llm.mixing import mix_sources
 from tripspot.llm.near_dedup import near_duplicates
 from tripspot.llm.sharding import contiguous_shards
 from tripspot.operators.rows import checked_broadcast
+from tripspot.session import Scratch
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 SHARDS = 24
@@ -29,21 +30,38 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return kept.filter(F.col("lang_pred") != language.UNKNOWN).select(*COLUMNS)
 
 
-def without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
-    """Rows whose id is not in `dropped`; rows without an id stay."""
-    return docs.select(*COLUMNS).join(checked_broadcast(dropped.select("doc_id").distinct()), "doc_id", "left_anti").select(*COLUMNS)
+def numbered(docs: DataFrame, scratch: Scratch) -> DataFrame:
+    """The rows, stored with a number of their own each, which stays the same however often they are read."""
+    return scratch.store(docs.select(*COLUMNS, F.monotonically_increasing_id().alias("_row")), "numbered")
+
+
+def without(rows: DataFrame, dropped: DataFrame) -> DataFrame:
+    """Rows whose number is not in `dropped`."""
+    return rows.join(checked_broadcast(dropped.select("_row").distinct()), "_row", "left_anti").select(*COLUMNS)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates (five words, 0.8) the document with the smallest id stays."""
-    groups = near_duplicates(docs, workspace(spark, "near-dedup"))
-    return without(docs, groups.filter("not kept"))
+    """Of each group of near duplicates (five words, 0.8) the row with the smallest id stays, of several the one read
+    first. Rows without an id take no part and stay."""
+    scratch = workspace(spark, "near-dedup-rows")
+    rows = numbered(docs, scratch)
+    own = rows.select(F.when(F.col("doc_id").isNotNull(), F.col("_row")).alias("doc_id"), "text")
+    groups = near_duplicates(own, workspace(spark, "near-dedup"))
+    copies = scratch.store(groups.filter("not kept").select(F.col("doc_id").alias("_row"), F.col("component_id").alias("_group")), "copies")
+    members = copies.unionByName(copies.select(F.col("_group").alias("_row"), "_group").distinct())
+    members = scratch.store(members.join(rows.select("_row", F.col("doc_id").alias("_id")), "_row"), "members")
+    first = scratch.store(members.groupBy("_group").agg(F.min(F.struct("_id", "_row")).alias("_first")), "first")
+    dropped = members.join(checked_broadcast(first), "_group").filter(F.col("_row") != F.col("_first._row"))
+    return without(rows, scratch.store(dropped.select("_row"), "dropped"))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold half of a benchmark item or more, in any order, go."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    return without(docs, contaminated_pairs(docs, benchmark, workspace(spark, "decontaminate")))
+    scratch = workspace(spark, "decontaminate")
+    rows = numbered(docs, scratch)
+    own = rows.select(F.col("_row").alias("doc_id"), "text")
+    return without(rows, contaminated_pairs(own, benchmark, scratch).withColumnRenamed("doc_id", "_row"))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -73,3 +73,14 @@ def test_lettered_texts_stay_when_no_language_is_known(spark, folder, documents)
     kept = pipeline.language_id(spark, docs, folder[0]).collect()
     lettered = [str(i) for i, t, *_ in odd_rows() if t and any(c.isalpha() for c in t)] + ["21"]
     assert sorted(str(r.doc_id) for r in kept) == sorted(lettered)
+
+
+def test_rows_are_dropped_by_themselves(spark, folder, documents):
+    path, _, items = folder
+    leak, clean, other = " ".join(items[0]), "a clean text of the same id as the leak", "words that nothing else here has at all"
+    rows = [(None, leak), (None, clean), (5, leak), (5, clean), (6, other)]
+    kept = pipeline.decontaminate(spark, documents(rows), path).collect()
+    assert sorted((str(r.doc_id), r.text) for r in kept) == [("5", clean), ("6", other), ("None", clean)]
+    rows = [(9, leak), (7, leak), (8, leak), (7, clean), (8, other), (8, other), (None, other)]
+    kept = pipeline.near_dedup(spark, documents(rows), path).collect()
+    assert sorted((str(r.doc_id), r.text) for r in kept) == [("7", clean), ("7", leak), ("8", other), ("None", other)]
