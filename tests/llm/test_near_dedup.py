@@ -82,6 +82,17 @@ def test_against_brute_force(spark, scratch, documents, width):
     assert {i: r.n_shingles for i, r in got.items()} == {i: len(shingle_set(t, width)) for i, t in rows}
 
 
+def test_ids_of_several_sets_against_brute_force(spark, scratch, documents):
+    a, b, c, d = (" ".join(f"{k}{i}" for i in range(60)) for k in "abcd")
+    near = lambda text: text + " edited"
+    rows = [(5, a), (7, a), (7, b), (8, near(b)), (7, ""), (7, None)]  # 7 ties the sets of 5 and of itself
+    rows += [(20, c), (22, c), (21, d), (22, d), (23, near(d)), (24, ""), (None, a), (None, "")]  # 22 is smallest of none
+    got = {(r.doc_id, r.component_id, r.kept) for r in near_duplicates(documents(rows), scratch, width=4).collect()}
+    expected = brute(rows, 4)
+    assert expected[8] == 5 and expected[23] == 20
+    assert got == {(i, c, i == c) for i, c in expected.items()} | {(None, None, True)}
+
+
 def test_no_link_is_lost_when_the_star_fails(spark, scratch, documents):
     """Texts along a chain: each like its neighbours only, so most are not like the smallest id in their buckets."""
     words = [f"w{i}" for i in range(400)]

@@ -185,6 +185,16 @@ def _shared_parts(ids, texts, width):
     return texts_of.join(alone, "id", "left").select("id", "n", shared, "any_text", "ones", "bits")
 
 
+def _same_document(sketches, sets, scratch):
+    """Pairs of a set's smallest id and an id that has other sets too: each such id ties all its sets together."""
+    key = F.struct("set_a", "set_b")
+    by_id = sketches.groupBy("id").agg(F.min(key).alias("low"), F.max(key).alias("high"))
+    several = scratch.store(by_id.filter("low <> high").select("id"), "several")
+    own = sketches.select("id", "set_a", "set_b").join(checked_broadcast(several), "id", "left_semi").distinct()
+    centers = sets.select("set_a", "set_b", F.col("id").alias("center"))
+    return own.join(centers, ["set_a", "set_b"]).filter("center <> id").select("center", "id").distinct()
+
+
 def near_duplicates(
     docs: DataFrame,
     scratch: Scratch,
@@ -237,7 +247,8 @@ def near_duplicates(
 
     pairs = scratch.store(members.filter("id <> center").select("center", "id").distinct(), "pairs")
     compared = [pairs]
-    links = [scratch.store(_linked(pairs, texts, width, percent), "links")]
+    same = _same_document(sketches.filter("id is not null and n_shingles > 0"), sets, scratch)
+    links = [scratch.store(_linked(pairs, texts, width, percent), "links"), scratch.store(same, "same")]
     labels = scratch.store(components(_edges(links), scratch), "labels")
     candidates = scratch.store(_open(members, labels), "open")
     shared = scratch.store(_shared_parts(candidates.select("id").distinct(), texts, width), "parts")
@@ -277,7 +288,10 @@ def near_duplicates(
         sketches.filter("id is not null and n_shingles > 0").drop("bands").join(by_set, ["set_a", "set_b"])
         .select("id", "n_shingles", "component")
     )
-    rest = sketches.filter("id is null or n_shingles = 0").select("id", "n_shingles", F.col("id").alias("component"))
+    rest = scratch.store(sketches.filter("id is null or n_shingles = 0").select("id", "n_shingles"), "rest")
+    # A row without shingles belongs to the component of its id's other texts.
+    others = placed.join(checked_broadcast(rest.select("id").dropna().distinct()), "id", "left_semi").select("id", "component").distinct()
+    rest = rest.join(others, "id", "left").select("id", "n_shingles", F.coalesce("component", "id").alias("component"))
     return placed.unionByName(rest).select(
         F.col("id").alias(id_col),
         "n_shingles",
