@@ -22,6 +22,33 @@ def scratch(spark):
         yield scratch
 
 
+CONVERSATION = "conv_id long, turn long, role string, text string"
+CLASHING_TURNS = ["conv", "part", "open", "digest", "initial", "fault", "rows", "turns", "_at", "copy", "loss", "formatted", "audit", "cost"]
+
+
+@pytest.fixture
+def conversations(spark):
+    """A table of conversations, with columns whose names clash."""
+
+    def make(rows, parts=3):
+        table = spark.createDataFrame(rows, CONVERSATION)
+        for name in CLASHING_TURNS:
+            table = table.withColumn(name, table.text)
+        return table.repartition(parts)
+
+    return make
+
+
+@pytest.fixture
+def small_batches(spark):
+    """Batches of few rows, so that conversations are cut into parts."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "7")
+    yield
+    spark.conf.set(name, before)
+
+
 @pytest.fixture
 def documents(spark):
     """A table of documents, with columns whose names clash."""

@@ -16,6 +16,9 @@ CONTRACT = {
     "op8": {"doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard"},
     "op9": {"doc_id", "n_tokens", "n_tokens_edited"},
     "op10": {"doc_id", "size", "source_size", "target", "taken"},
+    "op11": {"conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256"},
+    "op12": {"conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"},
+    "op13": {"lang", "rank", "phrase", "a", "l", "r", "n", "score"},
 }
 
 
