@@ -115,6 +115,62 @@ def test_view_as_of_a_batch(spark, tmp_path):
     assert len(re.findall(r"^\(\d+\) Exchange", formatted_plan(latest_view(spark, path)), re.M)) <= 1
 
 
+def keyed(spark, keys, at, s):
+    rows = [(k, at, float(s)) for k in keys]
+    return spark.createDataFrame(rows, "event_id string, event_time string, s double")
+
+
+def test_a_snapshot_is_not_shuffled_again(spark, tmp_path):
+    write, path = upsert_batch(str(tmp_path)), str(tmp_path)
+    write(keyed(spark, [f"k{i}" for i in range(500)], "t1", 1), 0)
+    compact(spark, path, until=0, buckets=5)
+    write(keyed(spark, ["k7", "new"], "t2", 2), 1)
+    plan = latest_view(spark, path)._jdf.queryExecution().executedPlan().toString()
+    above = plan[: plan.index("FileScan parquet spark_catalog")]
+    assert "FullOuter" in above and "Exchange" not in above and "Bucketed: true" in plan and "SelectedBucketsCount: 5 out of 5" in plan
+    view = {r.event_id: r.s for r in latest_view(spark, path).collect()}
+    assert len(view) == 501 and view["k7"] == view["new"] == 2.0 and view["k8"] == 1.0
+
+
+def test_only_touched_slices_are_written(spark, tmp_path):
+    write, path = upsert_batch(str(tmp_path)), str(tmp_path)
+    write(keyed(spark, [f"k{i}" for i in range(300)], "t1", 1), 0)
+    compact(spark, path, until=0, buckets=3, slices=8)
+    write(keyed(spark, ["k5"], "t2", 2), 1)
+    write(keyed(spark, ["k6", "k5"], "t0", 3), 2)  # later batch, earlier time: the batch decides
+    compact(spark, path, until=1)
+    compact(spark, path, until=2)
+    folders = {n: sorted(p.name for p in (tmp_path / f"snapshots/upto={n}").glob("slice=*")) for n in (0, 1, 2)}
+    assert len(folders[0]) == 8 and len(folders[1]) == 1 and 1 <= len(folders[2]) <= 2
+    views = [{r.event_id: r.s for r in latest_view(spark, path, until=n).collect()} for n in (0, 1, 2)]
+    assert [(len(v), v["k5"], v["k6"]) for v in views] == [(300, 1.0, 1.0), (300, 2.0, 1.0), (300, 3.0, 3.0)]
+    retain(spark, path, 1, age_s=3600)
+    assert (tmp_path / "batches/batch_id=0").exists()  # a reader may still need what the newest snapshot replaces
+    retain(spark, path, 1)
+    kept = {r.event_id: r.s for r in latest_view(spark, path).collect()}
+    assert kept == views[2] and not set(folders[2]) & {p.name for p in (tmp_path / "snapshots/upto=0").glob("slice=*")}
+
+
+def test_late_records_lose_by_their_own_order(spark, tmp_path):
+    write, path = upsert_batch(str(tmp_path)), str(tmp_path)
+    write(keyed(spark, ["a", "b"], "t5", 1), 0)
+    compact(spark, path, until=0, order=("event_time",))
+    write(keyed(spark, ["a"], "t4", 2), 1)
+    write(keyed(spark, ["b", "b"], "t6", 3), 2)
+    view = latest_view(spark, path, order=("event_time",))
+    assert {r.event_id: (r.event_time, r.s) for r in view.collect()} == {"a": ("t5", 1.0), "b": ("t6", 3.0)}
+    with pytest.raises(ValueError, match="kept by event_id"):
+        latest_view(spark, path, "event_time")
+
+
+def test_unfinished_batches_are_not_read(spark, tmp_path):
+    write, path = upsert_batch(str(tmp_path)), str(tmp_path)
+    write(keyed(spark, ["a"], "t1", 1), 0)
+    write(keyed(spark, ["a"], "t2", 2), 1)
+    (tmp_path / "batches/batch_id=1/_SUCCESS").unlink()
+    assert [r.s for r in latest_view(spark, path).collect()] == [1.0]
+
+
 def test_an_unfinished_snapshot_is_not_read(spark, tmp_path):
     write, path = upsert_batch(str(tmp_path)), str(tmp_path)
     for i in range(3):

@@ -100,7 +100,7 @@ def compact_job(spark, args):
     """Write the current records of a store as a snapshot and remove what older snapshots and batches repeat."""
     key, order = STORES[args.store]
     compact(spark, args.out, args.until, key, order)
-    retain(spark, args.out, args.keep)
+    retain(spark, args.out, args.keep, args.age)
 
 
 def forecast_job(spark, args):
@@ -173,6 +173,7 @@ def parser() -> argparse.ArgumentParser:
             job.add_argument("--store", choices=list(STORES), default="predictions")
             job.add_argument("--until", type=int, help="last batch of the snapshot; the last but one by default")
             job.add_argument("--keep", type=int, default=2, help="snapshots to keep")
+            job.add_argument("--age", type=int, default=3600, help="seconds for which readers of older files are waited for")
         if name == "train":
             job.add_argument("--coverage", type=float, default=0.95)
             for option, kind in GBT_OPTIONS.items():

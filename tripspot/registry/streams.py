@@ -166,6 +166,15 @@ def t6_compacted(spark, d):
     return latest_view(spark, path)
 
 
+@query(
+    "t6_bucketed_view",
+    sql(f"select event_id, event_time, hotspot_score + {ROUND} as hotspot_score, {ROUND} as batch_id from predictions", "predictions"),
+)
+def t6_bucketed(spark, d):
+    # Snapshots up to batches 0 and 1, the second of which touches all slices; batch 2 is joined to its buckets.
+    return latest_view(spark, stored_rounds(spark, d))
+
+
 @query(
     "t8_stream_latest_vehicle",
     sql("select * from fleet", "fleet"),
