@@ -65,7 +65,7 @@ def test_stages_bear_odd_rows(spark, folder, documents):
         assert out.count() > 0
         assert stage(spark, documents([]), folder[0]).collect() == []
     none = documents([(None, "same words in here", None, None, None)] * 3)
-    assert pipeline.near_dedup(spark, none, folder[0]).count() == 3
+    assert pipeline.near_dedup(spark, none, folder[0]).count() == 1
 
 
 def test_lettered_texts_stay_when_no_language_is_known(spark, folder, documents):
@@ -83,4 +83,27 @@ def test_rows_are_dropped_by_themselves(spark, folder, documents):
     assert sorted((str(r.doc_id), r.text) for r in kept) == [("5", clean), ("6", other), ("None", clean)]
     rows = [(9, leak), (7, leak), (8, leak), (7, clean), (8, other), (8, other), (None, other)]
     kept = pipeline.near_dedup(spark, documents(rows), path).collect()
-    assert sorted((str(r.doc_id), r.text) for r in kept) == [("7", clean), ("7", leak), ("8", other), ("None", other)]
+    assert sorted((str(r.doc_id), r.text) for r in kept) == [("7", clean), ("7", leak), ("8", other)]
+
+
+def test_rows_of_files_are_numbered_without_a_copy(spark, scratch, tmp_path, documents):
+    documents([(1, "a"), (1, "a"), (None, "b"), (2, None)] * 5).repartition(4).write.parquet(str(tmp_path / "docs"))
+    docs = spark.read.parquet(str(tmp_path / "docs"))
+    first, again = (pipeline.numbered(docs, scratch) for _ in range(2))
+    numbers = {r._row: (r.doc_id, r.text) for r in first.collect()}
+    assert len(numbers) == 20 and numbers == {r._row: (r.doc_id, r.text) for r in again.repartition(3).collect()}
+    assert all("numbered" not in p for p, _ in scratch.tables.values())
+
+
+def test_only_the_last_tables_are_left(spark, folder):
+    from pathlib import Path
+
+    from tripspot.session import shared_dir
+
+    root = Path(shared_dir(spark).removeprefix("file:"))
+    before = {p for p in root.iterdir()}
+    result = pipeline.run(spark, folder[0])
+    new = {p.name.rsplit("-", 1)[0] for p in root.iterdir() if p not in before and any(p.rglob("*.parquet"))}
+    assert new == {"pipeline"}
+    left = {p.name.rsplit("-", 1)[0] for q in root.iterdir() if q not in before for p in q.iterdir()}
+    assert left <= {"mix", "sizes", "placed", "offsets"} and result.count() > 0
