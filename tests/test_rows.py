@@ -1,5 +1,7 @@
 """Row building blocks against brute force, with one key that holds a third of all rows or more."""
 
+import functools
+import re
 from collections import Counter
 
 import pytest
@@ -8,8 +10,10 @@ from pyspark.sql import functions as F
 from tripspot.operators.clean import dedup, with_event_id
 from tripspot.operators.demand import zone_hour_counts
 from tripspot.operators.fleet import latest_state
-from tripspot.operators.rows import checked_broadcast, global_index, repeat_rows, sample_rows, top_rows
+from tripspot.operators.rows import bounded_rows, checked_broadcast, global_index, repeat_rows, sample_rows, sort_key, top_rows
+from tripspot.operators import serving
 from tripspot.plans.reports import formatted_plan
+from tripspot.session import Scratch
 
 
 @pytest.fixture(scope="module")
@@ -119,3 +123,64 @@ def test_latest_state_of_a_hot_key(spark):
     for r in rows.collect():
         best[r.vehicle_id] = max(best.get(r.vehicle_id, (-1, -1)), (r.updated_at, r.simulation_cycle))
     assert {r.vehicle_id: (r.updated_at, r.simulation_cycle) for r in latest_state(rows).collect()} == best
+
+
+@pytest.fixture(scope="module")
+def ranked(spark):
+    """4000 rows of many types with nulls; one value of the leading columns holds a third of them."""
+    i = F.col("id")
+    mixed = F.pmod(F.xxhash64("id"), F.lit(997))
+    hot = lambda c: F.when(i % 3 == 0, F.lit(None if c == "s" else 500)).otherwise(mixed)
+    rows = spark.range(4000, numPartitions=5).select(
+        "id",
+        hot("n").cast("long").alias("n"),
+        F.when(i % 3 == 0, "the same long text for all").otherwise(F.concat(F.lit("the same long text "), mixed.cast("string"))).alias("s"),
+        F.when(i % 11 != 0, mixed / 7 - 50).alias("x"),
+        F.when(i % 13 != 0, F.date_add(F.lit("1969-06-01").cast("date"), mixed.cast("int"))).alias("d"),
+        F.timestamp_micros(mixed * 1_000_003 - 5 * 10**8).alias("t"),
+        (F.lit("1969-12-31 23:59:00").cast("timestamp_ntz") + F.make_dt_interval(secs=mixed * 0.000123)).alias("u"),
+        (i % 2 == 0).alias("b"),
+    )
+    return rows.withColumn("x", F.when(i % 17 == 0, F.lit(float("nan"))).otherwise(F.col("x"))).cache()
+
+
+@pytest.mark.parametrize("keys", [["n", "id"], ["-n", "-id"], ["s", "id"], ["-s", "id"], ["x", "id"], ["-x", "id"], ["d", "-id"], ["-d", "id"],
+                                  ["t", "id"], ["-u", "id"], ["u", "id"], ["b", "n", "-id"]])
+@pytest.mark.parametrize("n", [1, 700, 2500, 3999])
+def test_bounded_rows_hold_the_first(ranked, keys, n):
+    bound = bounded_rows(ranked, keys, n, slack=60)
+    order = [sort_key(k) for k in keys]
+    want = [r.id for r in ranked.orderBy(*order).limit(n).collect()]
+    got = [r.id for r in bound.orderBy(*order).collect()]
+    assert got[:n] == want
+    # Texts and fractions are told apart only so far; a third of all rows has the same text.
+    assert len(got) <= n + 60 or keys[0].lstrip("-") in "sx"
+
+
+def test_bounded_rows_of_few_rows(ranked):
+    assert bounded_rows(ranked, ["n"], 3990, slack=60).count() == 4000
+    assert bounded_rows(ranked, ["n"], 0).count() == 0
+    assert bounded_rows(ranked.filter("id < 0"), ["n"], 5).count() == 0
+
+
+def test_rows_beyond_the_border_are_neither_read_nor_written(spark, tmp_path):
+    rows = spark.range(200_000, numPartitions=4).select("id", (F.col("id") * 7919 % 200_003).alias("v"))
+    rows.write.parquet(str(tmp_path / "rows"))
+    stored = spark.read.parquet(str(tmp_path / "rows"))
+    with Scratch(spark, "bounded") as scratch:
+        out = top_rows(stored, ["v", "id"], 1000, scratch, slack=200)
+        assert [r.v for r in out.orderBy("v").collect()] == [r.v for r in rows.orderBy("v").limit(1000).collect()]
+        written = spark.read.parquet(f"{scratch.root}/index-*")
+        assert 1000 <= written.count() <= 1200
+    plan = formatted_plan(bounded_rows(stored, ["-v", "id"], 1000, slack=200))
+    assert re.search(r"PushedFilters: \[.*GreaterThanOrEqual\(v,\d+\)", plan) and "Exchange" not in plan
+
+
+def test_rank_zip_cuts_the_longer_side(spark, monkeypatch):
+    left = spark.range(5000).select(F.concat(F.lit("a"), F.col("id")).alias("l"), (F.col("id") * 31 % 5003).alias("v"))
+    right = spark.range(40).select(F.col("id").alias("w"))
+    monkeypatch.setattr(serving, "bounded_rows", functools.partial(bounded_rows, slack=10))
+    with Scratch(spark, "zip") as scratch:
+        out = serving.rank_zip(left, ["-v"], right, ["w"], scratch=scratch).orderBy("position").collect()
+        assert [r.v for r in out] == [r.v for r in left.orderBy(F.desc("v")).limit(40).collect()] and [r.w for r in out] == list(range(40))
+        assert spark.read.option("mergeSchema", True).parquet(f"{scratch.root}/index-*").filter("l is not null").count() <= 50

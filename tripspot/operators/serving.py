@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from tripspot.functions.fixed import DISPATCH_REASON
 from tripspot.functions.scoring import score_level
-from tripspot.operators.rows import global_index
+from tripspot.operators.rows import bounded_rows, global_index, sort_key
 
 
 def for_zone(df: DataFrame, zone=None) -> DataFrame:
@@ -96,16 +96,22 @@ def fleet_order(vehicles: DataFrame, by="vehicle_id") -> DataFrame:
 def rank_zip(left: DataFrame, left_order, right: DataFrame, right_order, n=None, name="position", scratch=None) -> DataFrame:
     """First left row with first right row, second with second, as far as the shorter side goes.
 
-    With n both sides are cut to their first n rows by top-k before they are numbered. Without n the rows are
-    numbered by a distributed sort.
+    With n both sides are cut to their first n rows by top-k before they are numbered. Without n the rows are numbered
+    by a distributed sort; with orders by name (`name`, `-name`) the longer side is first cut near the length of the
+    shorter, so that rows without a partner are neither sorted nor written.
     """
+    sides = [(left, left_order), (right, right_order)]
+    if n is None and all(isinstance(key, str) for _, order in sides for key in order):
+        shorter = min(df.count() for df, _ in sides)
+        sides = [(bounded_rows(df, order, shorter), order) for df, order in sides]
 
     def numbered(df, order):
+        order = [sort_key(key) if isinstance(key, str) else key for key in order]
         if n is None:
             return global_index(df, order, name, scratch)
         return df.orderBy(*order).limit(n).withColumn(name, F.row_number().over(Window.orderBy(*order)) - 1)
 
-    return numbered(left, left_order).join(numbered(right, right_order), name)
+    return numbered(*sides[0]).join(numbered(*sides[1]), name)
 
 
 def hotspot_summary(preds: DataFrame, n=10, lang="vi") -> DataFrame:

@@ -2,10 +2,25 @@
 
 from __future__ import annotations
 
+import atexit
+
 from tripspot.functions.fixed import WEATHER_CODE_LABELS, WEATHER_NO_DATA, WEATHER_OTHER
+from tripspot.session import Scratch
 
 QUERIES: dict = {}
 ORACLES: dict = {}
+_OWNED: dict = {}
+
+
+def owned(spark) -> Scratch:
+    """The tables that queries store in a session. Results are read after a query has returned, so they are kept until
+    the program ends, and removed then if the session is still open."""
+    key = spark.sparkContext.applicationId
+    if key not in _OWNED:
+        _OWNED[key] = scratch = Scratch(spark, "queries")
+        atexit.register(lambda: scratch.close() if spark.sparkContext._jsc else None)
+    return _OWNED[key]
+
 
 # The shapes of tripspot.fixtures in SQL. Each entry may use the ones before it.
 CTES = {

@@ -19,8 +19,7 @@ from tripspot.operators.score import daily_scores, temporal_split
 from tripspot.operators.weather import (
     explode_hourly, fill_weather, hourly_side, join_weather, merge_latest, weather_outlook,
 )
-from tripspot.registry.base import label_sql, query, sql
-from tripspot.session import scratch_path
+from tripspot.registry.base import label_sql, owned, query, sql
 from tripspot.sources.sinks import write_report, write_zone_hour_tsv
 from tripspot.sources.trips import read_zone_hour_tsv
 from tripspot.sources.weather import read_weather_json
@@ -46,13 +45,13 @@ def scores(spark, d):
 
 def stored_baseline(spark, d):
     """The baseline as a job finds it: a small Parquet table."""
-    path = scratch_path(spark, "baseline")
+    path = owned(spark).path("baseline")
     write_report(historical_baseline(temporal_split(scores(spark, d)).train), path, fmt="parquet")
     return checked_broadcast(spark.read.parquet(path))
 
 
 def stored_weather(spark, d):
-    path = scratch_path(spark, "hours")
+    path = owned(spark).path("hours")
     write_report(fx.weather(spark, d), path, fmt="parquet")
     return hourly_side(spark.read.parquet(path))
 
@@ -147,9 +146,10 @@ def j5(spark, d):
     zones = serving.zone_means(fx.predictions(spark, d)).select(F.col("pickup_zone").alias("target_zone"), "hotspot_score")
     pairs = serving.rank_zip(
         serving.available_vehicles(fx.vehicles(spark, d)).drop("pickup_zone"),
-        [F.desc("updated_at"), F.asc("vehicle_id")],
+        ["-updated_at", "vehicle_id"],
         zones,
-        [F.desc("hotspot_score"), F.asc("target_zone")],
+        ["-hotspot_score", "target_zone"],
+        scratch=owned(spark),
     )
     return pairs.select("position", "vehicle_id", "updated_at", "target_zone", "hotspot_score")
 
@@ -299,7 +299,7 @@ def s18(spark, d):
     weather = fx.weather(spark, d)
     later = weather.filter(F.col("weather_hour") >= "2024-01-16").withColumn("temperature_2m", F.col("temperature_2m") + 1)
     # One document to a file.
-    path, day = scratch_path(spark, "weather"), F.substring("weather_hour", 1, 10)
+    path, day = owned(spark).path("weather"), F.substring("weather_hour", 1, 10)
     for name, part in (("first", weather), ("second", later)):
         payload(part, day).write.option("maxRecordsPerFile", 1).json(f"{path}/{name}")
     return read_weather_json(spark, f"{path}/first", f"{path}/second")
@@ -367,7 +367,7 @@ def u2_same(spark, d):
 )
 def v1(spark, d):
     trips = clean_trips(normalize_trips(fx.raw_trips(spark, d)))
-    path = scratch_path(spark, "kv")
+    path = owned(spark).path("kv")
     write_zone_hour_tsv(trips, path)
     differences = verify.crosscheck_zone_hour(trips, read_zone_hour_tsv(spark, path)).count()
     groups = zone_hour_counts(trips).agg(F.count("*").alias("groups"))
@@ -415,7 +415,7 @@ def m10(spark, d):
     sql("select distinct cast(LocationID as varchar) as pickup_zone from zones", "zones"),
 )
 def s19(spark, d):
-    path = scratch_path(spark, "geojson")
+    path = owned(spark).path("geojson")
     feature = F.struct(F.struct(F.col("LocationID").cast("string").alias("LocationID")).alias("properties"))
     write_report(fx.zones(spark, d).agg(F.collect_list(feature).alias("features")), path)
     return zones_from_geojson(spark, path)
@@ -426,4 +426,4 @@ def s19(spark, d):
     sql("select distinct pickup_zone from predictions", "predictions"),
 )
 def s19_seen(spark, d):
-    return zones_from_geojson(spark, scratch_path(spark, "absent"), fx.predictions(spark, d))
+    return zones_from_geojson(spark, owned(spark).path("absent"), fx.predictions(spark, d))

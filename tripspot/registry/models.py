@@ -9,9 +9,8 @@ from tripspot.operators.forecast import forecast
 from tripspot.operators.score import temporal_split
 from tripspot.operators.weather import join_weather
 from tripspot.plans.training import train
-from tripspot.registry.base import label_sql, level_sql, query, sql
+from tripspot.registry.base import label_sql, level_sql, owned, query, sql
 from tripspot.registry.joins import FALLBACK, FILLED, GAP, LIMITS, NOW, scores, stored_baseline, stored_weather
-from tripspot.session import scratch_path
 
 _TRAINED: dict = {}
 
@@ -241,7 +240,7 @@ def m9_formula(spark, d):
     sql("select count(*) as rows, 0::bigint as different from test", "test"),
 )
 def s15(spark, d):
-    run, path = trained(spark, d), scratch_path(spark, "model")
+    run, path = trained(spark, d), owned(spark).path("model")
     ml.save_model(run.model, path)
     test = temporal_split(weather_scores(spark, d)).test
     again = run.model.transform(test).withColumnRenamed("predicted_hotspot_score", "before")

@@ -8,8 +8,7 @@ from tripspot.operators.demand import zone_hour_counts
 from tripspot.operators.rows import sample_rows
 from tripspot.operators.verify import kv_lines, parse_kv_lines
 from tripspot.plans.reports import register_views, run_sql
-from tripspot.registry.base import query, sql
-from tripspot.session import scratch_path
+from tripspot.registry.base import owned, query, sql
 from tripspot.sources.kafka import to_kafka_value
 from tripspot.sources.sinks import is_done, write_curated, write_report, write_zone_hour_csv, write_zone_hour_tsv
 from tripspot.sources.trips import bounded_source, read_trips, read_trips_any, read_trips_csv, read_zone_hour_tsv
@@ -29,7 +28,7 @@ def s1(spark, d):
     ),
 )
 def s2(spark, d):
-    path = scratch_path(spark, "csv")
+    path = owned(spark).path("csv")
     raw = fx.raw_trips(spark, d)
     raw.withColumn("tpep_pickup_datetime", F.col("tpep_pickup_datetime").cast("string")).write.option("header", True).csv(path)
     return read_trips_csv(spark, path)
@@ -38,7 +37,7 @@ def s2(spark, d):
 @query("s2_zone_lookup", sql("select * from zones", "zones"))
 def s2_lookup(spark, d):
     # The columns of the file stand in another order.
-    path = scratch_path(spark, "lookup")
+    path = owned(spark).path("lookup")
     fx.zones(spark, d).select("Zone", "LocationID", "service_zone", "Borough").write.option("header", True).csv(path)
     return read_zone_lookup(spark, path)
 
@@ -48,7 +47,7 @@ def s2_lookup(spark, d):
     sql("select cast(event_id as varchar) as event_id, tpep_pickup_datetime, PULocationID, DOLocationID from raw", "raw"),
 )
 def s3(spark, d):
-    path = scratch_path(spark, "fallback")
+    path = owned(spark).path("fallback")
     raw = fx.raw_trips(spark, d)
     raw.withColumn("tpep_pickup_datetime", F.col("tpep_pickup_datetime").cast("string")).write.option("header", True).csv(path)
     return read_trips_any(spark, f"{path}-absent", path)
@@ -71,7 +70,7 @@ def with_holes(spark, d):
 
 @query("s5_bounded_source", sql(f"{BOUNDED} order by event_id limit 5000", "raw"))
 def s5(spark, d):
-    return bounded_source(with_holes(spark, d), 5000, order=[F.asc("event_id")])
+    return bounded_source(with_holes(spark, d), 5000, order=["event_id"], scratch=owned(spark), slack=500)
 
 
 @query("s5_unlimited_source", sql(BOUNDED, "raw"))
@@ -95,7 +94,7 @@ def s7(spark, d):
 
 @query("s8_tsv_source", sql("select pickup_zone as zone, cast(pickup_hour as varchar) as hour, '1' as n from trips", "trips"))
 def s8(spark, d):
-    path = scratch_path(spark, "tsv")
+    path = owned(spark).path("tsv")
     write_zone_hour_tsv(fx.curated_trips(spark, d), path)
     return read_zone_hour_tsv(spark, path)
 
@@ -116,14 +115,14 @@ def s9(spark, d):
     ),
 )
 def s10(spark, d):
-    path = scratch_path(spark, "curated")
+    path = owned(spark).path("curated")
     write_curated(fx.curated_trips(spark, d), path)
     return read_trips(spark, path)
 
 
 @query("s11_skip_if_done", sql("select count(*) as row_count, true as was_done, false as wrote_again from trips", "trips"))
 def s11(spark, d):
-    path = scratch_path(spark, "guard")
+    path = owned(spark).path("guard")
     write_curated(fx.curated_trips(spark, d), path, mode="ignore")
     again = write_curated(fx.curated_trips(spark, d), path, mode="ignore")
     stored = spark.read.parquet(path).agg(F.count("*").alias("row_count"))
@@ -135,7 +134,7 @@ ZONE_HOURS = sql("select pickup_zone, pickup_hour, count(*) as trip_count from t
 
 @query("s12_sorted_csv_sink", ZONE_HOURS)
 def s12(spark, d):
-    path = scratch_path(spark, "counts")
+    path = owned(spark).path("counts")
     write_zone_hour_csv(zone_hour_counts(fx.curated_trips(spark, d)), path)
     schema = "pickup_zone string, pickup_hour int, trip_count long"
     return spark.read.option("header", True).schema(schema).csv(path)
@@ -143,7 +142,7 @@ def s12(spark, d):
 
 @query("s14_json_report", ZONE_HOURS)
 def s14(spark, d):
-    path = scratch_path(spark, "report")
+    path = owned(spark).path("report")
     write_report(zone_hour_counts(fx.curated_trips(spark, d)), path)
     return spark.read.schema("pickup_zone string, pickup_hour int, trip_count long").json(path)
 

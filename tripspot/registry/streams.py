@@ -3,10 +3,9 @@
 from pyspark.sql import functions as F
 
 from tripspot import fixtures as fx
-from tripspot.registry.base import level_sql, query, sql
+from tripspot.registry.base import level_sql, owned, query, sql
 from tripspot.registry.joins import FALLBACK, FILLED, GAP, LIMITS, scores, stored_baseline, stored_weather
 from tripspot.registry.models import trained
-from tripspot.session import scratch_path
 from tripspot.streaming.fleet import latest_vehicle
 from tripspot.streaming.ingest import parse_events
 from tripspot.streaming.run import start_query
@@ -16,7 +15,7 @@ from tripspot.streaming.sink import batch_counters, compact, latest_view, predic
 
 def run_all(spark, df, name, counters=None, output_mode="append"):
     """Run a stream over the data at hand; returns the folder of its store."""
-    path = scratch_path(spark, name)
+    path = owned(spark).path(name)
     sink = upsert_batch(path, counters)
     stream = start_query(df, sink, f"{path}/checkpoint", available_now=True, output_mode=output_mode)
     stream.awaitTermination()
@@ -114,7 +113,7 @@ def a23(spark, d):
 )
 def t6(spark, d):
     # Batch 0 is written twice, as after a failure; batch 1 replaces every record.
-    path = scratch_path(spark, "upsert")
+    path = owned(spark).path("upsert")
     write = upsert_batch(path)
     first = fx.predictions(spark, d).select("event_id", "event_time", "hotspot_score")
     write(first, 0)
@@ -128,7 +127,7 @@ ROUNDS = 3
 
 def stored_rounds(spark, d):
     """A store of three batches; each record is in batches 0 .. i, the last of which raises its score by i."""
-    path = scratch_path(spark, "rounds")
+    path = owned(spark).path("rounds")
     write, rows = upsert_batch(path), fx.predictions(spark, d).select("event_id", "event_time", "hotspot_score")
     for i in range(ROUNDS):
         part = rows.filter(F.col("event_id").cast("long") % ROUNDS >= i)
@@ -181,7 +180,7 @@ def t6_bucketed(spark, d):
 )
 def t8(spark, d):
     # Several files, one to a batch.
-    folder = scratch_path(spark, "snapshots")
+    folder = owned(spark).path("snapshots")
     fx.table(spark, d, "events").repartition(3, "event_id").write.parquet(folder)
     snapshots = spark.readStream.schema(fx.EVENTS_SCHEMA).option("maxFilesPerTrigger", 1).parquet(folder)
     path = run_all(spark, latest_vehicle(fx.vehicles_of(snapshots)), "fleet", output_mode="update")

@@ -49,12 +49,13 @@ def read_trips_any(spark: SparkSession, parquet: str, csv: str) -> DataFrame:
         return read_trips_csv(spark, csv)
 
 
-def bounded_source(df: DataFrame, n=0, required=("PULocationID", "DOLocationID"), order=()) -> DataFrame:
-    """Rows with all required fields, the first n of them in the given order; n = 0 keeps all."""
+def bounded_source(df: DataFrame, n=0, required=("PULocationID", "DOLocationID"), order=(), **how) -> DataFrame:
+    """Rows with all required fields, the first n of them in the given order; n = 0 keeps all. With an order by names
+    (`name`, `-name`) rows beyond a measured border are not sorted."""
     rows = df.dropna(subset=list(required))
     if not n:
         return rows
-    return top_rows(rows, order, n) if order else rows.limit(n)
+    return top_rows(rows, order, n, **how) if order else rows.limit(n)
 
 
 def read_zone_hour_tsv(spark: SparkSession, path: str) -> DataFrame:
