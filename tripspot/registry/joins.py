@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tripspot import fixtures as fx
 from tripspot.functions.fixed import WEATHER_FIELDS
 from tripspot.functions.labels import weather_label
-from tripspot.operators import serving, verify
+from tripspot.operators import hashtree, serving, verify
 from tripspot.operators.baseline import flag_anomaly, historical_baseline, with_threshold
 from tripspot.operators.clean import normalize_trips, clean_trips, with_hour_key
 from tripspot.operators.demand import zone_hour_counts
@@ -361,6 +361,42 @@ def u2_same(spark, d):
     return counts.agg(F.count("*").alias("groups")).select("groups", F.lit(same).alias("same"))
 
 
+CHANGED = """select event_id, event_type, case when event_id % 97 = 0 then value + 1 else value end as value, user_id
+             from events, range(1, 4) r(copy) where copy <= case when event_id % 101 = 0 then 0 when event_id % 103 = 0 then 3 else 1 end"""
+GIVEN = "select event_id, event_type, value, user_id from events"
+
+
+def given_and_changed(spark, d):
+    """Events, and events of which some have another value, some are missing and some are there three times."""
+    given = fx.table(spark, d, "events").select("event_id", "event_type", "value", "user_id")
+    times = F.when(F.col("event_id") % 101 == 0, 0).when(F.col("event_id") % 103 == 0, 3).otherwise(1)
+    changed = given.withColumn("_copy", F.explode(F.array_repeat(F.lit(0), times))).drop("_copy")
+    return given, changed.withColumn("value", F.when(F.col("event_id") % 97 == 0, F.col("value") + 1).otherwise(F.col("value")))
+
+
+@query(
+    "u2_tree_diff",
+    f"""select *, 'given' as side from (({GIVEN}) except all ({CHANGED}))
+        union all select *, 'changed' as side from (({CHANGED}) except all ({GIVEN}))""",
+)
+def u2_tree(spark, d):
+    given, changed = given_and_changed(spark, d)
+    found = hashtree.tree_differences(given, changed.repartition(5), owned(spark), enough=50)
+    copies = F.explode(F.array_repeat(F.when(F.col("surplus") > 0, "given").otherwise("changed"), F.abs("surplus").cast("int")))
+    return found.withColumn("side", copies).drop("surplus")
+
+
+@query(
+    "j7_tree_diff_keyed",
+    f"""with a as (select event_type, user_id, count(*) as n from ({GIVEN}) group by all),
+             b as (select event_type, user_id, count(*) as n from ({CHANGED}) group by all)
+        select event_type, user_id, a.n as a_n, b.n as b_n from a full join b using (event_type, user_id) where a.n is distinct from b.n""",
+)
+def j7_tree(spark, d):
+    a, b = (df.groupBy("event_type", "user_id").agg(F.count("*").alias("n")) for df in given_and_changed(spark, d))
+    return hashtree.tree_diff_keyed(a, b, ["event_type", "user_id"], ["n"], owned(spark), enough=50)
+
+
 @query(
     "v1_crosscheck",
     sql("select count(*) as groups, 0::bigint as differences from (select distinct pickup_zone, pickup_hour from trips)", "trips"),
