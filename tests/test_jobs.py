@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tripspot.functions.fixed import WEATHER_FIELDS
 from tripspot.jobs import main
 from tripspot.session import shared_dir
+from tripspot.operators.verify import same_rows
 from tripspot.streaming.sink import batch_counters, latest_view
 
 
@@ -44,6 +45,10 @@ def test_jobs(spark, lake):
     main(["zone-hours", *source, "--out", str(lake / "counts")], spark)
     main(["etl", *source, "--lookup", str(lake / "zones.csv"), "--out", curated], spark)
     assert spark.read.parquet(curated).count() == 12000
+    loads = ["--out", str(lake / "loads/curated"), "--state", str(lake / "loads/state")]
+    for _ in range(2):
+        main(["etl", *source, "--lookup", str(lake / "zones.csv"), *loads], spark)
+    assert same_rows(spark.read.parquet(str(lake / "loads/curated")).drop("load_id"), spark.read.parquet(curated))
     main(["reports", "--curated", curated, "--out", str(lake / "reports")], spark)
     assert len(read(spark, lake / "reports/borough_hour_profile/rows")) == 48
     main(["profile", "--curated", curated, "--out", str(lake / "profile")], spark)

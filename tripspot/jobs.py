@@ -15,6 +15,7 @@ from tripspot.operators.rows import checked_broadcast
 from tripspot.operators.serving import dispatch, fleet_order, hotspot_summary, latest_predictions, overview, zone_list
 from tripspot.operators.verify import crosscheck_zone_hour, profile
 from tripspot.plans.etl import etl_job
+from tripspot.plans.incremental import incremental_etl
 from tripspot.plans.reports import save_reports
 from tripspot.plans.training import load_fallback, training_job
 from tripspot.operators.weather import hourly_side, weather_outlook
@@ -23,7 +24,7 @@ from tripspot.sources.kafka import kafka_events
 from tripspot.sources.sinks import is_done, write_report, write_zone_hour_csv, write_zone_hour_tsv
 from tripspot.sources.trips import read_trips_any, read_zone_hour_tsv
 from tripspot.sources.weather import read_weather_json
-from tripspot.sources.zones import zones_from_geojson
+from tripspot.sources.zones import read_zone_lookup, zones_from_geojson
 from tripspot.streaming.fleet import VEHICLE_SCHEMA, latest_vehicle
 from tripspot.streaming.ingest import parse_events
 from tripspot.streaming.run import start_query
@@ -53,6 +54,10 @@ def zone_hours(spark, args):
 
 
 def etl(spark, args):
+    """Raw trips to curated trips, once; with --state, load by load: files that are new since the last call."""
+    if args.state:
+        print(incremental_etl(spark, args.parquet, read_zone_lookup(spark, args.lookup), args.out, args.state))
+        return
     print(etl_job(spark, args.parquet, args.csv, args.lookup, args.out, args.force))
 
 
@@ -169,6 +174,8 @@ def parser() -> argparse.ArgumentParser:
             job.add_argument("--max-files", type=int, help="files of the folder in a batch at most")
         if name == "score-stream":
             job.add_argument("--weather-ttl", type=float, default=1800.0, help="seconds after which forecasts are read again")
+        if name == "etl":
+            job.add_argument("--state", help="folder for what loads have read and numbered")
         if name == "compact":
             job.add_argument("--store", choices=list(STORES), default="predictions")
             job.add_argument("--until", type=int, help="last batch of the snapshot; the last but one by default")

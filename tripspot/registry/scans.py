@@ -7,6 +7,7 @@ from tripspot.operators.clean import normalize_trips, valid_zone_hour
 from tripspot.operators.demand import zone_hour_counts
 from tripspot.operators.rows import sample_rows
 from tripspot.operators.verify import kv_lines, parse_kv_lines
+from tripspot.plans.incremental import incremental_etl
 from tripspot.plans.reports import register_views, run_sql
 from tripspot.registry.base import owned, query, sql
 from tripspot.sources.kafka import to_kafka_value
@@ -213,3 +214,49 @@ def p10(spark, d):
         .alias("value")
     )
     return valid_zone_hour(parse_kv_lines(lines))
+
+
+def in_loads(spark, d, ids, name):
+    """Trips of `events` in three files, loaded in two runs and a third that finds nothing new; returns the curated table.
+    Each trip is in the file of its date or, one of nine, in the last file."""
+    folder, scratch = owned(spark).path(name), owned(spark)
+    raw = fx.raw_trips(spark, d, ids)
+    at = F.col("tpep_pickup_datetime")
+    number = F.when(F.hour(at) * 60 + F.minute(at) < 160, 2).otherwise(F.dayofyear(at) % 2)
+    raw = scratch.store(raw.withColumn("file", number), f"{name}-files")
+    zones = scratch.store(fx.zones(spark, d), "zones")
+    out, state = f"{folder}/curated", f"{folder}/state"
+    for numbers in ([0], [1, 2], []):
+        for n in numbers:
+            raw.filter(F.col("file") == n).drop("file").write.parquet(f"{folder}/in/{n}")
+        done = incremental_etl(spark, f"{folder}/in", zones, out, state)
+        assert (done is None) == (not numbers)
+    return spark.read.parquet(out)
+
+
+CURATED_COLUMNS = ["event_id", "service_date", "pickup_zone", "pickup_hour", "pickup_zone_name", "dropoff_borough"]
+
+
+@query(
+    "s10_incremental",
+    sql("select event_id, cast(event_time as date) as service_date, pickup_zone, pickup_hour, pickup_zone_name, dropoff_borough from curated", "curated"),
+)
+def s10_incremental(spark, d):
+    return in_loads(spark, d, True, "loads").select(*CURATED_COLUMNS)
+
+
+@query(
+    "p2_two_loads",
+    sql(
+        """select sha256(concat_ws('|', strftime(tpep_pickup_datetime, '%Y-%m-%d %H:%M:%S')
+                         || case when microsecond(tpep_pickup_datetime) % 1000000 = 0 then ''
+                                 else '.' || rtrim(strftime(tpep_pickup_datetime, '%f'), '0') end,
+                         cast(PULocationID as varchar), cast(DOLocationID as varchar),
+                  cast(row_number() over (partition by tpep_pickup_datetime, PULocationID, DOLocationID) as varchar))) as event_id,
+               tpep_pickup_datetime as pickup_datetime, cast(PULocationID as varchar) as pickup_zone
+           from raw""",
+        "raw",
+    ),
+)
+def p2_loads(spark, d):
+    return in_loads(spark, d, False, "id-loads").select("event_id", "pickup_datetime", "pickup_zone")

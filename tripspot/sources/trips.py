@@ -17,6 +17,7 @@ CSV_TYPES = {
     "DOLocationID": "int",
     "pickup_datetime": "timestamp_ntz",
 }
+RAW_KEYS = ["tpep_pickup_datetime", "PULocationID", "DOLocationID"]
 MISSING_SOURCE = {"PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"}
 
 
@@ -31,7 +32,7 @@ def read_trips_csv(spark: SparkSession, path: str) -> DataFrame:
     return read_csv_by_header(spark, path, CSV_TYPES)
 
 
-def read_csv_by_header(spark: SparkSession, path: str, types: dict) -> DataFrame:
+def read_csv_by_header(spark: SparkSession, path, types: dict) -> DataFrame:
     """CSV files with the columns that their header names, typed by name. All files must have the same header: one that
     differs stops the job when it is read, instead of giving values of another column."""
     names = spark.read.option("header", True).csv(path).columns
@@ -49,6 +50,13 @@ def read_trips_any(spark: SparkSession, parquet: str, csv: str) -> DataFrame:
         return read_trips_csv(spark, csv)
 
 
+def read_trips_files(spark: SparkSession, files: list[str]) -> DataFrame:
+    """Trips of the given files, all Parquet or all CSV with a header."""
+    if all(f.endswith(".csv") for f in files):
+        return read_csv_by_header(spark, files, CSV_TYPES)
+    return read_trips(spark, *files)
+
+
 def bounded_source(df: DataFrame, n=0, required=("PULocationID", "DOLocationID"), order=(), **how) -> DataFrame:
     """Rows with all required fields, the first n of them in the given order; n = 0 keeps all. With an order by names
     (`name`, `-name`) rows beyond a measured border are not sorted."""

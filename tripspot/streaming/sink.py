@@ -62,7 +62,7 @@ def batch_counters(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(f"{path}/counters").withColumn("batch_id", F.col("batch_id").cast("long"))
 
 
-def _numbered(spark: SparkSession, root: str, name: str, finished=True) -> list[int]:
+def finished_numbers(spark: SparkSession, root: str, name: str, finished=True) -> list[int]:
     """The numbers of the folders `name=<number>` below a root, in order: of the finished ones, or of all."""
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
     system = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -87,9 +87,9 @@ def _finished_at(spark: SparkSession, folder: str) -> float:
 def _slices(spark: SparkSession, path: str, until: int) -> dict[int, int]:
     """The newest finished snapshot up to `until` that holds each slice."""
     out = {}
-    for number in _numbered(spark, f"{path}/snapshots", "upto"):
+    for number in finished_numbers(spark, f"{path}/snapshots", "upto"):
         if number <= until:
-            out |= dict.fromkeys(_numbered(spark, f"{path}/snapshots/upto={number}", "slice", finished=False), number)
+            out |= dict.fromkeys(finished_numbers(spark, f"{path}/snapshots/upto={number}", "slice", finished=False), number)
     return out
 
 
@@ -138,7 +138,7 @@ def snapshot_table(spark: SparkSession, path: str, key: str, until: int, only=No
 
 def _recent(spark: SparkSession, path: str, after: int, until=None) -> DataFrame | None:
     """The records of the finished batches after `after`; folders of other batches are not listed."""
-    numbers = [n for n in _numbered(spark, f"{path}/batches", "batch_id") if n > after and (until is None or n <= until)]
+    numbers = [n for n in finished_numbers(spark, f"{path}/batches", "batch_id") if n > after and (until is None or n <= until)]
     if not numbers:
         return None
     rows = spark.read.option("basePath", f"{path}/batches").parquet(*[f"{path}/batches/batch_id={n}" for n in numbers])
@@ -168,7 +168,7 @@ def latest_view(spark: SparkSession, path: str, key="event_id", order=("batch_id
     batches are reduced to one per key and joined to it bucket by bucket. Without later batches it is passed on as it
     is. Records need a key.
     """
-    finished = [n for n in _numbered(spark, f"{path}/snapshots", "upto") if until is None or n <= until]
+    finished = [n for n in finished_numbers(spark, f"{path}/snapshots", "upto") if until is None or n <= until]
     upto = finished[-1] if finished else -1
     snapshot, recent = snapshot_table(spark, path, key, upto), _recent(spark, path, upto, until)
     if snapshot is None and recent is None:
@@ -193,8 +193,8 @@ def compact(
     where they are and are read from there.
     """
     if until is None:
-        until = max([-1, *_numbered(spark, f"{path}/batches", "batch_id")[:-1]])
-    done = _numbered(spark, f"{path}/snapshots", "upto")
+        until = max([-1, *finished_numbers(spark, f"{path}/batches", "batch_id")[:-1]])
+    done = finished_numbers(spark, f"{path}/snapshots", "upto")
     if until < 0 or until in done:
         return max(done, default=None)
     before = max([n for n in done if n < until], default=-1)
@@ -222,7 +222,7 @@ def retain(spark: SparkSession, path: str, snapshots=2, age_s=0) -> None:
     Nothing goes before the oldest snapshot to keep has been finished for `age_s` seconds: a reader that began earlier
     may still read what it replaces.
     """
-    done = _numbered(spark, f"{path}/snapshots", "upto")
+    done = finished_numbers(spark, f"{path}/snapshots", "upto")
     if len(done) < snapshots:
         return
     oldest = done[-snapshots]
@@ -230,13 +230,13 @@ def retain(spark: SparkSession, path: str, snapshots=2, age_s=0) -> None:
         return
     needed = _slices(spark, path, oldest)
     for number in done[:-snapshots]:
-        held = _numbered(spark, f"{path}/snapshots/upto={number}", "slice", finished=False)
+        held = finished_numbers(spark, f"{path}/snapshots/upto={number}", "slice", finished=False)
         kept = [k for k in held if needed[k] == number]
         for k in held if kept else []:
             if k not in kept:
                 remove(spark, f"{path}/snapshots/upto={number}/slice={k}")
         if not kept:
             remove(spark, f"{path}/snapshots/upto={number}")
-    for number in _numbered(spark, f"{path}/batches", "batch_id"):
+    for number in finished_numbers(spark, f"{path}/batches", "batch_id"):
         if number <= oldest:
             remove(spark, f"{path}/batches/batch_id={number}")
