@@ -4,12 +4,12 @@ from pyspark.sql import Window, functions as F
 
 from tripspot import fixtures as fx
 from tripspot.functions.geo import great_circle_m
-from tripspot.operators import demand, enrich, evaluation, fleet, score, serving, verify, weather
+from tripspot.operators import demand, enrich, evaluation, fleet, mergeable, score, serving, verify, weather
 from tripspot.operators.baseline import historical_baseline
 from tripspot.operators.clean import clean_trips, normalize_trips, valid_zone_hour, with_hour_key
 from tripspot.operators.routes import route_progress
 from tripspot.operators.rows import global_index
-from tripspot.registry.base import level_sql, query, sql
+from tripspot.registry.base import level_sql, owned, query, sql
 from tripspot.registry.joins import rounded, scores
 from tripspot.registry.scans import PROFILE, TOP, ZONE_HOURS
 from tripspot.streaming.replay import stamp_replay
@@ -604,3 +604,41 @@ def t8(spark, d):
     return fleet.latest_state(fx.vehicles(spark, d)).select(
         "vehicle_id", "status", "pickup_zone", "speed_kmh", "updated_at", "simulation_cycle"
     )
+
+
+def daily_parts(spark, d, part, rows, name):
+    """Parts of the training dates, kept in two runs that overlap in some dates; the later run replaces them."""
+    path, day = owned(spark).path(name), F.dayofyear("service_date")
+    rows = owned(spark).store(rows, f"{name}-rows")
+    for share in (day % 3 != 1, day % 3 != 2):
+        mergeable.keep_daily(part(rows.filter(share)), path)
+    return spark.read.parquet(path)
+
+
+@query(
+    "a9_mergeable_moments",
+    sql("select pickup_zone, pickup_hour, pickup_dow, mean, stddev, n as count from baseline", "baseline"),
+)
+def a9_moments(spark, d):
+    train = score.temporal_split(scores(spark, d)).train
+    return mergeable.merge_moments(daily_parts(spark, d, mergeable.daily_moments, train, "moments"))
+
+
+@query("a10_merged_sketches", " union all ".join(f"select '{name}' as field, true as within" for name in MEDIAN_FIELDS))
+def a10_sketches(spark, d):
+    rows = weather.join_weather(score.temporal_split(scores(spark, d)).train, fx.demand_weather(spark, d))
+    found = mergeable.merge_quantiles(daily_parts(spark, d, mergeable.daily_sketches, rows, "sketches"))
+    return mergeable.rank_errors(rows, found).select("field", (F.col("rank_error") <= 0.01).alias("within"))
+
+
+@query(
+    "a11_merged_mode",
+    sql(
+        """select cast(cast(weather_code as integer) as varchar) as weather_code, count(*) as count
+           from train join demand_weather using (weather_hour) group by all order by count desc, weather_code limit 1""",
+        "train", "demand_weather",
+    ),
+)
+def a11_merged(spark, d):
+    rows = weather.join_weather(score.temporal_split(scores(spark, d)).train, fx.demand_weather(spark, d))
+    return mergeable.merge_mode(daily_parts(spark, d, mergeable.daily_counts, rows, "codes"))
