@@ -84,7 +84,9 @@ def test_jobs(spark, lake):
     # Unmapped zones come from the baseline; with a map every zone of it is there.
     features = [{"properties": {"LocationID": str(i)}} for i in (1, 2, 99)]
     (lake / "map.json").write_text(json.dumps({"features": features}))
-    main(["forecast", "--artifacts", artifacts, "--weather", weather, "--now", "2024-03-10T22:30:00", "--hours", "1", "--geojson", str(lake / "map.json"), "--out", str(lake / "mapped"), "--outlook", str(lake / "outlook")], spark)
+    main(["forecast", "--artifacts", artifacts, "--weather", weather, "--now", "2024-03-10T22:30:00", "--hours", "1", "--geojson", str(lake / "map.json"), "--out", str(lake / "mapped"), "--outlook", str(lake / "outlook"), "--map", str(lake / "zone-map")], spark)
+    classes = {r.pickup_zone: (r.forecast_known, r.map_class) for r in read(spark, lake / "zone-map")}
+    assert set(classes) == {"1", "2", "99"} and all(known and kind in ("hot", "medium", "low") for known, kind in classes.values())
     assert {r.pickup_zone for r in read(spark, lake / "mapped")} == {"1", "2", "99"}
     assert len(read(spark, lake / "outlook")) == 4
 
@@ -99,7 +101,13 @@ def test_jobs(spark, lake):
 
     scratch = Path(shared_dir(spark))
     assert not [p for p in scratch.iterdir() if p.name.startswith(("score-stream", "dashboard"))]
-    main(["dashboard", "--predictions", str(lake / "preds"), "--vehicles", str(lake / "fleet"), "--out", str(lake / "board")], spark)
+    cars[1] |= {"latitude": 40.5, "updated_at": "t9"}
+    (yard / "b.txt").write_text(json.dumps(cars[1]))
+    main(["track-fleet", "--folder", str(yard), "--out", str(lake / "fleet"), *common, str(lake / "c2")], spark)
+    main(["dashboard", "--predictions", str(lake / "preds"), "--vehicles", str(lake / "fleet"), "--out", str(lake / "board"), "--vehicle-count", "7"], spark)
+    assert tuple(read(spark, lake / "board/fleet_counters")[0][c] for c in ("total", "available", "occupied", "moving")) == (6, 3, 3, 6)
+    checks = {r.check: r.passed for r in read(spark, lake / "board/checks")}
+    assert checks == {"prediction_records": True, "hotspot_explanations": True, "fleet_records": False, "fleet_moved": True}
     assert read(spark, lake / "board/summary")[0]["count"] == 41
     assert len(read(spark, lake / "board/predictions")) == 30
     pairs = read(spark, lake / "board/dispatch")

@@ -36,7 +36,7 @@ def test_all_windows_of_days(scores):
         given = scores.filter(inside & F.col("hotspot_score").isNotNull())
         want = rows(given.groupBy(*BASELINE_KEYS).agg(F.avg("hotspot_score"), F.stddev_pop("hotspot_score"), F.count("*")))
         assert [g[:3] + g[5:] for g in got] == [w[:3] + w[5:] for w in want]
-        assert all(math.isclose(g[3], w[3], rel_tol=1e-12) and math.isclose(g[4], w[4], rel_tol=1e-9, abs_tol=1e-6) for g, w in zip(got, want))
+        assert all(math.isclose(g[3], w[3], rel_tol=1e-12, abs_tol=1e-9) and math.isclose(g[4], w[4], rel_tol=1e-9, abs_tol=1e-6) for g, w in zip(got, want))
     assert any(0.2 < g[4] < 0.4 and g[3] > 1e8 for g in got)
 
 

@@ -72,15 +72,19 @@ def hourly_weather(hours: DataFrame) -> DataFrame:
     )
 
 
+def _event_hours(spark, sf_dir) -> DataFrame:
+    hours = table(spark, sf_dir, "events").groupBy(hour_key("ts").alias("weather_hour"), F.to_date("ts").alias("day"))
+    return hours.agg(F.count("*").alias("n"), F.count_if(F.col("event_type") == "error").alias("errors"))
+
+
+def all_weather(spark, sf_dir) -> DataFrame:
+    """Hourly weather of every hour of `events`."""
+    return hourly_weather(_event_hours(spark, sf_dir))
+
+
 def weather(spark, sf_dir) -> DataFrame:
-    """Hourly weather from `events`; hours without an error event are absent."""
-    events = table(spark, sf_dir, "events")
-    hours = (
-        events.groupBy(hour_key("ts").alias("weather_hour"), F.to_date("ts").alias("day"))
-        .agg(F.count("*").alias("n"), F.count_if(F.col("event_type") == "error").alias("errors"))
-        .filter(F.col("errors") > 0)
-    )
-    return hourly_weather(hours)
+    """Hourly weather with gaps, for joins that must fill them: hours without an error event are absent."""
+    return hourly_weather(_event_hours(spark, sf_dir).filter(F.col("errors") > 0))
 
 
 def demand_weather(spark, sf_dir) -> DataFrame:

@@ -9,11 +9,14 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tripspot.functions.records import parse_event
 from tripspot.operators.demand import raw_zone_hours, rows_per_year, zone_hour_counts
-from tripspot.operators.forecast import forecast
+from tripspot.operators.fleet import changed_between, fleet_counters
+from tripspot.operators.forecast import forecast, next_hours, zone_map
 from tripspot.operators.ml import load_model
 from tripspot.operators.rows import checked_broadcast
-from tripspot.operators.serving import dispatch, fleet_order, hotspot_summary, latest_predictions, overview, zone_list
-from tripspot.operators.verify import crosscheck_zone_hour, profile
+from tripspot.operators.serving import (
+    dispatch, fleet_order, hotspot_summary, latest_predictions, overview, zone_list, zone_ranking,
+)
+from tripspot.operators.verify import crosscheck_zone_hour, profile, run_checks
 from tripspot.plans.etl import etl_job
 from tripspot.plans.incremental import incremental_etl
 from tripspot.plans.reports import save_reports
@@ -29,7 +32,7 @@ from tripspot.streaming.fleet import VEHICLE_SCHEMA, latest_vehicle
 from tripspot.streaming.ingest import parse_events
 from tripspot.streaming.run import start_query
 from tripspot.streaming.scoring import refreshed, scoring_sink
-from tripspot.streaming.sink import compact, latest_view, prediction_counters, retain, upsert_batch
+from tripspot.streaming.sink import compact, finished_numbers, latest_view, prediction_counters, retain, upsert_batch
 
 
 def messages(spark: SparkSession, args) -> DataFrame:
@@ -115,21 +118,38 @@ def forecast_job(spark, args):
     model, baseline = load_model(f"{args.artifacts}/model"), spark.read.parquet(f"{args.artifacts}/baseline")
     weather, fallback = read_weather_json(spark, *args.weather), load_fallback(spark, args.artifacts)
     now = datetime.fromisoformat(args.now)
-    write_report(forecast(model, now, zones, weather, fallback, baseline, args.hours), args.out)
+    scores = forecast(model, now, zones, weather, fallback, baseline, args.hours)
+    write_report(scores, args.out)
+    if args.map:
+        first = spark.read.schema(scores.schema).json(args.out)
+        write_report(zone_map(zones, first, next_hours(now, args.hours)[0].strftime("%Y-%m-%dT%H")), args.map)
     if args.outlook:
         write_report(weather_outlook(now, weather, fallback), args.outlook)
 
 
+def before_last(spark, path, now):
+    """The vehicles before the last batch of their store, or as they are where there is no earlier batch."""
+    batches = finished_numbers(spark, f"{path}/batches", "batch_id")
+    try:
+        return latest_view(spark, path, *STORES["vehicles"], until=batches[-1] - 1)
+    except (FileNotFoundError, IndexError):
+        return now
+
+
 def dashboard(spark, args):
+    """What the dashboard shows: overview, dispatch, fleet, its counters and the run's checks."""
     with Scratch(spark, "dashboard") as scratch:
         predictions = scratch.store(latest_view(spark, args.predictions), "predictions")
         vehicles = scratch.store(latest_view(spark, args.vehicles, *STORES["vehicles"]), "vehicles")
+        earlier = scratch.store(before_last(spark, args.vehicles, vehicles), "earlier")
         results = overview(predictions, args.zone)
         results |= {
             "hotspots": hotspot_summary(predictions),
             "dispatch": dispatch(predictions, vehicles),
             "zones": zone_list(predictions),
             "fleet": fleet_order(vehicles),
+            "fleet_counters": fleet_counters(vehicles),
+            "checks": run_checks(predictions, zone_ranking(predictions), vehicles, changed_between(earlier, vehicles), args.vehicle_count),
             "latest": latest_predictions(predictions, args.limit),
         }
         for name, result in results.items():
@@ -188,10 +208,12 @@ def parser() -> argparse.ArgumentParser:
         if name == "forecast":
             job.add_argument("--hours", type=int, default=3)
             job.add_argument("--geojson", help="zones of the map")
+            job.add_argument("--map", help="folder for every zone with its class at the first hour")
             job.add_argument("--outlook", help="folder for the weather of the next hours")
         if name == "dashboard":
             job.add_argument("--zone")
             job.add_argument("--limit", type=int, default=20, help="latest predictions, 100 at most")
+            job.add_argument("--vehicle-count", type=int, default=40, help="vehicles that the checks ask for")
     return top
 
 

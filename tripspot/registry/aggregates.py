@@ -7,8 +7,9 @@ from tripspot.functions.geo import great_circle_m
 from tripspot.operators import demand, enrich, evaluation, fleet, mergeable, score, serving, verify, weather
 from tripspot.operators.baseline import historical_baseline
 from tripspot.operators.clean import clean_trips, normalize_trips, valid_zone_hour, with_hour_key
+from tripspot.plans.etl import run_etl
+from tripspot.plans.reports import save_reports
 from tripspot.operators.routes import route_progress
-from tripspot.operators.rows import global_index
 from tripspot.registry.base import level_sql, owned, query, sql
 from tripspot.registry.joins import rounded, scores
 from tripspot.registry.scans import PROFILE, TOP, ZONE_HOURS
@@ -70,9 +71,19 @@ def a7(spark, d):
     return enrich.duplicate_keys(fx.table(spark, d, "lineitem"), "l_orderkey")
 
 
-@query("a7_unique_zones", sql("select LocationID, count(*) as copies from zones group by all having count(*) > 1", "zones"))
+@query(
+    "a7_unique_zones",
+    sql(
+        """select LocationID, count(*) as copies from (select LocationID from zones union all select 3 union all select 7 union all select 7)
+           group by all having count(*) > 1""",
+        "zones",
+    ),
+)
 def a7_zones(spark, d):
-    return enrich.duplicate_keys(fx.zones(spark, d), "LocationID")
+    # A zone table in which two ids are repeated.
+    zones = fx.zones(spark, d)
+    again = zones.filter("LocationID in (3, 7)").withColumn("_n", F.explode(F.sequence(F.lit(1), F.when(F.col("LocationID") == 7, 2).otherwise(1))))
+    return enrich.duplicate_keys(zones.unionByName(again.drop("_n")), "LocationID")
 
 
 @query(
@@ -226,9 +237,16 @@ def a18_zone(spark, d):
     return serving.summary(fx.predictions(spark, d), "7")
 
 
-@query("a19_zone_list", sql("select distinct pickup_zone from predictions", "predictions"))
+@query(
+    "a19_zone_list",
+    sql(
+        """select pickup_zone, row_number() over (order by try_cast(pickup_zone as bigint) is null, try_cast(pickup_zone as bigint), pickup_zone) as position
+           from (select distinct pickup_zone from predictions)""",
+        "predictions",
+    ),
+)
 def a19(spark, d):
-    return serving.zone_list(fx.predictions(spark, d))
+    return in_place(serving.zone_list(fx.predictions(spark, d)))
 
 
 @query(
@@ -392,9 +410,7 @@ def o9(spark, d):
     user = F.col("user_id").cast("string")
     mixed = F.when(F.col("event_type") == "view", F.col("event_type")).otherwise(user)
     values = fx.table(spark, d, "events").select(mixed.alias("value")).distinct()
-    number = F.col("value").try_cast("bigint")
-    placed = global_index(values, [number.isNull(), number, F.col("value")], "position")
-    return placed.withColumn("position", F.col("position") + 1)
+    return in_place(serving.natural_order(values, "value"))
 
 
 @query("o10_vehicles_by_id", sql(PLACED.format("vehicle_id", "select vehicle_id, status, updated_at from fleet"), "fleet"))
@@ -615,6 +631,38 @@ def daily_parts(spark, d, part, rows, name):
     return spark.read.parquet(path)
 
 
+@query(
+    "a8_row_counts",
+    sql(
+        """select (select count(*) from raw) as raw_rows, count(*) as before_enrichment, count(*) as after_enrichment,
+                  (select count(*) from raw) - count(*) as dropped_rows, count(*) filter (where pickup_zone_name is null) as unmatched_pickup,
+                  count(*) filter (where dropoff_zone_name is null) as unmatched_dropoff from curated""",
+        "raw", "curated",
+    ),
+)
+def a8(spark, d):
+    """The figures that the ETL measures during its one write; it stops if enrichment changed the row count."""
+    zones = owned(spark).store(fx.zones(spark, d), "zones")
+    figures = run_etl(spark, fx.raw_trips(spark, d), zones, owned(spark).path("etl"))
+    names = ["raw_rows", "before_enrichment", "after_enrichment", "dropped_rows", "unmatched_pickup", "unmatched_dropoff"]
+    return spark.createDataFrame([tuple(figures[n] for n in names)], ", ".join(f"{n} long" for n in names))
+
+
+@query("v3_report_plans", "select 'borough_hour_profile' as query, true as filter_reaches_scan, true as columns_pruned")
+def v3(spark, d):
+    """What the saved plan of a report says of its scan."""
+    path = owned(spark).path("reports")
+    curated = owned(spark).store(fx.curated_trips(spark, d), "curated")
+    curated.write.parquet(f"{path}/curated")
+    save_reports(spark, f"{path}/curated", f"{path}/out")
+    plan = spark.read.json(f"{path}/out/borough_hour_profile/plan")
+    return plan.select(
+        "query",
+        F.col("plan").contains("PushedFilters: [IsNotNull(pickup_borough)]").alias("filter_reaches_scan"),
+        F.col("plan").contains("ReadSchema: struct<pickup_zone:string,pickup_hour:int,pickup_borough:string>").alias("columns_pruned"),
+    )
+
+
 @query(
     "a9_mergeable_moments",
     sql("select pickup_zone, pickup_hour, pickup_dow, mean, stddev, n as count from baseline", "baseline"),

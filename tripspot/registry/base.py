@@ -73,6 +73,8 @@ CTES = {
     "weather_base": """
         select strftime(ts, '%Y-%m-%dT%H') as weather_hour, dayofyear(ts) as day, count(*) as n
         from events group by all having count(*) filter (where event_type = 'error') > 0""",
+    "all_hours_base": """
+        select strftime(ts, '%Y-%m-%dT%H') as weather_hour, dayofyear(ts) as day, count(*) as n from events group by all""",
     "demand_weather_base": """
         select strftime(service_date, '%Y-%m-%d') || 'T' || lpad(cast(pickup_hour as varchar), 2, '0') as weather_hour,
                dayofyear(service_date) as day, count(*) as n
@@ -89,6 +91,7 @@ WEATHER_BODY = """
                     then cast([0, 2, 3, 45, 61, 71, 80, 95, 100][n % 9 + 1] as double) end as weather_code
         from {}"""
 CTES["weather"] = WEATHER_BODY.format("weather_base")
+CTES["all_weather"] = WEATHER_BODY.format("all_hours_base")
 CTES["demand_weather"] = """
         select * replace (coalesce(temperature_2m, 5.0) as temperature_2m, coalesce(weather_code, 3.0) as weather_code)
         from (""" + WEATHER_BODY.format("demand_weather_base") + ")"
@@ -131,6 +134,7 @@ NEEDS = {
     "test": ["scores", "split"],
     "baseline": ["train"],
     "weather": ["weather_base"],
+    "all_weather": ["all_hours_base"],
     "demand_weather_base": ["demand"],
     "demand_weather": ["demand_weather_base"],
     "fleet": ["vehicles"],

@@ -3,12 +3,16 @@
 from pyspark.sql import functions as F
 
 from tripspot import fixtures as fx
+from tripspot.functions.calendar import iso_seconds
 from tripspot.functions.records import replay_id, surrogate_key
-from tripspot.functions.scoring import clamp_score, score_level
+from tripspot.functions.scoring import alert_flag, clamp_score, relative_score, score_level
 from tripspot.operators import clean as c
 from tripspot.operators.demand import has_borough
+from tripspot.operators.evaluation import with_rates
 from tripspot.operators.fleet import keyed_only
 from tripspot.operators.serving import available_vehicles, for_zone
+from tripspot.operators.verify import parse_kv_lines
+from tripspot.operators.weather import code_text
 from tripspot.registry.base import level_sql, query, sql
 from tripspot.streaming.ingest import parse_events
 
@@ -182,23 +186,17 @@ def f2(spark, d):
 @query(
     "f3_string_functions",
     """
-    select event_id, trim('  ' || event_type || ' ') as trimmed, lpad(cast(hour(ts) as varchar), 2, '0') as padded,
-           substr(cast(ts as varchar), 1, 13) as bucket, split_part(cast(user_id as varchar) || '|' || event_type, '|', 2) as part,
-           user_id like '%001' as watched, regexp_matches(cast(user_id as varchar), '^[0-9]+$') as numeric
-    from (select * replace (cast(user_id as varchar) as user_id) from events)
+    select event_type as zone, cast(hour(ts) as integer) as hour, 1::bigint as n
+    from events where event_type <> 'error' and user_id % 7 <> 0
     """,
 )
 def f3(spark, d):
-    user = F.col("user_id").cast("string")
-    return fx.table(spark, d, "events").select(
-        "event_id",
-        F.trim(F.concat(F.lit("  "), "event_type", F.lit(" "))).alias("trimmed"),
-        F.lpad(F.hour("ts").cast("string"), 2, "0").alias("padded"),
-        F.substring(F.col("ts").cast("string"), 1, 13).alias("bucket"),
-        F.split(F.concat_ws("|", user, "event_type"), r"\|")[1].alias("part"),
-        user.endswith("001").alias("watched"),
-        user.rlike("^[0-9]+$").alias("numeric"),
-    )
+    # Padded zones, hours with leading zeros or no digits, lines with a field too few: trimmed, split, matched and cast.
+    padded = F.concat(F.lit("  "), "event_type", F.lit(" "))
+    rows = c.trim_zones(fx.table(spark, d, "events").withColumns({"pickup_zone": padded, "dropoff_zone": padded}))
+    hour = F.when(F.col("event_type") == "error", "x1").otherwise(F.lpad(F.hour("ts").cast("string"), 2, "0"))
+    third = F.when(F.col("user_id") % 7 != 0, "1")  # a null is left out by concat_ws
+    return c.valid_zone_hour(parse_kv_lines(rows.select(F.concat_ws("\t", "pickup_zone", hour, third).alias("value"))))
 
 
 @query(
@@ -222,43 +220,38 @@ def f4(spark, d):
 @query(
     "f5_date_functions",
     """
-    select event_id, cast(ts as date) as service_date, cast(year(ts) as integer) as pickup_year,
-           date_trunc('hour', ts) as hour_start, date_trunc('hour', ts) + interval 1 hour as next_hour,
-           cast(substr(cast(ts as varchar), 12, 2) as integer) as hour_of_text
-    from events
+    select event_id, cast(ts as date) as service_date, strftime(ts, '%Y-%m-%dT%H') as weather_hour,
+           cast(hour(ts) as integer) as pickup_hour, cast(dayofweek(ts) as integer) as pickup_dow, strftime(ts, '%Y-%m-%dT%H:%M:%S') as second
+    from events where event_type <> 'error' and ts >= timestamp '2024-01-05 00:00:00'
     """,
 )
 def f5(spark, d):
-    hour = F.date_trunc("hour", "ts").cast("timestamp_ntz")
-    return fx.table(spark, d, "events").select(
-        "event_id",
-        F.to_date("ts").alias("service_date"),
-        F.year("ts").alias("pickup_year"),
-        hour.alias("hour_start"),
-        (hour + F.expr("interval 1 hour")).alias("next_hour"),
-        F.substring(F.col("ts").cast("string"), 12, 2).cast("int").alias("hour_of_text"),
-    )
+    # Times as text, some of which no time can be read from.
+    text = F.when(F.col("event_type") == "error", "soon").otherwise(F.col("ts").cast("string"))
+    rows = fx.table(spark, d, "events").select("event_id", text.alias("pickup_datetime"))
+    timed = c.with_hour_key(c.with_calendar(c.require(c.with_event_time(rows), ["event_time"])))
+    dated = c.since(timed.withColumn("service_date", F.to_date("event_time")), "service_date", "2024-01-05")
+    return dated.select("event_id", "service_date", "weather_hour", "pickup_hour", "pickup_dow", iso_seconds("event_time").alias("second"))
 
 
 @query(
     "f6_f7_f8_math_conditional_cast",
-    """
-    select event_id, least(greatest(value, 10.0), 90.0) as bounded, case when user_id % 26 <> 0 then value / (user_id % 26) end as ratio,
-           case when event_type = 'error' then 1 else 0 end as is_error,
-           coalesce(case when event_type <> 'view' then value end, 0.0) as filled,
-           cast(cast(cast(user_id as double) as integer) as varchar) as user_text,
-           try_cast(case when event_type = 'click' then 'x' else cast(user_id as varchar) end as integer) as checked
-    from events
+    f"""
+    select event_id, least(greatest(coalesce(v, 0.0), 0.0), 100.0) as bounded, round(v / greatest(user_id % 26, 1.0) * 100.0, 2) as share,
+           {level_sql("coalesce(v, 0.0)")} as level, case when v > user_id % 100 then 'CRITICAL_ANOMALY' else 'NORMAL' end as flag,
+           cast(cast(v as integer) as varchar) as code, case when tp + fp <> 0 then tp / (tp + fp) end as precision,
+           case when tp + fn <> 0 then tp / (tp + fn) end as recall
+    from (select event_id, user_id, case when event_type <> 'view' then floor(value * 3 - 50) end as v,
+                 user_id % 2 as tp, user_id % 3 as fp, user_id % 5 as fn from events)
     """,
 )
 def f6(spark, d):
-    kind, user = F.col("event_type"), F.col("user_id")
-    return fx.table(spark, d, "events").select(
-        "event_id",
-        F.least(F.greatest("value", F.lit(10.0)), F.lit(90.0)).alias("bounded"),
-        F.try_divide("value", user % 26).alias("ratio"),
-        F.when(kind == "error", 1).otherwise(0).alias("is_error"),
-        F.coalesce(F.when(kind != "view", F.col("value")), F.lit(0.0)).alias("filled"),
-        user.cast("double").cast("int").cast("string").alias("user_text"),
-        F.when(kind == "click", "x").otherwise(user.cast("string")).try_cast("int").alias("checked"),
+    value, user = F.when(F.col("event_type") != "view", F.floor(F.col("value") * 3 - 50).cast("double")), F.col("user_id")
+    rows = fx.table(spark, d, "events").withColumns(
+        {"v": value, "true_positive": user % 2, "false_positive": user % 3, "false_negative": user % 5}
+    )
+    return with_rates(rows).select(
+        "event_id", clamp_score("v").alias("bounded"), relative_score("v", (user % 26).cast("double")).alias("share"),
+        score_level("v", "en").alias("level"), alert_flag("v", (user % 100).cast("double")).alias("flag"), code_text("v").alias("code"),
+        "precision", "recall",
     )

@@ -189,10 +189,10 @@ def j7(spark, d):
 
 @query(
     "j8_weather_labels",
-    sql(f"select weather_hour, {label_sql('weather_code')} as description from weather", "weather"),
+    sql(f"select weather_hour, {label_sql('weather_code')} as description from all_weather", "all_weather"),
 )
 def j8(spark, d):
-    return fx.weather(spark, d).select("weather_hour", weather_label("weather_code").alias("description"))
+    return fx.all_weather(spark, d).select("weather_hour", weather_label("weather_code").alias("description"))
 
 
 SNAPSHOT = """select * exclude (r) from (select *, row_number() over (
@@ -270,7 +270,7 @@ def t3(spark, d):
     return flagged.select("service_date", "pickup_zone", "pickup_hour", "historical_baseline_samples", *LIMIT_COLUMNS, "alert_flag")
 
 
-WEATHER_ROWS = sql("select * from weather", "weather")
+WEATHER_ROWS = sql("select * from all_weather", "all_weather")
 
 
 def payload(weather, by):
@@ -283,20 +283,20 @@ def payload(weather, by):
 
 @query("f1_explode_hourly", WEATHER_ROWS)
 def f1(spark, d):
-    return explode_hourly(payload(fx.weather(spark, d), F.substring("weather_hour", 1, 10)))
+    return explode_hourly(payload(fx.all_weather(spark, d), F.substring("weather_hour", 1, 10)))
 
 
 @query(
     "s18_weather_documents",
     sql(
         """select * replace (case when weather_hour >= '2024-01-16' then temperature_2m + 1 else temperature_2m end
-                             as temperature_2m) from weather""",
-        "weather",
+                             as temperature_2m) from all_weather""",
+        "all_weather",
     ),
 )
 def s18(spark, d):
     # Two sets of documents; the second repeats the later days with other values and wins.
-    weather = fx.weather(spark, d)
+    weather = fx.all_weather(spark, d)
     later = weather.filter(F.col("weather_hour") >= "2024-01-16").withColumn("temperature_2m", F.col("temperature_2m") + 1)
     # One document to a file.
     path, day = owned(spark).path("weather"), F.substring("weather_hour", 1, 10)
@@ -309,12 +309,12 @@ def s18(spark, d):
     "u1_merge_latest",
     sql(
         """select weather_hour, case when weather_hour >= '2024-01-10' then -1.0 else temperature_2m end as temperature_2m
-           from weather""",
-        "weather",
+           from all_weather""",
+        "all_weather",
     ),
 )
 def u1(spark, d):
-    old = fx.weather(spark, d)
+    old = fx.all_weather(spark, d)
     new = old.filter(F.col("weather_hour") >= "2024-01-10").withColumn("temperature_2m", F.lit(-1.0))
     columns = ["weather_hour", "temperature_2m"]
     return merge_latest([old.select(*columns), new.select(*columns)])
@@ -322,11 +322,11 @@ def u1(spark, d):
 
 @query(
     "u1_repeated_hours",
-    sql("select weather_hour, temperature_2m + 3 as temperature_2m from weather", "weather"),
+    sql("select weather_hour, temperature_2m + 3 as temperature_2m from all_weather", "all_weather"),
 )
 def u1_repeated(spark, d):
     # A document that has each hour three times with other values: the last of them counts.
-    rows = fx.weather(spark, d).withColumn("i", F.explode(F.array(*[F.lit(i) for i in (1, 2, 3)])))
+    rows = fx.all_weather(spark, d).withColumn("i", F.explode(F.array(*[F.lit(i) for i in (1, 2, 3)])))
     ordered = F.sort_array(F.collect_list(F.struct("i", "weather_hour", (F.col("temperature_2m") + F.col("i")).alias("t"))))
     documents = rows.groupBy(F.substring("weather_hour", 1, 10).alias("day")).agg(ordered.alias("rows"))
     hourly = F.struct(F.col("rows.weather_hour").alias("time"), F.col("rows.t").alias("temperature_2m"))
@@ -410,13 +410,18 @@ def v1(spark, d):
     return groups.select("groups", F.lit(differences).cast("long").alias("differences"))
 
 
+MOVED = f"""select a.latitude is distinct from b.latitude or a.longitude is distinct from b.longitude
+                   or a.simulation_cycle is distinct from b.simulation_cycle as changed
+            from ({SNAPSHOT.format("updated_at < '2024-01-15'")}) a full join fleet b using (vehicle_id)"""
+
+
 @query(
     "v4_run_checks",
     sql(
         """select 'prediction_records' as check, count(*) > 0 as passed from predictions
            union all select 'hotspot_explanations', count(*) > 0 from zone_means
            union all select 'fleet_records', count(*) >= 40 from fleet
-           union all select 'fleet_moved', true""",
+           union all select 'fleet_moved', bool_or(changed) from (""" + MOVED + ")",
         "predictions", "zone_means", "fleet",
     ).replace(" as check", ' as "check"'),
 )
@@ -428,6 +433,24 @@ def v4(spark, d):
     return verify.run_checks(preds, serving.zone_ranking(preds), after, changed_between(before, after))
 
 
+@query(
+    "v4_failed_checks",
+    sql(
+        """select 'prediction_records' as check, count(*) > 0 as passed from predictions
+           union all select 'hotspot_explanations', min(case when cast(pickup_zone as integer) > 3 then sample_count else 0 end) > 0 from zone_means
+           union all select 'fleet_records', count(*) >= 41 from fleet
+           union all select 'fleet_moved', count(*) < 0 from fleet""",
+        "predictions", "zone_means", "fleet",
+    ).replace(" as check", ' as "check"'),
+)
+def v4_failed(spark, d):
+    # A fleet that stands still and is one vehicle short; zones without an explanation.
+    fleet, preds = latest_state(fx.vehicles(spark, d)), fx.predictions(spark, d)
+    known = F.when(F.col("pickup_zone").cast("int") > 3, F.col("sample_count")).otherwise(0)
+    ranking = serving.zone_means(preds).withColumn("sample_count", known)
+    return verify.run_checks(preds, ranking, fleet, changed_between(fleet, fleet), fleet=41)
+
+
 @query(
     "m10_weather_outlook",
     sql(

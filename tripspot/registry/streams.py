@@ -107,6 +107,23 @@ def a23(spark, d):
     return batch_counters(spark, path).agg(*[F.sum(name).alias(name) for name in names])
 
 
+@query(
+    "t4_triggered_batches",
+    sql(f"select count(*) as records, 3::bigint as batches from ({INGESTED})", "predictions"),
+)
+def t4(spark, d):
+    # Three files, one to a batch, by a processing-time trigger; the query is stopped when all are read.
+    folder, path = owned(spark).path("messages"), owned(spark).path("triggered")
+    fx.messages(spark, d).repartition(3).write.text(folder)
+    source = spark.readStream.option("maxFilesPerTrigger", 1).text(folder)
+    stream = start_query(parse_events(source), upsert_batch(path), f"{path}/checkpoint", trigger="100 milliseconds")
+    try:
+        stream.processAllAvailable()
+    finally:
+        stream.stop()
+    return latest_view(spark, path).agg(F.count("*").alias("records"), F.count_distinct("batch_id").alias("batches"))
+
+
 @query(
     "t6_replayed_upsert",
     sql("select event_id, event_time, hotspot_score + 1 as hotspot_score, 1::bigint as batch_id from predictions", "predictions"),
