@@ -93,3 +93,6 @@ WEATHER_OTHER = {"vi": "Điều kiện thời tiết khác", "en": "other condit
 WEATHER_NO_DATA = {"vi": "Không có dữ liệu", "en": "no data"}
 
 EARTH_RADIUS_M = 6_371_000.0
+
+# Places that summed scores are kept to.
+SCORE_PLACES = 12

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tripspot.operators.clean import NULL_MARK, RAW_TIME, clean_trips, normalize_trips, project_trips
@@ -10,7 +12,7 @@ from tripspot.operators.rows import checked_broadcast, repeat_rows
 from tripspot.session import Scratch, remove
 from tripspot.sources.sinks import by_service_date
 from tripspot.sources.trips import RAW_KEYS, read_trips_files
-from tripspot.streaming.sink import compact, finished_numbers, latest_view, upsert_batch
+from tripspot.streaming.sink import compact, dealt_like_store, finished_numbers, latest_view, upsert_batch
 
 FIRST = ("pickup_datetime", "pickup_zone", "dropoff_zone")  # the order that P7 keeps the first of
 LOAD = "load_id"
@@ -45,7 +47,7 @@ def known_records(spark: SparkSession, state: str, key: str, load: int) -> DataF
         return None
 
 
-def with_ids_after(df: DataFrame, keys, known: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+def with_ids_after(df: DataFrame, keys, known: DataFrame | None, dealt=lambda rows, key: rows) -> tuple[DataFrame, DataFrame]:
     """P2 across loads: the rows with their ids, and the new totals of their ledger entries.
 
     Equal rows are numbered on from the copies that earlier loads have seen, so the ids of all loads together are those
@@ -57,19 +59,20 @@ def with_ids_after(df: DataFrame, keys, known: DataFrame | None) -> tuple[DataFr
         counted = counted.withColumn("_seen", F.lit(0).cast("long"))
     else:
         seen = known.select("row_key", F.col("copies").alias("_seen"))
+        counted = dealt(counted, "row_key")
         counted = counted.join(seen, "row_key", "left").fillna(0, ["_seen"])
     numbered = repeat_rows(counted, "_copies", "_ordinal").withColumn("_ordinal", F.col("_ordinal") + F.col("_seen"))
     made = numbered.withColumn("event_id", F.sha2(F.concat_ws("|", *texts, "_ordinal"), 256)).select("event_id", *df.columns)
     return made, counted.select("row_key", (F.col("_copies") + F.col("_seen")).alias("copies"))
 
 
-def first_trips(trips: DataFrame, known: DataFrame | None) -> DataFrame:
+def first_trips(trips: DataFrame, known: DataFrame | None, dealt=lambda rows, key: rows) -> DataFrame:
     """P7 across loads: de-duplicated trips of a load that are the first of their id so far, with the date of the curated
     trip that each replaces (`replaced`, null for none)."""
     if known is None:
         return trips.withColumn("replaced", F.lit(None).cast("date"))
     old = known.select("event_id", F.struct(*FIRST).alias("_old"), F.col("service_date").alias("replaced"))
-    joined = trips.join(old, "event_id", "left")
+    joined = dealt(trips, "event_id").join(old, "event_id", "left")
     return joined.filter(F.col("_old").isNull() | (F.struct(*FIRST) < F.col("_old"))).drop("_old")
 
 
@@ -82,12 +85,13 @@ def load_files(spark: SparkSession, files: list[str], zones: DataFrame, out: str
     """
     assert_unique_key(zones, "LocationID")
     raw = read_trips_files(spark, files)
+    dealt = functools.partial(dealt_like_store, spark, f"{state}/ledger")
     made_ids = RAW_TIME in raw.columns and "event_id" not in raw.columns
     if made_ids:
-        rows, entries = with_ids_after(raw.select(*RAW_KEYS), RAW_KEYS, known_records(spark, state, "row_key", load))
+        rows, entries = with_ids_after(raw.select(*RAW_KEYS), RAW_KEYS, known_records(spark, state, "row_key", load), dealt)
         key, fresh = "row_key", clean_trips(project_trips(rows), unique_ids=True).withColumn("replaced", F.lit(None).cast("date"))
     else:
-        fresh = first_trips(clean_trips(normalize_trips(raw)), known_records(spark, state, "event_id", load))
+        fresh = first_trips(clean_trips(normalize_trips(raw)), known_records(spark, state, "event_id", load), dealt)
         key, entries = "event_id", None
     fresh = scratch.store(fresh.withColumn("service_date", F.to_date("event_time")), "fresh")
     entries = entries if made_ids else fresh.select("event_id", *FIRST, "service_date")

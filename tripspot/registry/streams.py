@@ -8,6 +8,7 @@ from tripspot.registry.joins import FALLBACK, FILLED, GAP, LIMITS, scores, store
 from tripspot.registry.models import trained
 from tripspot.streaming.fleet import latest_vehicle
 from tripspot.streaming.ingest import parse_events
+from tripspot.streaming.rollup import compact_rollups, newest_records, ranking_of, rollup, rollup_sink, series_of, summary_of
 from tripspot.streaming.run import start_query
 from tripspot.streaming.scoring import score_stream
 from tripspot.streaming.sink import batch_counters, compact, latest_view, prediction_counters, retain, upsert_batch
@@ -191,6 +192,72 @@ def t6_bucketed(spark, d):
     return latest_view(spark, stored_rounds(spark, d))
 
 
+def rolled_up(spark, d):
+    """A store with rollups: three batches, each of which replaces records of the one before with another score, zone
+    and time; the second is written twice, and store and rollups are compacted on the way."""
+    path = owned(spark).path("rollups")
+    store, rows = rollup_sink(path), fx.predictions(spark, d).select("event_id", "event_time", "pickup_zone", "hotspot_score")
+    number = F.col("event_id").cast("long")
+    for i in range(ROUNDS):
+        part = rows.filter(number % ROUNDS >= i).withColumns({
+            "hotspot_score": F.col("hotspot_score") + i,
+            "pickup_zone": F.when(number % 2 == 0, F.col("pickup_zone")).otherwise((F.col("pickup_zone").cast("int") + i).cast("string")),
+            "event_time": F.when(number % 5 == 0, F.concat(F.lit("2023"), F.substring("event_time", 5, 20))).otherwise(F.col("event_time")),
+        })
+        for _ in range(2 if i == 1 else 1):
+            store(part if i else part.withColumn("event_time", F.lit("2099-01-01T00:00:00")), i)
+        if i:
+            compact(spark, path, i - 1)
+            compact_rollups(spark, path)
+    return path
+
+
+ROLLED = f"""(select event_id, r, hotspot_score + r as hotspot_score,
+                    case when i % 2 = 0 then pickup_zone else cast(cast(pickup_zone as integer) + r as varchar) end as pickup_zone,
+                    case when r = 0 then '2099-01-01T00:00:00' when i % 5 = 0 then '2023' || event_time[5:] else event_time end as event_time
+             from (select *, {ROUND} as r, cast(event_id as bigint) as i from predictions))"""
+
+
+@query(
+    "a16_rollup_ranking",
+    sql(
+        f"""select pickup_zone, round(sum(cast(hotspot_score as decimal(30, 12)))::double / count(*), 9) as hotspot_score, count(*) as sample_count
+            from {ROLLED} group by pickup_zone order by hotspot_score desc, pickup_zone limit 10""",
+        "predictions",
+    ),
+)
+def a16_rollup(spark, d):
+    return ranking_of(rollup(spark, rolled_up(spark, d), "hours"))
+
+
+@query(
+    "a17_rollup_series",
+    sql(
+        f"""select event_time[1:13] as bucket, round(avg(hotspot_score), 9) as value from {ROLLED} group by bucket
+            order by bucket desc limit 24""",
+        "predictions",
+    ),
+)
+def a17_rollup(spark, d):
+    return series_of(rollup(spark, rolled_up(spark, d), "hours")).withColumn("value", F.round("value", 9))
+
+
+@query(
+    "a18_rollup_summary",
+    sql(f"select count(*) as count, count(distinct pickup_zone) as zones, max(event_time) as latest from {ROLLED} where pickup_zone = '7'", "predictions"),
+)
+def a18_rollup(spark, d):
+    return summary_of(spark, rolled_up(spark, d), "7")
+
+
+@query(
+    "d2_newest_records",
+    sql(f"select event_id, event_time, pickup_zone, hotspot_score, r as batch_id from {ROLLED} order by event_time desc, event_id limit 30", "predictions"),
+)
+def d2_newest(spark, d):
+    return newest_records(spark, rolled_up(spark, d), 30)
+
+
 @query(
     "t8_stream_latest_vehicle",
     sql("select * from fleet", "fleet"),

@@ -107,6 +107,12 @@ def _layout(spark: SparkSession, path: str, key: str, buckets=None, slices=None)
     return row["buckets"], row["slices"]
 
 
+def dealt_like_store(spark: SparkSession, path: str, rows: DataFrame, key: str) -> DataFrame:
+    """Rows dealt out by their key as the snapshots of a store are, so that a join with its view leaves these where they
+    lie. Without a snapshot the rows stay as they are."""
+    return rows.repartition(_layout(spark, path, key)[0], key) if finished_numbers(spark, f"{path}/snapshots", "upto") else rows
+
+
 def _table_name(path: str) -> str:
     return f"keyed_store_{hashlib.md5(path.encode()).hexdigest()}"
 
@@ -136,7 +142,7 @@ def snapshot_table(spark: SparkSession, path: str, key: str, until: int, only=No
     return spark.table(name).drop("slice")
 
 
-def _recent(spark: SparkSession, path: str, after: int, until=None) -> DataFrame | None:
+def batch_records(spark: SparkSession, path: str, after: int, until=None) -> DataFrame | None:
     """The records of the finished batches after `after`; folders of other batches are not listed."""
     numbers = [n for n in finished_numbers(spark, f"{path}/batches", "batch_id") if n > after and (until is None or n <= until)]
     if not numbers:
@@ -170,7 +176,7 @@ def latest_view(spark: SparkSession, path: str, key="event_id", order=("batch_id
     """
     finished = [n for n in finished_numbers(spark, f"{path}/snapshots", "upto") if until is None or n <= until]
     upto = finished[-1] if finished else -1
-    snapshot, recent = snapshot_table(spark, path, key, upto), _recent(spark, path, upto, until)
+    snapshot, recent = snapshot_table(spark, path, key, upto), batch_records(spark, path, upto, until)
     if snapshot is None and recent is None:
         raise FileNotFoundError(f"nothing stored at {path}")
     if recent is None:
@@ -198,7 +204,7 @@ def compact(
     if until < 0 or until in done:
         return max(done, default=None)
     before = max([n for n in done if n < until], default=-1)
-    recent = _recent(spark, path, before, until)
+    recent = batch_records(spark, path, before, until)
     if recent is None:
         return max(done, default=None)
     buckets, slices = _layout(spark, path, key, buckets, slices)
