@@ -3,18 +3,20 @@
 import json
 import re
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from tripspot import fixtures as fx
+from tripspot.functions.calendar import iso_seconds
 from tripspot.operators.clean import clean_trips, normalize_trips
 from tripspot.operators.demand import raw_zone_hours, zone_hour_counts
 from tripspot.operators.verify import crosscheck_zone_hour, same_rows
 from tripspot.plans.etl import etl_job, run_etl
 from tripspot.plans.reports import formatted_plan, register_views, run_sql, save_reports
 from tripspot.sources.kafka import kafka_options, to_kafka_value
-from tripspot.sources.sinks import is_done, write_curated, write_zone_hour_csv, write_zone_hour_tsv
+from tripspot.sources.sinks import is_done, write_clustered, write_curated, write_zone_hour_csv, write_zone_hour_tsv
 from tripspot.sources.trips import bounded_source, read_trips, read_trips_any, read_trips_csv, read_zone_hour_tsv
 from tripspot.sources.weather import read_weather_json
 from tripspot.sources.zones import read_zone_lookup, zones_from_geojson
@@ -184,3 +186,33 @@ def test_reports_and_plans(spark, sf, tmp_path):
     from tripspot.operators.demand import borough_hour_profile
 
     assert same_rows(run_sql(spark, "borough_hour_profile"), borough_hour_profile(trips))
+
+
+def test_clustered_records_are_skipped_by_zone_and_day(spark, tmp_path):
+    i = F.col("id")
+    start = F.lit("2024-01-01").cast("timestamp_ntz") + F.make_dt_interval(mins=(i * 7919 % 43_200).cast("int"))
+    zone = F.when(i % 3 == 0, "7").when(i % 1000 == 1, "airport").otherwise((i % 264).cast("string"))
+    rows = spark.range(120_000, numPartitions=6).select(zone.alias("pickup_zone"), iso_seconds(start).alias("event_time"), i)
+    write_clustered(rows, str(tmp_path / "c"), rows_per_file=1000)
+    files = list((tmp_path / "c").glob("*.parquet"))
+    touched = total = 0
+    for file in files:
+        meta = pq.ParquetFile(file).metadata
+        for g in range(meta.num_row_groups):
+            stats = {meta.row_group(g).column(c).path_in_schema: meta.row_group(g).column(c).statistics for c in range(2)}
+            inside = lambda c, low, high: stats[c].min <= high and stats[c].max >= low
+            total += 1
+            touched += inside("pickup_zone", "150", "150") and inside("event_time", "2024-01-09", "2024-01-09T99")
+    assert total >= 120 and touched <= 0.1 * total  # a table in another order touches a fifth to all of them
+    stored = spark.read.parquet(str(tmp_path / "c"))
+    assert same_rows(stored, rows)
+    plan = formatted_plan(stored.filter((F.col("pickup_zone") == "150") & F.col("event_time").between("2024-01-09", "2024-01-09T99")))
+    assert "EqualTo(pickup_zone,150)" in plan and "GreaterThanOrEqual(event_time,2024-01-09)" in plan
+
+
+def test_clustering_bears_nulls_and_nothing(spark, tmp_path):
+    odd = spark.createDataFrame([(None, None), ("x", "soon"), ("3", "2024-01-01T00:00:00")], "pickup_zone string, event_time string")
+    write_clustered(odd, str(tmp_path / "odd"))
+    assert same_rows(spark.read.parquet(str(tmp_path / "odd")), odd)
+    write_clustered(odd.limit(0), str(tmp_path / "none"))
+    assert spark.read.parquet(str(tmp_path / "none")).count() == 0

@@ -10,7 +10,7 @@ from tripspot import fixtures as fx
 from tripspot.operators.fleet import latest_state
 from tripspot.operators.verify import same_rows
 from tripspot.plans.reports import formatted_plan
-from tripspot.streaming.fleet import latest_vehicle, VEHICLE_SCHEMA
+from tripspot.streaming.fleet import CHANGELOG_STATE, VEHICLE_SCHEMA, keep_state_with_changelog, latest_vehicle
 from tripspot.streaming.ingest import parse_events
 from tripspot.streaming.run import start_query
 from tripspot.streaming.scoring import refreshed, score_stream
@@ -248,6 +248,33 @@ def test_fleet_stream_equals_batch(spark, sf, tmp_path):
     assert same_rows(view.drop("batch_id"), latest_state(vehicles))
 
 
+def test_silent_vehicles_leave_the_state(spark, tmp_path):
+    def snapshot(vehicle, at, cycle=1, speed=1.0):
+        return json.dumps({"vehicle_id": vehicle, "updated_at": f"2024-05-01T{at}", "simulation_cycle": cycle, "speed_kmh": speed})
+
+    source, out = tmp_path / "in", tmp_path / "out"
+    batches = [
+        [snapshot(f"V-{i}", "08:00:00") for i in range(50)],
+        [snapshot("V-1", "11:50:00"), snapshot("V-2", "12:00:00"), "{broken", snapshot("V-9", "soon")],
+        # Late within the limit: the vehicle's newest, and one that is not; beyond the limit: dropped, whatever it says.
+        [snapshot("V-1", "11:58:00", speed=2.0), snapshot("V-2", "11:59:00", speed=9.0), snapshot("V-2", "12:05:00", 2), snapshot("V-3", "08:30:00", speed=9.0)],
+        [snapshot("V-2", "14:30:00", 3)],
+    ]
+    rows, before = [], {name: spark.conf.get(name, None) for name in CHANGELOG_STATE}
+    keep_state_with_changelog(spark)
+    try:
+        for i, batch in enumerate(batches):
+            lines(source, f"{i}.json", batch)
+            query = run(latest_vehicle(spark.readStream.schema(VEHICLE_SCHEMA).json(str(source)), "10 minutes"), out, "update")
+            rows.append(query.recentProgress[-1]["stateOperators"][0]["numRowsTotal"])
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value) if value else spark.conf.unset(name)
+    assert rows[0] == 50 and rows[1] <= 3 and rows[-1] <= 2
+    view = {r.vehicle_id: (r.updated_at[11:], r.speed_kmh) for r in latest_view(spark, str(out), "vehicle_id", ("updated_at", "simulation_cycle")).collect()}
+    assert len(view) == 50 and view["V-1"] == ("11:58:00", 2.0) and view["V-2"] == ("14:30:00", 1.0) and view["V-3"] == ("08:00:00", 1.0)
+
+
 def test_processing_time_trigger(spark, tmp_path):
     lines(tmp_path / "in", "a.txt", [event("1")])
     query = start_query(parse_events(text_stream(spark, tmp_path / "in")), upsert_batch(str(tmp_path / "out")), str(tmp_path / "c"), trigger="1 second", name="events")

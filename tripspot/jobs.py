@@ -28,7 +28,7 @@ from tripspot.sources.sinks import is_done, write_report, write_zone_hour_csv, w
 from tripspot.sources.trips import read_trips_any, read_zone_hour_tsv
 from tripspot.sources.weather import read_weather_json
 from tripspot.sources.zones import read_zone_lookup, zones_from_geojson
-from tripspot.streaming.fleet import VEHICLE_SCHEMA, latest_vehicle
+from tripspot.streaming.fleet import VEHICLE_SCHEMA, keep_state_with_changelog, latest_vehicle
 from tripspot.streaming.ingest import parse_events
 from tripspot.streaming.run import start_query
 from tripspot.streaming.scoring import refreshed, scoring_sink
@@ -96,7 +96,9 @@ def score_stream(spark, args):
 
 def track_fleet(spark, args):
     snapshots = messages(spark, args).select(F.inline(F.array(parse_event("value", VEHICLE_SCHEMA))))
-    run(latest_vehicle(snapshots), upsert_batch(args.out), args, "update")
+    if args.late:
+        keep_state_with_changelog(spark)
+    run(latest_vehicle(snapshots, args.late), upsert_batch(args.out), args, "update")
 
 
 def run(df, sink, args, output_mode):
@@ -192,6 +194,8 @@ def parser() -> argparse.ArgumentParser:
             job.add_argument("--once", action="store_true", help="stop after the data at hand")
             job.add_argument("--max-messages", type=int, help="messages of the topic in a batch at most")
             job.add_argument("--max-files", type=int, help="files of the folder in a batch at most")
+        if name == "track-fleet":
+            job.add_argument("--late", help="interval after which silent vehicles leave the state, and late snapshots are dropped")
         if name == "score-stream":
             job.add_argument("--weather-ttl", type=float, default=1800.0, help="seconds after which forecasts are read again")
         if name == "etl":

@@ -6,12 +6,13 @@ from tripspot import fixtures as fx
 from tripspot.operators.clean import normalize_trips, valid_zone_hour
 from tripspot.operators.demand import zone_hour_counts
 from tripspot.operators.rows import sample_rows
+from tripspot.operators.serving import for_zone
 from tripspot.operators.verify import kv_lines, parse_kv_lines
 from tripspot.plans.incremental import incremental_etl
 from tripspot.plans.reports import register_views, run_sql
 from tripspot.registry.base import owned, query, sql
 from tripspot.sources.kafka import to_kafka_value
-from tripspot.sources.sinks import is_done, write_curated, write_report, write_zone_hour_csv, write_zone_hour_tsv
+from tripspot.sources.sinks import is_done, write_clustered, write_curated, write_report, write_zone_hour_csv, write_zone_hour_tsv
 from tripspot.sources.trips import bounded_source, read_trips, read_trips_any, read_trips_csv, read_zone_hour_tsv
 from tripspot.sources.zones import read_zone_lookup
 
@@ -260,3 +261,14 @@ def s10_incremental(spark, d):
 )
 def p2_loads(spark, d):
     return in_loads(spark, d, False, "id-loads").select("event_id", "pickup_datetime", "pickup_zone")
+
+
+@query(
+    "p15_clustered_filter",
+    sql("select * from predictions where pickup_zone = '7' and event_time[1:10] = '2024-01-09'", "predictions"),
+)
+def p15_clustered(spark, d):
+    path = owned(spark).path("clustered")
+    write_clustered(fx.predictions(spark, d), path)
+    day = F.col("event_time").between("2024-01-09", "2024-01-09T99")
+    return for_zone(spark.read.parquet(path), "7").filter(day)

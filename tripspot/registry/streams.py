@@ -269,3 +269,13 @@ def t8(spark, d):
     snapshots = spark.readStream.schema(fx.EVENTS_SCHEMA).option("maxFilesPerTrigger", 1).parquet(folder)
     path = run_all(spark, latest_vehicle(fx.vehicles_of(snapshots)), "fleet", output_mode="update")
     return latest_view(spark, path, "vehicle_id", ("updated_at", "simulation_cycle")).drop("batch_id")
+
+
+@query("t8_evicting_stream", sql("select * from fleet", "fleet"))
+def t8_evicting(spark, d):
+    # Files in the order of time, one to a batch; hours that the watermark has passed leave the state.
+    folder = owned(spark).path("ordered")
+    fx.table(spark, d, "events").repartitionByRange(4, "ts").sortWithinPartitions("ts").write.parquet(folder)
+    snapshots = spark.readStream.schema(fx.EVENTS_SCHEMA).option("maxFilesPerTrigger", 1).parquet(folder)
+    path = run_all(spark, latest_vehicle(fx.vehicles_of(snapshots), late="40 days"), "evicting", output_mode="update")
+    return latest_view(spark, path, "vehicle_id", ("updated_at", "simulation_cycle")).drop("batch_id")
