@@ -6,7 +6,7 @@ import functools
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from tripspot.llm.components import components
 from tripspot.llm.words import U64, blocks, distinct_sorted, mix, shingles, split_words
@@ -143,17 +143,44 @@ def _bitmaps(batches, width):
             )
 
 
-def _may_link(percent):
-    """Whether two sets could reach the threshold, by bounds on what they share that are never too low: the smaller of
-    their shared parts; and the bits that are set in both bitmaps, with the shingles that share a bit inside a set."""
+def _reaches(most, percent):
+    """Whether two sets that share at most so many shingles could reach the threshold."""
+    return F.col("any_text") | F.col("any_text_b") | (100 * most >= percent * (F.col("n") + F.col("n_b") - most))
 
-    def reaches(most):
-        return 100 * most >= percent * (F.col("n") + F.col("n_b") - most)
 
-    parts = F.least("shared", "shared_b")
+def _shared_bits():
+    """A bound on what two sets share that is never too low: the bits that are set in both bitmaps, with the shingles
+    that share a bit inside a set."""
     both = F.aggregate(F.zip_with("bits", "bits_b", lambda x, y: F.bit_count(x.bitwiseAND(y)).cast("long")), F.lit(0).cast("long"), lambda s, x: s + x)
-    bits = both + F.least(F.col("n") - F.col("ones"), F.col("n_b") - F.col("ones_b"))
-    return F.col("any_text") | F.col("any_text_b") | (reaches(parts) & reaches(F.least(parts, bits)))
+    return both + F.least(F.col("n") - F.col("ones"), F.col("n_b") - F.col("ones_b"))
+
+
+def _prefixes(able, texts, width, percent):
+    """(bucket, id): of each text the rarest shingles, one more than two similar sets can differ by.
+
+    Two sets at the threshold or above share one of them, whatever the order of shingles is, as long as it is the same
+    for all. Ordered by frequency, a shingle that all texts of a template have is in hardly any prefix.
+    """
+    own = texts.join(able.select("id", "n"), "id").withColumn("t", F.xxhash64("text"))
+    hashed = own.mapInArrow(functools.partial(_long_hashes, width=width), "id long, t long, n long, shingle long")
+    frequency = hashed.groupBy("shingle").agg(F.count("*").alias("times")).filter("times > 1")
+    # A shingle of one text alone takes a place in its prefix and leads nowhere.
+    ranked = hashed.join(frequency, "shingle", "left").withColumn("times", F.coalesce("times", F.lit(1)))
+    place = F.row_number().over(Window.partitionBy("id", "t").orderBy("times", "shingle"))
+    size = F.count("*").over(Window.partitionBy("id", "t"))
+    longest = size - F.ceil(size * percent / 100) + 1
+    prefix = ranked.withColumn("place", place).withColumn("longest", longest).filter("place <= longest and times > 1")
+    return prefix.select(F.col("shingle").alias("bucket"), "id").distinct()
+
+
+def _long_hashes(batches, width):
+    for batch in batches:
+        for first, data, offsets in blocks(batch.column("text")):
+            row, value = distinct_sorted(*shingles(split_words(data, offsets), width, True))
+            at = pa.array(row + first)
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(c).take(at) for c in ("id", "t", "n")), pa.array(value.view(np.int64))], ["id", "t", "n", "shingle"]
+            )
 
 
 def _short_hashes(batches, width):
@@ -214,14 +241,13 @@ def near_duplicates(
        node, so groups of copies, however large, cost one row per task.
     2. Each bucket links its members to its smallest id: a star, one candidate per member and never all pairs.
        Candidates are confirmed on the full sets, confirmed ones give components.
-    3. A member that its star's centre did not confirm may be like another member. In buckets that still hold several
-       components, bounds tell what may still be similar: two sets share no more than the smaller of the parts of
-       them that any other such set has, and little more than the bits that their bitmaps share. Sets that cannot
-       reach the threshold leave; of the others, those
-       outside their bucket's largest component become centres in turn, 64 times as many each round, and are
-       compared with members of other components as far as the bound allows. So no link within a bucket is lost, a
-       bucket of one component costs nothing more, and a large group of texts that are almost similar enough is told
-       apart without comparing its texts.
+    3. A member that its star's centre did not confirm may be like another member. Of buckets that still hold several
+       components, members leave that cannot be similar to any other: two sets share no more than the smaller of the
+       parts of them that any other such set has. The others meet again by prefixes: two similar sets share one of
+       their rarest shingles (`_prefixes`), so candidates follow similarity and not the size of a bucket, and no link
+       among them is lost. In each list of a shingle those outside its largest component become centres in turn, 64
+       times as many each round, and meet members of other components; a pair is compared once, and only if bitmaps of
+       both sets do not rule it out. A large group of texts from one template is told apart by what is not common.
 
     With 128 bins and 4 rows a band, a pair at similarity 0.8 shares no bucket with probability (1 - 0.8^4)^32, about
     5e-8. Ids are whole numbers. A null or blank text has no shingles: it is linked with nothing and kept. A null id
@@ -253,7 +279,9 @@ def near_duplicates(
     candidates = scratch.store(_open(members, labels), "open")
     shared = scratch.store(_shared_parts(candidates.select("id").distinct(), texts, width), "parts")
     able = shared.filter(F.col("any_text") | (100 * F.col("shared") >= percent * F.col("n")))
-    candidates = scratch.store(candidates.select("bucket", "id").join(able, "id"), "able")
+    able = scratch.store(able, "able")
+    narrow = able.select("id", "n", "shared", "any_text")
+    candidates = scratch.store(_prefixes(able, texts, width, percent).join(narrow, "id"), "prefixes")
     centers, open_members = CENTERS, None
     while True:
         if open_members is None:
@@ -263,19 +291,22 @@ def near_duplicates(
             break
         share = (F.xxhash64("id", "bucket") % 1_000_000 + 1_000_000) / 2_000_000
         stars = open_members.filter((F.col("component") != F.col("largest")) & (share * F.col("others") <= centers))
-        other = ["id", "component", "n", "shared", "any_text", "ones", "bits"]
+        other = open_members.select("bucket", *[F.col(c).alias(f"{c}_b") for c in ("id", "component", "n", "shared", "any_text")])
         fresh = (
-            stars.join(open_members.select("bucket", *[F.col(c).alias(f"{c}_b") for c in other]), "bucket")
-            .filter((F.col("component") != F.col("component_b")) & _may_link(percent))
+            stars.join(other, "bucket")
+            .filter((F.col("component") != F.col("component_b")) & _reaches(F.least("shared", "shared_b"), percent))
             .select(F.least("id", "id_b").alias("center"), F.greatest("id", "id_b").alias("id"))
             .distinct()
         )
         fresh = scratch.store(
             fresh.join(functools.reduce(DataFrame.unionByName, compared), ["center", "id"], "left_anti"), "fresh"
         )
-        found = scratch.store(_linked(fresh, texts, width, percent), "links")
+        compared.append(fresh)
+        drawn = able.select("id", "n", "any_text", "ones", "bits")
+        sided = fresh.join(drawn, "id").join(drawn.select(*[F.col(c).alias("center" if c == "id" else f"{c}_b") for c in drawn.columns]), "center")
+        similar = scratch.store(sided.filter(_reaches(_shared_bits(), percent)).select("center", "id"), "similar")
+        found = scratch.store(_linked(similar, texts, width, percent), "links")
         if found.head(1):
-            compared.append(fresh)
             links.append(found)
             labels, open_members = scratch.store(components(_edges(links), scratch), "labels"), None
         if centers >= most:
