@@ -33,7 +33,8 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op2_secret_scan")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = scan_secrets(table(spark, sf_dir, "documents"), workspace(spark, "op2"))
-    return found.withColumn("base_sha256", F.sha2(joined("base_spans"), 256)).withColumn("spans", joined("spans")).drop("base_spans")
+    first = ["doc_id", "n_assign", "n_access", "n_hex", F.sha2(joined("base_spans"), 256).alias("base_sha256"), joined("spans").alias("spans")]
+    return found.select(*first, *[c for c in found.columns if c not in ("doc_id", "n_assign", "n_access", "n_hex", "base_spans", "spans")])
 
 
 @query("op3_toxicity")
@@ -93,7 +94,8 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op10_mixing", oracles.MIXING)
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mix_sources(table(spark, sf_dir, "documents"), workspace(spark, "op10"))
+    mixed = mix_sources(table(spark, sf_dir, "documents"), workspace(spark, "op10"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
 
 
 @query("op11_structure_repair", oracles.REPAIR)
