@@ -3,6 +3,7 @@
 import hashlib
 import io
 import random
+import re
 
 import pytest
 from pyarrow import fs
@@ -63,6 +64,72 @@ def test_records_after_damage_are_recovered(packed, damage):
     assert ends[0][0] == 0 and ends[-1][1] == len(data) and all(a[1] == b[0] for a, b in zip(ends, ends[1:]))
 
 
+def several(damage):
+    """An archive of three members of five records each, with one kind of damage in the second."""
+    payloads = [bytes(random.Random(i).choices(b"abcdefgh <>\r\n", k=20_000 + i)) for i in range(15)]
+    texts = [bytearray(raw(i, p)) for i, p in enumerate(payloads)]
+    if damage == "content":  # inside the third record of the member, before it was packed
+        texts[7][len(texts[7]) // 2] ^= 1
+    elif damage == "length":
+        texts[5] = texts[5].replace(b"Content-Length: 2", b"Content-Length: 1", 2)
+    elif damage == "first":
+        texts[5][0] ^= 1
+    members = [bytearray(member(b"".join(texts[i : i + 5]))) for i in (0, 5, 10)]
+    if damage == "cut":
+        members[1] = members[1][:-9]
+    elif damage == "half":
+        members[1] = members[1][: len(members[1]) // 2]
+    elif damage == "flip":
+        members[1][len(members[1]) * 7 // 10] ^= 0x55
+    elif damage == "checksum":
+        members[1][-6] ^= 0x55
+    return payloads, b"".join(members)
+
+
+@pytest.mark.parametrize(
+    "damage, lost, gaps",
+    [("none", set(), 0), ("content", {7}, 1), ("length", {5}, 1), ("first", {5}, 1), ("checksum", set(), 1), ("cut", {9}, 1)],
+)
+def test_sound_records_of_a_damaged_member(damage, lost, gaps):
+    payloads, data = several(damage)
+    found = list(salvage(io.BytesIO(data)))
+    got = [f.payload for f in found if isinstance(f, Record)]
+    want = [p for i, p in enumerate(payloads) if i not in lost]
+    assert got == want or damage == "cut" and got == payloads  # the bytes cut may be the checksum's alone
+    assert sum(isinstance(f, Gap) for f in found) == gaps
+    ends = [(f.start, f.stop) for f in found]
+    assert ends[0][0] == 0 and ends[-1][1] == len(data) and all(a[1] == b[0] for a, b in zip(ends, ends[1:]))
+
+
+@pytest.mark.parametrize("damage", ["half", "flip"])
+def test_records_before_the_break_of_a_member(damage):
+    payloads, data = several(damage)
+    found = list(salvage(io.BytesIO(data)))
+    got = [payloads.index(f.payload) for f in found if isinstance(f, Record)]
+    assert got[:5] == [0, 1, 2, 3, 4] and got[-5:] == [10, 11, 12, 13, 14] and set(got[5:-5]) >= {5, 6} and got == sorted(set(got))
+    assert [f for f in found if isinstance(f, Gap)]
+
+
+def test_records_without_a_digest_need_their_member():
+    bare = [re.sub(rb"WARC-Block-Digest: [^\r]*\r\n", b"", raw(i, b"x" * 50)) for i in range(3)]
+    sound = member(b"".join(bare))
+    assert [f.payload for f in salvage(io.BytesIO(sound))] == [b"x" * 50] * 3
+    broken = bytearray(sound)
+    broken[-6] ^= 1
+    assert [type(f) for f in salvage(io.BytesIO(bytes(broken)))] == [Gap]
+
+
+def test_a_member_is_unpacked_bit_by_bit():
+    import tracemalloc
+
+    texts = [raw(i, bytes([97 + i % 26]) * 1_000_000) for i in range(60)]
+    data = member(b"".join(texts))
+    tracemalloc.start()
+    assert sum(isinstance(f, Record) for f in salvage(io.BytesIO(data))) == 60
+    assert tracemalloc.get_traced_memory()[1] < 12_000_000
+    tracemalloc.stop()
+
+
 @pytest.mark.parametrize("packed", [True, False])
 @pytest.mark.parametrize("url", ["data:," + "é" * 100_000, "http://x/WARC/1.1", "http://x/WARC/1.0", "data:," + "y" * 300_000 + "WARC/1.1"])
 def test_long_and_version_like_urls(packed, url):

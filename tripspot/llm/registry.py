@@ -56,7 +56,9 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     scratch = workspace(spark, "op4")
     files = warc.write_archives(table(spark, sf_dir, "pages"), scratch, scratch.path("archives"))
-    records, _ = warc.read_archives(files, scratch)
+    records, gaps = warc.read_archives(files, scratch)
+    if gaps.head(1):
+        raise RuntimeError(f"archives just written have gaps: {gaps.head(3)}")
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 

@@ -20,6 +20,7 @@ REVISIT = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 MEMBER = b"\x1f\x8b\x08"
 SEARCH = re.compile(rb"\x1f\x8b\x08|WARC/1\.[01]\r\n")
 CACHE = 1 << 20
+CUT_OFF = "member is cut off"
 ONCE = {"warc-type", "warc-record-id", "warc-date", "content-length"}
 URI = "warc-target-uri"
 HEADER = 1 << 16  # bytes first read of a plain record; a header may be longer
@@ -134,24 +135,127 @@ def _parse(raw: bytes, start: int, stop: int, offset=0) -> tuple[Record, int]:
     return Record(start, stop, headers, block), close + 4
 
 
-def _member(data: _Bytes, start: int) -> tuple[list[Record], int]:
-    """The records of the gzip member at `start` and where it ends."""
-    unpack, parts, at, step = zlib.decompressobj(31), [], start, 1 << 12
-    while not unpack.eof:
-        piece = data.at(at, step)
-        if not piece:
-            raise Damaged("member is cut off")
+class _Member:
+    """The bytes of a gzip member as they are unpacked: those from `base` on are held."""
+
+    def __init__(self, data: _Bytes, start: int):
+        self.data, self.at, self.step = data, start, 1 << 12
+        self.unpack, self.packed, self.later = zlib.decompressobj(31), b"", b""
+        self.held, self.base, self.problem = bytearray(), 0, ""
+
+    def need(self, size: int) -> bool:
+        """Hold `size` bytes, if the member has as many."""
+        while len(self.held) < size and not self.unpack.eof and not self.problem:
+            if not self.packed:
+                self.packed, self.later = self.later, b""
+            if not self.packed:
+                self.packed = self.data.at(self.at, self.step)
+                self.at, self.step = self.at + len(self.packed), min(CACHE, self.step * 4)
+            if not self.packed:
+                self.problem = CUT_OFF
+                break
+            before = self.unpack.copy()
+            try:
+                self.held += self.unpack.decompress(self.packed, CACHE)
+            except zlib.error as problem:
+                half = len(self.packed) // 2
+                if half:  # what can be unpacked before the damage is
+                    self.unpack, self.packed, self.later = before, self.packed[:half], self.packed[half:] + self.later
+                    continue
+                self.problem = f"member: {str(problem).partition(': ')[2] or problem}"
+                break
+            self.packed = self.unpack.unconsumed_tail
+        return len(self.held) >= size
+
+    @property
+    def stop(self) -> int:
+        """Where the member ends in the file, once it has been read."""
+        return self.at - len(self.unpack.unused_data) - len(self.later)
+
+    def drop(self, size: int) -> None:
+        del self.held[:size]
+        self.base += size
+
+    def _more(self) -> bool:
+        return self.need(len(self.held) + 1)
+
+    def record(self, start: int) -> tuple[Record, bool]:
+        """The record that begins here, and whether its own digest vouches for it; Damaged if any check fails."""
+        end = self.held.find(b"\r\n\r\n")
+        while end < 0:
+            if len(self.held) >= 7 and not self.held.startswith(b"WARC/1."):
+                raise Damaged("no version line")
+            _fields(bytes(self.held[: max(0, self.held.rfind(b"\r\n"))]))
+            before = max(0, len(self.held) - 3)
+            if not self._more():
+                raise Damaged(self.problem or "header without an end")
+            end = self.held.find(b"\r\n\r\n", before)
+        length = re.search(rb"\r\n[Cc]ontent-[Ll]ength:\s*(\d{1,15})\r\n", self.held[: end + 2])
+        size = end + 4 + int(length[1]) + 4 if length else end + 4
+        self.need(size)
+        one, used = _parse(bytes(self.held[:size]), start, start)
+        self.drop(used)
+        return one, "warc-block-digest" in one.headers
+
+    def seek(self) -> None:
+        """Go on to the next version line, or to the end of what can be unpacked."""
+        self.need(1)
+        self.drop(min(1, len(self.held)))
+        while True:
+            found = self.held.find(b"WARC/1.")
+            if found >= 0:
+                return self.drop(found)
+            self.drop(max(0, len(self.held) - 6))  # one that is not whole yet
+            if not self._more():
+                return self.drop(len(self.held))
+
+
+class _End(NamedTuple):
+    """Where a member ends, or the problem that it broke off with."""
+
+    stop: int
+    problem: str
+
+
+def _member(data: _Bytes, start: int):
+    """The records and gaps inside the gzip member at `start`, and last its _End.
+
+    All but the last have no bytes of the file to their name; the last has the member's. In a member that breaks off or
+    fails its checksum a record counts only if its own digest vouches for it; those without one wait for the end. The
+    record that a cut ends with does not count: what followed it is not known.
+    """
+    inside, waiting, last, lost, problem = _Member(data, start), [], None, None, ""
+    while inside.need(1):
+        at = inside.base
         try:
-            parts.append(unpack.decompress(piece))
-        except zlib.error as problem:
-            raise Damaged(f"member: {str(problem).partition(': ')[2] or problem}") from None
-        at, step = at + len(piece), min(CACHE, step * 4)
-    stop, raw = at - len(unpack.unused_data), b"".join(parts)
-    records, offset = [], 0
-    while offset < len(raw) or not records:
-        one, offset = _parse(raw, start, stop, offset)
-        records.append(one)
-    return records, stop
+            one, sure = inside.record(start)
+        except Damaged as reason:
+            lost, problem = (at, str(reason)) if lost is None else (lost, problem)
+            inside.seek()
+            continue
+        found = [Gap(start, start, f"{problem}, bytes {lost} to {at} of a member")] if lost is not None else []
+        lost = None
+        for item, certain in (*((g, True) for g in found), (one, sure)):
+            if not certain or waiting:
+                waiting.append((item, certain))
+                continue
+            if last is not None:
+                yield last
+            last = item
+    if lost is not None and not inside.problem:
+        waiting.append((Gap(start, start, f"{problem}, bytes {lost} to {inside.base} of a member"), True))
+    for item, certain in waiting:
+        if certain or not inside.problem:
+            if last is not None:
+                yield last
+            last = item
+    if last is None or inside.problem:
+        if isinstance(last, Record) and not (inside.problem == CUT_OFF and lost is None):
+            yield last
+        yield _End(start, inside.problem or problem or "empty member")
+        return
+    yield last._replace(stop=inside.stop)
+    yield _End(inside.stop, "")
 
 
 def _plain(data: _Bytes, start: int) -> tuple[list[Record], int]:
@@ -181,16 +285,37 @@ def salvage(stream):
 
     Each record must pass all checks: the gzip checksum, the version line, the length, the end mark and the block
     digest. After a failed one the next bytes that begin a gzip member or a version line are tried, and so on; what
-    lies between is one gap with the first problem. Memory holds one record at a time. Records and gaps together
-    cover every byte.
+    lies between is one gap with the first problem. Inside a gzip member, too, reading goes on at the next version line,
+    and of a member that breaks off or fails its checksum the records before are kept as far as their own digests vouch
+    for them. Memory holds one record at a time, and of a member those that have no digest. Records and gaps together
+    cover every byte once.
     """
-    data, at, lost, problem = _Bytes(stream), 0, None, ""
+    data, at, lost, problem, known = _Bytes(stream), 0, None, "", set()
     while data.at(at, 1):
         try:
             if data.at(at, 3) == MEMBER:
-                records, stop = _member(data, at)
+                found, broken = _member(data, at), None
+                for item in found:
+                    if isinstance(item, _End):
+                        stop, broken = item
+                        break
+                    if isinstance(item, Record):
+                        known.add(item.headers.get("warc-record-id"))
+                    if lost is not None:
+                        yield Gap(lost, at, problem)
+                        lost = None
+                    yield item
+                if broken:
+                    raise Damaged(broken)
+                known.clear()
             elif data.at(at, 7) == b"WARC/1.":
                 records, stop = _plain(data, at)
+                if lost is not None and records[0].headers.get("warc-record-id") in known:
+                    raise Damaged("a record of the broken member again")  # its bytes may lie in it unpacked
+                if lost is not None:
+                    yield Gap(lost, at, problem)
+                    lost = None
+                yield from records
             else:
                 raise Damaged("no record begins here")
         except Damaged as reason:
@@ -198,10 +323,6 @@ def salvage(stream):
                 lost, problem = at, str(reason)
             at = _next(data, at + 1)
             continue
-        if lost is not None:
-            yield Gap(lost, at, problem)
-            lost = None
-        yield from records
         at = stop
     if lost is not None:
         yield Gap(lost, at, problem)
