@@ -3,7 +3,7 @@
 import random
 
 from odd import odd_rows
-from tripspot.llm.edits import VOCABULARY, Edit, SegmentTree, count_edited, encoder, leaves, orderly, redactions
+from tripspot.llm.edits import VOCABULARY, Edit, SegmentTree, build_trees, count_edited, edit_trees, encoder, leaves, orderly, redactions
 
 COUNT = encoder(VOCABULARY)
 
@@ -46,6 +46,47 @@ def test_few_leaves_are_encoded_again():
     assert tree.encoded <= 2 and tree.encoded_chars < 3000 and tree.total == COUNT(tree.text())
 
 
+def test_texts_without_spaces_are_cut_too():
+    text = "".join(f"ab{i}" for i in range(40_000))
+    tree = SegmentTree(text, COUNT)
+    assert len(tree.pieces) > 300 and tree.total == COUNT(text)
+    tree.apply([Edit(60_000, 60_001, "zz"), Edit(70_000, 90_000, "")])
+    assert tree.encoded <= 6 and tree.total == COUNT(tree.text())
+
+
+def test_deleting_everything_is_linear():
+    import time
+
+    seconds = []
+    for n in (2_000, 16_000):
+        tree = SegmentTree(" ".join(["word"] * 20 * n), COUNT, 64)
+        began = time.perf_counter()
+        tree.apply([Edit(0, len(tree.text()), "")])
+        seconds.append(time.perf_counter() - began)
+        assert tree.total == 0 and tree.text() == ""
+    assert seconds[1] < 30 * seconds[0] + 0.2
+
+
+def test_kept_trees_follow_batches_of_edits(spark, scratch, documents):
+    rng = random.Random(9)
+    texts = {i: " ".join(rng.choice(["the", "a1b", "word", "é!", "x's", "  "]) for _ in range(rng.randrange(2000))) for i in range(12)} | {12: ""}
+    trees = scratch.store(build_trees(documents([*texts.items(), (None, "no id")]), leaf=64), "trees")
+    for _ in range(3):
+        edits = []
+        for i in rng.sample(range(13), 6):
+            places = sorted(rng.randrange(len(texts[i]) + 1) for _ in range(3))
+            own = orderly([Edit(p, p + rng.choice([0, 1, 9]), rng.choice(["", "new one", "1", " "])) for p in places], len(texts[i]))
+            edits += [(i, *e) for e in own]
+            texts[i] = edited(texts[i], own)
+        edits += [(None, 0, 1, "x"), (99, 0, 1, "x")]
+        batch = spark.createDataFrame(edits, "id long, start int, end int, text string")
+        trees = scratch.store(edit_trees(trees, batch), "trees")
+        for row in trees.collect():
+            text = texts[row.id] if row.id is not None else "no id"
+            assert "".join(row.pieces) == text and row.n_tokens_edited == row.sums[1] == COUNT(text)
+            assert row.chars_encoded <= 3 * 400 and (row.n_edits > 0) == (row.id is not None and row.id in {e[0] for e in edits})
+
+
 def test_column_of_edits(spark, documents):
     docs = spark.createDataFrame(
         [(1, "a b c", [(2, 3, "longer word"), (0, 9, None), (90, 95, "!")]), (2, None, [(0, 0, "new")]), (3, "x", None)],

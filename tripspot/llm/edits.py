@@ -19,8 +19,11 @@ LEAF = 512  # characters after which a leaf ends at the next safe cut
 COUNTED = (
     "id long, n_tokens long, n_tokens_edited long, n_edits long, n_leaves long, leaves_encoded long, chars_encoded long"
 )
-# A space between two characters that are no white space always begins a pre-token, so no token crosses it.
-CUT = re.compile(r"(?<=\S) (?=\S)")
+# A space between two characters that are no white space always begins a pre-token, so no token crosses it; nor does one
+# cross the border of a Latin letter and a digit.
+CUT = re.compile(r"(?<=\S) (?=\S)|(?<=[A-Za-z])(?=[0-9])|(?<=[0-9])(?=[A-Za-z])")
+TREES = "id long, pieces array<string>, sums array<long>"
+EDITED = "n_tokens long, n_tokens_edited long, n_edits long, leaves_encoded long, chars_encoded long"
 PRIVATE = re.compile(
     r"(?P<EMAIL>[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,})|(?P<SECRET>AKIA[A-Z0-9]{16,}|[0-9a-f]{24,})|(?P<NUMBER>[0-9]{9,})"
 )
@@ -64,6 +67,15 @@ def is_cut(left: str, right: str) -> bool:
     return bool(CUT.match(left[-1] + right[:2], 1))
 
 
+def _tree_rows(ids, trees, more=()):
+    """A batch of trees as they are kept."""
+    columns = [ids, pa.array([t.pieces for t in trees], pa.list_(pa.string())), pa.array([t.sums for t in trees], pa.list_(pa.int64()))]
+    names = ["id", "pieces", "sums"]
+    for name, values in more:
+        columns, names = [*columns, pa.array(values, pa.int64())], [*names, name]
+    return pa.RecordBatch.from_arrays(columns, names)
+
+
 def orderly(edits, length: int) -> list[Edit]:
     """Edits in order of place, within the text; one that begins inside the one before it is left out."""
     out, end = [], 0
@@ -77,12 +89,16 @@ def orderly(edits, length: int) -> list[Edit]:
 class SegmentTree:
     """Leaves of a text with their token counts, and the sum of each subtree, kept true under edits."""
 
-    def __init__(self, text: str, count, size=LEAF):
+    def __init__(self, text: str, count, size=LEAF, kept: tuple[list, list] | None = None):
         self.count = count
+        self.encoded = self.encoded_chars = 0
+        if kept is not None:  # leaves and sums of an earlier tree: nothing is encoded
+            self.pieces, self.sums = kept
+            self.width = len(self.sums) // 2
+            return
         self.pieces = leaves(text, size) or [""]
         self.width = 1 << (len(self.pieces) - 1).bit_length()
         self.sums = [0] * (2 * self.width)
-        self.encoded = self.encoded_chars = 0
         for i, piece in enumerate(self.pieces):
             self.sums[self.width + i] = count(piece)
         for node in range(self.width - 1, 0, -1):
@@ -109,6 +125,7 @@ class SegmentTree:
                 end = min(edit.end - starts[i], (starts[i + 1] if i + 1 < len(starts) else at) - starts[i])
                 self.pieces[i] = piece[:begin] + (edit.text if i == first else "") + piece[end:]
                 dirty.add(i)
+        self._before, self._after = list(range(-1, len(self.pieces) - 1)), list(range(1, len(self.pieces) + 1))
         for i in sorted(dirty):
             self._join(i, dirty)
         for i in sorted(dirty):
@@ -120,11 +137,21 @@ class SegmentTree:
                 node //= 2
                 self.sums[node] = self.sums[2 * node] + self.sums[2 * node + 1]
 
+    def _near(self, i: int, towards: list[int]) -> int | None:
+        """The next leaf on one side that holds text. Emptied leaves are stepped over and then pointed past, so many of
+        them in a row are walked over once."""
+        j, passed = towards[i], [i]
+        while 0 <= j < len(self.pieces) and not self.pieces[j]:
+            passed.append(j)
+            j = towards[j]
+        for k in passed:
+            towards[k] = j
+        return j if 0 <= j < len(self.pieces) else None
+
     def _join(self, i: int, dirty: set[int]) -> None:
         """Join leaf i with its neighbours until both its borders are safe cuts; the left leaf takes the text."""
         while self.pieces[i]:
-            left = next((j for j in range(i - 1, -1, -1) if self.pieces[j]), None)
-            right = next((j for j in range(i + 1, len(self.pieces)) if self.pieces[j]), None)
+            left, right = self._near(i, self._before), self._near(i, self._after)
             if left is not None and not is_cut(self.pieces[left], self.pieces[i]):
                 pair = (left, i)
             elif right is not None and not is_cut(self.pieces[i], self.pieces[right]):
@@ -136,8 +163,7 @@ class SegmentTree:
             dirty.update(pair)
             i = pair[0]
         # An emptied leaf brings its neighbours together.
-        left = next((j for j in range(i - 1, -1, -1) if self.pieces[j]), None)
-        right = next((j for j in range(i + 1, len(self.pieces)) if self.pieces[j]), None)
+        left, right = self._near(i, self._before), self._near(i, self._after)
         if left is not None and right is not None and not is_cut(self.pieces[left], self.pieces[right]):
             self.pieces[left] += self.pieces[right]
             self.pieces[right] = ""
@@ -182,3 +208,49 @@ def count_edited(
     columns += [F.col(edits_col).alias("edits")] if edits_col else []
     count = functools.partial(_count, propose=propose, vocabulary=vocabulary, leaf=leaf)
     return docs.select(*columns).mapInArrow(count, COUNTED).withColumnRenamed("id", id_col)
+
+
+def _build(batches, vocabulary: str, leaf: int):
+    count = encoder(vocabulary)
+    for batch in batches:
+        yield _tree_rows(batch.column("id"), [SegmentTree(t.as_py() or "", count, leaf) for t in batch.column("text")])
+
+
+def _apply(batches, vocabulary: str):
+    count = encoder(vocabulary)
+    for batch in batches:
+        trees, figures = [], []
+        for pieces, sums, edits in zip(*(batch.column(c).to_pylist() for c in ("pieces", "sums", "edits"))):
+            tree = SegmentTree("", count, kept=(pieces, sums))
+            before = tree.total
+            own = orderly([Edit(e["start"], e["end"], e["text"]) for e in edits], sum(map(len, pieces)))
+            tree.apply(own)
+            trees.append(tree)
+            figures.append((before, tree.total, len(own), tree.encoded, tree.encoded_chars))
+        names = [f.split()[0] for f in EDITED.split(", ")]
+        yield _tree_rows(batch.column("id"), trees, [(n, [f[i] for f in figures]) for i, n in enumerate(names)])
+
+
+def build_trees(docs: DataFrame, id_col="doc_id", text_col="text", vocabulary=VOCABULARY, leaf=LEAF) -> DataFrame:
+    """The trees of whole texts as a table to keep: id, pieces (its leaves, which join to the text), sums (of each node;
+    the first is unused, the second the text's count). Each text is encoded once, here."""
+    own = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    return own.mapInArrow(functools.partial(_build, vocabulary=vocabulary, leaf=leaf), TREES)
+
+
+def edit_trees(trees: DataFrame, edits: DataFrame, vocabulary=VOCABULARY) -> DataFrame:
+    """Kept trees after a batch of edits: the columns of a tree, and n_tokens, n_tokens_edited, n_edits, leaves_encoded and
+    chars_encoded; write it and give it to the next batch.
+
+    `edits` has rows of id, start, end, text, with places in the text as the trees have it. Only leaves that edits
+    touch are encoded; trees without edits are neither sent to Python nor changed. Edits bear the rules of
+    `count_edited`; those of an unknown or null id are ignored, those of a repeated id go to each of its rows.
+    """
+    given = edits.filter("id is not null").groupBy(F.col("id").cast("long").alias("id"))
+    given = given.agg(F.collect_list(F.struct("start", "end", "text")).alias("edits"))
+    joined = trees.select("id", "pieces", "sums").join(given, "id", "left")
+    touched = joined.filter("edits is not null").mapInArrow(functools.partial(_apply, vocabulary=vocabulary), f"{TREES}, {EDITED}")
+    zero, total = F.lit(0).cast("long"), F.get("sums", F.lit(1))
+    rest = joined.filter("edits is null").select("id", "pieces", "sums", total.alias("n_tokens"), total.alias("n_tokens_edited"),
+        zero.alias("n_edits"), zero.alias("leaves_encoded"), zero.alias("chars_encoded"))
+    return touched.unionByName(rest)
