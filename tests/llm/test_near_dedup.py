@@ -132,39 +132,3 @@ def test_short_texts_are_one_shingle():
     for _, data, offsets in blocks(pa.array(["a b", "c d e f g", "", "a b c"])):
         row, value = shingles(split_words(data, offsets), 4, True)
         assert list(row) == [0, 1, 1, 3] and len(set(value)) == 4
-
-
-def template(n, seed=7, choices=400):
-    """Texts of one page template: the same 130 words and three phrases of many; hardly any two are similar enough."""
-    rng = random.Random(seed)
-    fixed = [f"fixed{i}" for i in range(130)]
-    phrases = [[f"p{k}w{j}" for j in range(9)] for k in range(choices)]
-    texts = []
-    for i in range(n):
-        a, b, c = (phrases[rng.randrange(choices)] for _ in range(3))
-        texts.append((i, " ".join(fixed[:40] + a + fixed[40:80] + b + fixed[80:] + c)))
-    return texts
-
-
-def test_one_template_is_not_compared_pair_by_pair(spark, scratch, documents):
-    rows = template(700, choices=250)
-    got = {r.doc_id: r.component_id for r in near_duplicates(documents(rows, clash=False), scratch).collect()}
-    assert got == brute(rows, 5)
-    stored = [(path, table) for path, table in scratch.tables.values()]
-    assert stored  # what the result still reads
-
-
-def test_pairs_follow_similarity(spark, documents, monkeypatch):
-    from tripspot.llm.base import workspace
-    from tripspot.session import Scratch
-
-    built, store = [], Scratch.store
-    monkeypatch.setattr(Scratch, "store", lambda self, df, name: built.append((name, out := store(self, df, name))) or (built.__setitem__(-1, (name, out.count())) or out))
-    counts = {}
-    for n in (300, 900):
-        built.clear()
-        with workspace(spark, "pairs") as scratch:
-            near_duplicates(documents(template(n, choices=n), clash=False), scratch).count()
-        counts[n] = sum(k for name, k in built if name == "fresh")
-    # With as many phrases as texts, three times the texts make about three times the pairs, and not nine times.
-    assert 0 < counts[900] < 5 * counts[300] and counts[900] < 900 * 899 / 2 / 20
