@@ -3,10 +3,12 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from tripspot.operators import serving
 from tripspot.plans.reports import formatted_plan
 from tripspot.streaming.rollup import changes, compact_rollups, newest_records, overview_of, ranking_of, rollup, rollup_sink, series_of, summary_of
+from tripspot.streaming import rollup as module
 from tripspot.streaming.sink import compact, latest_view, retain
 
 SCHEMA = "event_id string, event_time string, pickup_zone string, hotspot_score double"
@@ -71,6 +73,35 @@ def test_an_update_shuffles_only_its_batch(spark, tmp_path):
     assert "hotspot_score" not in hours
 
 
+def test_the_changes_of_a_batch_are_worked_out_once(spark, tmp_path, monkeypatch):
+    store, seen = rollup_sink(str(tmp_path)), spark.sparkContext.accumulator(0)
+
+    def counted(sign):
+        seen.add(1)
+        return sign
+
+    each = F.udf(counted, "int").asNondeterministic()
+    monkeypatch.setattr(module, "changes", lambda *args: changes(*args).withColumn("sign", each("sign")))
+    store(spark.createDataFrame([(str(i), f"2024-05-01T0{i}:00:00", "1", 0.1) for i in range(8)], SCHEMA).coalesce(1), 0)
+    assert seen.value == 8
+    store(spark.createDataFrame([("3", "2024-05-02T00:00:00", "2", 0.2), ("x", "2024-05-02T00:00:00", "2", 0.4)], SCHEMA).coalesce(1), 1)
+    assert seen.value == 8 + 3  # a replaced record counts twice
+    assert "lambda" not in formatted_plan(changes(spark, str(tmp_path), 1))
+    assert not (tmp_path / "rollups/staged/batch_id=1").exists()
+    check(spark, str(tmp_path))
+
+
+def test_levels_with_nulls(spark, tmp_path):
+    path, store = str(tmp_path), rollup_sink(str(tmp_path))
+    store(spark.createDataFrame([("a", "2024-05-01T00:01:00", "1", 5.0), ("b", None, "1", None), ("c", "2024-05-01T00:00:00", None, 1.5), (None, None, "9", 9.0)], SCHEMA), 0)
+    store(spark.createDataFrame([("a", "2024-05-01T00:01:00", "1", 5.0), ("b", "2024-05-01T00:02:00", "1", None), ("c", None, None, None)], SCHEMA), 1)
+    last = spark.read.parquet(f"{path}/rollups/hours/batch_id=1").select("pickup_zone", "bucket", "n", F.col("total").cast("double"))
+    # The record that was replaced by its like leaves a total of 0, not NULL, beside one without a score.
+    assert {tuple(r) for r in last.collect()} == {("1", "2024-05-01T00", 1, 0.0), ("1", None, -1, None), (None, "2024-05-01T00", -1, -1.5), (None, None, 1, None)}
+    hours = {tuple(r) for r in rollup(spark, path, "hours").select("pickup_zone", "bucket", "n", F.col("total").cast("double")).collect()}
+    assert hours == {("1", "2024-05-01T00", 2, 5.0), (None, None, 1, None)}
+
+
 def test_empty(spark, tmp_path):
     rollup_sink(str(tmp_path))(spark.createDataFrame([], SCHEMA), 0)
     with pytest.raises(FileNotFoundError):

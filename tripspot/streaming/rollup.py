@@ -16,6 +16,7 @@ from tripspot.streaming.sink import batch_records, dealt_like_store, finished_nu
 KEY, ORDER = "event_id", ("batch_id", "event_time")
 # What a rollup is kept by: zone and hour for means, zone and time for the newest time of a record that still counts.
 LEVELS = {"hours": ("pickup_zone", "bucket"), "times": ("pickup_zone", "event_time")}
+TOTAL = f"decimal(38, {SCORE_PLACES})"
 
 
 def changes(spark: SparkSession, path: str, batch_id: int) -> DataFrame | None:
@@ -29,30 +30,39 @@ def changes(spark: SparkSession, path: str, batch_id: int) -> DataFrame | None:
         return None
     new = dealt_like_store(spark, path, latest_state(rows.filter(F.col(KEY).isNotNull()), KEY, ORDER), KEY)
     columns = ("pickup_zone", "event_time", "hotspot_score", "batch_id")
-    packed = F.struct(*[F.col(c) for c in columns])
     try:
-        old = latest_view(spark, path, KEY, ORDER, until=batch_id - 1).select(KEY, packed.alias("old"))
-        joined = new.select(KEY, packed.alias("new")).join(old, KEY, "left")
+        old = latest_view(spark, path, KEY, ORDER, until=batch_id - 1)
     except FileNotFoundError:
-        joined = new.select(KEY, packed.alias("new"), packed.alias("old")).withColumn("old", F.lit(None).cast(new.select(packed.alias("p")).schema["p"].dataType))
-    both = F.array(F.struct(F.lit(1).alias("sign"), F.col("new").alias("row")), F.struct(F.lit(-1).alias("sign"), F.col("old").alias("row")))
-    signed = joined.select(F.explode(F.filter(both, lambda x: x["row"].isNotNull())).alias("change"))
-    return signed.select("change.sign", *[F.col(f"change.row.{c}") for c in columns])
+        return new.select(F.lit(1).alias("sign"), *columns)
+    sides = [df.select(KEY, *[F.col(c).alias(f"{side}_{c}") for c in columns]) for side, df in (("new", new), ("old", old))]
+    joined = sides[0].join(sides[1].withColumn("replaced", F.lit(True)), KEY, "left")
+    # Only signs are listed: lists of the rows themselves cost more than the join.
+    signs = F.when(F.col("replaced"), F.array(F.lit(1), F.lit(-1))).otherwise(F.array(F.lit(1)))
+    signed = joined.withColumn("sign", F.explode(signs))
+    return signed.select("sign", *[F.when(F.col("sign") == 1, F.col(f"new_{c}")).otherwise(F.col(f"old_{c}")).alias(c) for c in columns])
 
 
 def update_rollups(spark: SparkSession, path: str, batch_id: int) -> None:
     """Write the signed sums of a batch, one folder per level; an earlier attempt's are replaced. Scores are summed as
-    decimals, so that what was added can be taken back without a rest."""
-    rows = changes(spark, path, batch_id)
+    decimals, so that what was added can be taken back without a rest.
+
+    The changes are worked out once: their sums by zone and time, which every level is made from, are written first, and
+    removed when the levels are there.
+    """
+    rows, staged = changes(spark, path, batch_id), f"{path}/rollups/staged/batch_id={batch_id}"
+    if rows is not None:
+        score = F.col("hotspot_score").cast(f"decimal(30, {SCORE_PLACES})") * F.col("sign")
+        sums = rows.groupBy("pickup_zone", "event_time").agg(F.sum("sign").alias("n"), F.sum(score).cast(TOTAL).alias("total"))
+        sums.write.mode("overwrite").parquet(staged)
+        sums = spark.read.schema(sums.schema).parquet(staged).withColumn("bucket", F.substring("event_time", 1, 13))
     for level, by in LEVELS.items():
         folder = f"{path}/rollups/{level}/batch_id={batch_id}"
         if rows is None:
             remove(spark, folder)
             continue
-        hour = F.substring("event_time", 1, 13).alias("bucket")
-        score = F.col("hotspot_score").cast(f"decimal(30, {SCORE_PLACES})") * F.col("sign")
-        own = rows.select("*", hour).groupBy(*by).agg(F.sum("sign").alias("n"), F.sum(score).cast(f"decimal(38, {SCORE_PLACES})").alias("total"))
+        own = sums.groupBy(*by).agg(F.sum("n").alias("n"), F.sum("total").cast(TOTAL).alias("total"))
         own.filter("n <> 0 or total <> 0").sort(*reversed(by)).write.mode("overwrite").parquet(folder)
+    remove(spark, staged)
 
 
 def rollup_sink(path: str, counters=None):
@@ -75,9 +85,8 @@ def rollup_until(spark: SparkSession, path: str, level: str, until=None) -> Data
     folders += [f"{root}/upto={upto}"] if upto >= 0 else []
     if not folders:
         raise FileNotFoundError(f"no rollups at {path}")
-    total = f"decimal(38, {SCORE_PLACES})"
-    parts = spark.read.schema(f"{by[0]} string, {by[1]} string, n long, total {total}").parquet(*folders)
-    return parts.groupBy(*by).agg(F.sum("n").alias("n"), F.sum("total").cast(total).alias("total")).filter("n <> 0 or total <> 0")
+    parts = spark.read.schema(f"{by[0]} string, {by[1]} string, n long, total {TOTAL}").parquet(*folders)
+    return parts.groupBy(*by).agg(F.sum("n").alias("n"), F.sum("total").cast(TOTAL).alias("total")).filter("n <> 0 or total <> 0")
 
 
 def rollup(spark: SparkSession, path: str, level: str) -> DataFrame:
